@@ -1,0 +1 @@
+"""Reserved: the analytics covered here are batch only, so there is no streaming operator to offer."""
