@@ -23,7 +23,7 @@ def broadcast_limit(df: DataFrame) -> int:
 
 def fits_broadcast(df: DataFrame) -> bool:
     """Whether the estimated size of ``df`` stays under the broadcast threshold."""
-    estimate = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    estimate = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     return estimate <= broadcast_limit(df)
 
 
