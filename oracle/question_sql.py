@@ -184,7 +184,7 @@ QUESTION_SQL: dict[str, str] = {
         FROM f_trf JOIN d_product USING (product_key) GROUP BY ALL ORDER BY units_moved DESC, sku LIMIT 20""",
     "q40": f"""
         SELECT location_name, warehouse_capacity_units, sum(on_hand)::BIGINT AS units_on_hand,
-               {pct('sum(on_hand)', 'warehouse_capacity_units', 1)} AS utilisation_pct
+               {pct('sum(on_hand)', 'max(warehouse_capacity_units)', 1)} AS utilisation_pct
         FROM snap_now JOIN d_location USING (location_key) WHERE location_type = 'WAREHOUSE' GROUP BY ALL""",
     "q41": f"""
         WITH i AS (SELECT region, {usd('value_c')} AS v FROM snap_now JOIN d_location USING (location_key) GROUP BY ALL),

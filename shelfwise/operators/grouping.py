@@ -36,7 +36,7 @@ def rollup(fact: DataFrame, dim: DataFrame, on: tuple[str, str], attrs: Sequence
     so a hot key never reaches the join as more than one row.
     """
     fact_key, dim_key = on
-    side = dim.select(F.col(dim_key).alias(fact_key), *attrs)
+    side = dim.select(F.col(dim_key).alias(fact_key), *[a for a in attrs if a != fact_key])
     first = [_FIRST[kind](value).alias(name) for name, (kind, value) in aggs.items()]
     if fits_broadcast(side):
         return fact.join(F.broadcast(side), fact_key).groupBy(*attrs).agg(*first)

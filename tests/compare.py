@@ -84,7 +84,7 @@ def main() -> None:
         total += out.get("spark_sec", 0)
         bad += bool(out["problem"])
         flag = "BAD" if out["problem"] else "ok " if name in sql else "-- "
-        print(flag, name, out.get("rows"), out.get("spark_sec"), out.get("duck_sec"), out["problem"][:900], flush=True)
+        print(flag, name.ljust(24), out.get("rows"), out.get("spark_sec"), out.get("duck_sec"), out["problem"][:900], flush=True)
     print("problems:", bad, "spark seconds:", round(total, 1))
 
 
