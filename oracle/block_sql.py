@@ -143,7 +143,7 @@ BLOCK_SQL: dict[str, str] = {
         WHERE last_sold_date IS NULL OR last_sold_date < anchor - 180""",
     "semi_in": "SELECT product_key, sku FROM d_product WHERE product_key IN (SELECT product_key FROM rate90)",
     "anti_not_in": "SELECT product_key, sku FROM d_product WHERE product_key NOT IN (SELECT product_key FROM rate90)",
-    "multi_key_join": f"SELECT product_key, location_key, round(loss, 2) AS loss FROM ({LOSS.replace('SELECT product_key, (', 'SELECT product_key, location_key, (')})",
+    "multi_key_join": f"SELECT product_key, location_key, loss FROM ({LOSS.replace('SELECT product_key, (', 'SELECT product_key, location_key, (')})",
     "multi_fact_join": """
         SELECT product_key, sku, u::BIGINT AS units_sold, b::BIGINT AS units_returned, c::BIGINT AS units_received FROM d_product
         LEFT JOIN (SELECT product_key, sum(units_sold_qty) AS u FROM f_sales GROUP BY ALL) USING (product_key)

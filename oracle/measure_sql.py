@@ -93,6 +93,7 @@ MEASURE_SQL: dict[str, str] = {
         SELECT region, year, month_number, {ratio(usd('c'), 'count(*)')} AS revenue_3m_avg
         FROM e JOIN d ON day <= e AND day > e - INTERVAL 3 MONTH GROUP BY ALL""",
     "m_revenue_rank": f"SELECT location_name, rank() OVER (ORDER BY sum(net_c) DESC) AS revenue_rank FROM {SALES_L} GROUP BY ALL",
+    "m_revenue_rank_by_sku": f"SELECT sku, rank() OVER (ORDER BY sum(net_c) DESC) AS revenue_rank FROM {SALES_C} GROUP BY ALL",
     "m_store_vs_region_pct": f"""
         WITH r AS (SELECT location_name, region, sum(net_c)::BIGINT AS c FROM {SALES_L} GROUP BY ALL),
              a AS (SELECT region, (sum(c) / 100e0) / count(*) AS m FROM r GROUP BY ALL)

@@ -89,6 +89,18 @@ def prefix_sums(df: DataFrame, order: Sequence[Column], value: str) -> DataFrame
     )
 
 
+def global_rank(df: DataFrame, value: str, name: str) -> DataFrame:
+    """Rank of every row by descending ``value`` with gaps on ties, without ordering all rows in one task.
+
+    Ranks are found on distinct values, then looked up; a value shared by many rows is one row on the lookup side.
+    """
+    counts = df.groupBy(value).agg(F.count(F.lit(1)).alias("_n"))
+    ranked = prefix_sums(counts, [F.col(value).desc()], "_n").select(
+        F.col(value).alias("_value"), (F.col("running") - F.col("_n") + 1).alias(name)
+    )
+    return df.join(ranked, F.col(value).eqNullSafe(F.col("_value"))).drop("_value")
+
+
 def exact_quantile(df: DataFrame, value: str, q: float) -> DataFrame:
     """One row, one column ``quantile``: exact, linearly interpolated between neighbours.
 

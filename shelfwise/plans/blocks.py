@@ -255,7 +255,7 @@ def anti_not_in(star, built):
 
 
 def multi_key_join(star, built):
-    return sales.stockout_loss(star).select(*PAIR, F.round("loss", 2).alias("loss"))
+    return sales.stockout_loss(star)
 
 
 def multi_fact_join(star, built):
@@ -477,7 +477,8 @@ def clean_log(star, built):
 
 def _checks(kind):
     def run(star, built):
-        return run_checks(raw_star(star, built), [r for r in (*CORE_RULES, *CONSTRAINT_RULES) if kind(r)]).drop("sample").distinct()
+        rules = {r.name: r for r in (*CORE_RULES, *CONSTRAINT_RULES) if kind(r)}
+        return run_checks(raw_star(star, built), list(rules.values())).drop("sample")
 
     return run
 

@@ -64,5 +64,6 @@ def all_queries() -> dict[str, Query]:
     plain = {**QUESTIONS, **VIEWS, "mv_executive_kpis": mv_executive_kpis, **REPORTS, **INSIGHTS}
     found = {name: _bound(function) for name, function in plain.items()}
     found.update({name: _bound(function, grain=GRAINS.get(name, ())) for name, function in FUNCTIONS.items()})
+    found["m_revenue_rank_by_sku"] = _bound(FUNCTIONS["m_revenue_rank"], grain=("sku",))
     found.update({name: _bound(function, whole=True) for name, function in BLOCKS.items()})
     return found

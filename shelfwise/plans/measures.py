@@ -18,6 +18,7 @@ from shelfwise.functions.columns import (
     double, from_date_key, health_status, mean, month_number_line, safe_ratio, to_date_key, total,
 )
 from shelfwise.operators.anchors import at_closing, semi_avg_daily, semi_closing
+from shelfwise.operators.grouping import global_rank
 from shelfwise.schema import PRIMARY_KEY, SCHEMAS
 
 Filters = Mapping[str, Any] | None
@@ -310,10 +311,15 @@ def m_revenue_3m_avg(star, group_cols=(), filters=None):
 
 
 def m_revenue_rank(star, group_cols=("location_name",), filters=None):
-    """Rank by revenue within the selection, gaps on ties; the grain is locations, a bounded list."""
+    """Rank by revenue within the selection, gaps on ties.
+
+    A grain of locations or calendar parts is short enough for one ordered window; any other is ranked in slices.
+    """
     df = context(star, "fact_sales", group_cols, filters).groupBy(*group_cols).agg(F.sum("net_sales_amount").alias("r"))
-    rank = F.rank().over(Window.orderBy(F.desc("r"))).cast("bigint")
-    return df.select(*group_cols, rank.alias("revenue_rank"))
+    if {owner("fact_sales", c) for c in group_cols} <= {"dim_location", "dim_date"}:
+        rank = F.rank().over(Window.orderBy(F.desc("r"))).cast("bigint")
+        return df.select(*group_cols, rank.alias("revenue_rank"))
+    return global_rank(df, "r", "revenue_rank").select(*group_cols, "revenue_rank")
 
 
 def m_store_vs_region_pct(star, group_cols=("location_name",), filters=None):

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfwise.functions.columns import double, from_date_key, mean, percent, rounded, safe_ratio, to_date_key, total
-from shelfwise.operators.anchors import anchor_day
+from shelfwise.operators.anchors import anchor_day, trailing_window
 from shelfwise.operators.grouping import prefix_sums, rollup, topk
 
 LOCATION = ("location_key", "location_key")
@@ -62,10 +62,10 @@ def q15(star) -> DataFrame:
 def q16(star, k: int = 25, days: int = 90) -> DataFrame:
     """Steepest declines, last ``days`` against the ``days`` before. No recent sale means NULL, which drops the product."""
     anchor = anchor_day(star, "calendar")
-    recent_from, prior_from = to_date_key(F.date_sub(anchor, days)), to_date_key(F.date_sub(anchor, 2 * days))
+    recent_from = to_date_key(F.date_sub(anchor, days))
     key, units = F.col("date_key"), F.col("units_sold_qty")
     rows = (
-        star.sales.filter(key >= prior_from)
+        trailing_window(star.sales, anchor, 2 * days)
         .groupBy("product_key")
         .agg(F.sum(F.when(key >= recent_from, units)).alias("recent_units"),
              F.sum(F.when(key < recent_from, units)).alias("prior_units"))
