@@ -69,7 +69,9 @@ def eda_pareto(star) -> DataFrame:
 
 def eda_otif_by_tier(star) -> DataFrame:
     """OTIF share for each tier in fixed order; a tier without order lines shows NULL."""
-    tiers = star.spark.createDataFrame([(i, t) for i, t in enumerate(TIER_ORDER, 1)], "tier_order int, reliability_tier string")
+    tiers = star.spark.range(1).select(
+        F.posexplode(F.array(*[F.lit(t) for t in TIER_ORDER])).alias("_place", "reliability_tier")
+    ).withColumn("tier_order", F.col("_place") + 1)
     found = rollup(star.orders, star.supplier, SUPPLIER, ["reliability_tier"],
                    good=("count_if", F.col("is_otif_flag")), n=("count", F.lit(1)))
     return tiers.join(found, "reliability_tier", "left").select(
