@@ -15,9 +15,8 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from shelfwise.plans.catalog import all_queries  # noqa: E402
 from shelfwise.plans.questions import QUESTIONS  # noqa: E402
-from shelfwise.schema import TABLES  # noqa: E402
 from shelfwise.session import build_session  # noqa: E402
-from shelfwise.sources.derived import from_testdata  # noqa: E402
+from shelfwise.sources.derived import derived  # noqa: E402
 
 
 def main() -> None:
@@ -36,8 +35,7 @@ def main() -> None:
         action()
         seconds[name] = round(time.perf_counter() - start, 3)
 
-    star = from_testdata(spark, sf_dir)
-    timed("load_star", lambda: [star.table(t) for t in TABLES])
+    timed("load_star", derived(spark, sf_dir)[1].load)
     queries = all_queries()
     for name in QUESTIONS:
         timed(name, lambda: queries[name](spark, sf_dir).collect())

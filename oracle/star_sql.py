@@ -112,7 +112,7 @@ STAR: dict[str, str] = {
         SELECT 'RET-' || okey || '-' || lno AS return_id, day, strftime(day, '%Y%m%d')::INTEGER AS date_key,
                base.pk::INTEGER AS product_key, place AS location_key, ck::INTEGER AS customer_key,
                greatest(1, units // 2) AS returned_qty, greatest(1, units // 2) * price_c AS refund_c,
-               (['DAMAGED', 'DEFECTIVE', 'WRONG_ITEM', 'NOT_AS_DESCRIBED', 'CHANGED_MIND', 'LATE_DELIVERY'])[draw % 6 + 1] AS reason
+               (['Defective', 'Wrong Item', 'Not As Described', 'Changed Mind', 'Damaged in Transit', 'Better Price Elsewhere'])[draw % 6 + 1] AS reason
         FROM base JOIN cat ON cat.pk = base.pk WHERE l_returnflag = 'R' AND tpc >= 6""",
     "f_trf": """
         SELECT strftime(day, '%Y%m%d')::INTEGER AS date_key, base.pk::INTEGER AS product_key,

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import threading
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,8 +24,8 @@ from shelfwise.sources.sinks import sink_table
 from shelfwise.sources.star import Star, with_month
 
 # Fixed values of the mapping.
-RETURN_REASONS = ("DAMAGED", "DEFECTIVE", "WRONG_ITEM", "NOT_AS_DESCRIBED", "CHANGED_MIND", "LATE_DELIVERY")
-ROLES = ("Store Manager", "Sales Associate", "Stock Clerk", "Buyer")
+RETURN_REASONS = ("Defective", "Wrong Item", "Not As Described", "Changed Mind", "Damaged in Transit", "Better Price Elsewhere")
+ROLES = ("Cashier", "Sales Associate", "Shift Lead", "Store Manager")
 TIERS = {"Gold": (7, 7, 5), "Silver": (16, 12, 18), "Bronze": (20, 20, 38)}  # key bound, base lead, late %
 SNAPSHOT_MONTHS = 12
 OPEN_STATUS, RETURNED_FLAG = "O", "R"
@@ -54,28 +55,40 @@ class DerivedTables:
     def __init__(self, spark: SparkSession, sf_dir: str, folder: str):
         self.spark, self.sf_dir, self.folder = spark, sf_dir, folder
         self._stored: dict[str, DataFrame] = {}
-        self._lock = threading.RLock()
+        self._guard = threading.Lock()
+        self._locks: dict[str, threading.Lock] = {}
 
     def raw(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
     def get(self, name: str) -> DataFrame:
-        with self._lock:
+        """The stored table, built first if need be; tables that do not depend on each other may be built at once."""
+        with self._guard:
+            lock = self._locks.setdefault(name, threading.Lock())
+        with lock:
             if name not in self._stored:
-                built = getattr(self, name)()
-                if name in SCHEMAS:
-                    built = built.select(*[
-                        (F.col(f.name) if f.name in built.columns else F.lit(None)).cast(f.dataType).alias(f.name)
-                        for f in SCHEMAS[name].fields
-                    ])
-                    path = sink_table(with_month(built, name), self.folder, name)
-                    self._stored[name] = self.spark.read.schema(stored_schema(name)).parquet(path)
-                else:
-                    path = f"{self.folder}/{name}"
-                    built.write.mode("overwrite").parquet(path)
-                    self._stored[name] = self.spark.read.schema(built.schema).parquet(path)
+                self._stored[name] = self._store(name, getattr(self, name)())
             return self._stored[name]
 
+    def _store(self, name: str, built: DataFrame) -> DataFrame:
+        if name not in SCHEMAS:
+            path = f"{self.folder}/{name}"
+            built.write.mode("overwrite").parquet(path)
+            return self.spark.read.schema(built.schema).parquet(path)
+        typed = built.select(*[
+            (F.col(f.name) if f.name in built.columns else F.lit(None)).cast(f.dataType).alias(f.name)
+            for f in SCHEMAS[name].fields
+        ])
+        path = sink_table(with_month(typed, name), self.folder, name)
+        return self.spark.read.schema(stored_schema(name)).parquet(path)
+
+    def load(self, threads: int = 4) -> None:
+        """Build and store all twelve tables, independent ones side by side."""
+        # facts others wait for come first
+        order = ["fact_purchase_order", "fact_sales", *SCHEMAS]
+        with ThreadPoolExecutor(threads) as pool:
+            list(pool.map(self.get, dict.fromkeys(order)))
+
     # -- shared line table -------------------------------------------------------------------------------------
 
     def base(self) -> DataFrame:
