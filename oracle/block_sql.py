@@ -82,8 +82,8 @@ def _scope(name: str, allowed: str, either: bool = False) -> str:
 
 SNAP = "product_key, location_key, date_key AS snapshot_date_key, on_hand AS on_hand_qty, value_c / 100e0 AS on_hand_value, on_order AS on_order_qty, reorder_point"
 LINES = """supplier_name, po_number, sku, category, order_key AS order_date_key, expected_key AS expected_date_key,
-           received_key AS received_date_key, ordered_qty, received_qty, lead_days AS lead_time_days,
-           is_late AS is_late_flag, is_complete AS is_complete_flag, is_otif AS is_otif_flag"""
+           received_key AS received_date_key, ordered_qty::INTEGER AS ordered_qty, received_qty::INTEGER AS received_qty,
+           lead_days AS lead_time_days, is_late AS is_late_flag, is_complete AS is_complete_flag, is_otif AS is_otif_flag"""
 NEED = """(SELECT product_key, location_key, sum(units_sold_qty) / 90e0 AS adr FROM f_sales, {anchor}
            WHERE day >= anchor - 90 GROUP BY ALL)"""
 CURVE = """(SELECT product_key, row_number() OVER w AS rk, sum(c) OVER (w ROWS UNBOUNDED PRECEDING) AS upto, count(*) OVER () AS n
@@ -96,7 +96,7 @@ BLOCK_SQL: dict[str, str] = {
     "src_parquet_star": checksum_sql(),
     "sink_processed": checksum_sql({"fact_sales": FILLED_NET}, ("fact_sales",)),
     "gated_load": checksum_sql({"fact_sales": FILLED_NET}),
-    "sink_sample": """SELECT customer_key, 'CUST-' || lpad(customer_key::VARCHAR, 7, '0') AS customer_id, loyalty_tier,
+    "sink_sample": """SELECT customer_key, printf('CUST-%07d', customer_key) AS customer_id, loyalty_tier,
                       loyalty_tier <> 'None' AS is_loyalty_member, region FROM d_customer ORDER BY customer_key LIMIT 500""",
     "layout_partition": f"SELECT (date_key // 100)::INTEGER AS snapshot_month, {N} AS row_count, sum(on_hand)::BIGINT AS on_hand_qty FROM f_snap GROUP BY ALL",
     "layout_cluster": f"SELECT location_key, {N} AS row_count, sum(on_hand)::BIGINT AS on_hand_qty FROM f_snap GROUP BY ALL",
@@ -197,7 +197,7 @@ BLOCK_SQL: dict[str, str] = {
     "topk": "SELECT product_key, sum(units_sold_qty)::BIGINT AS units FROM f_sales GROUP BY ALL ORDER BY units DESC, product_key LIMIT 100",
     "rank_sample": f"SELECT rk AS margin_rank, product_key FROM {CURVE.format(c='margin_c')} WHERE rk % greatest(n // 50, 1) = 0",
     "union_signed": f"SELECT location_key, {N} AS movements, sum(qty)::BIGINT AS net_units FROM {FLOWS} GROUP BY ALL",
-    "dedupe_natural": f"""SELECT order_id, date_key, product_key, location_key, units_sold_qty, price_c / 100e0 AS unit_price, copies
+    "dedupe_natural": f"""SELECT order_id, date_key, product_key, location_key, units_sold_qty::INTEGER AS units_sold_qty, price_c / 100e0 AS unit_price, copies
         FROM (SELECT {DUP}, {N} AS copies FROM raw_sales GROUP BY ALL)""",
     "impute_from_dim": f"""SELECT product_key, {N} AS rows, count(coalesce(r.price_c, cat.price_c))::BIGINT AS priced,
         {usd('coalesce(r.price_c, cat.price_c)')} AS price_sum FROM raw_sales r JOIN cat ON cat.pk = r.product_key GROUP BY ALL""",
@@ -206,7 +206,7 @@ BLOCK_SQL: dict[str, str] = {
     "coerce_numeric": f"""SELECT product_key, {N} AS rows, count(promotion_key)::BIGINT AS numbers,
         (sum(units_sold_qty) FILTER (WHERE promotion_key IS NOT NULL))::BIGINT AS units FROM f_sales GROUP BY ALL""",
     "trim_strings": "SELECT customer_key, loyalty_tier, CASE WHEN loyalty_tier <> 'None' THEN region END AS region FROM d_customer",
-    "clean_sales": f"""SELECT order_id, date_key, product_key, location_key, units_sold_qty, price_c / 100e0 AS unit_price, units_sold_qty * price_c / 100e0 AS gross_sales_amount,
+    "clean_sales": f"""SELECT order_id, date_key, product_key, location_key, units_sold_qty::INTEGER AS units_sold_qty, price_c / 100e0 AS unit_price, units_sold_qty * price_c / 100e0 AS gross_sales_amount,
         (units_sold_qty * price_c - disc_c) / 100e0 AS net_sales_amount, units_sold_qty * cost_c / 100e0 AS cogs_amount,
         (units_sold_qty * price_c - disc_c - units_sold_qty * cost_c) / 100e0 AS gross_margin_amount FROM ({FILLED})""",
     "clean_log": "SELECT 'fact_sales' AS table_name, (SELECT count(*) FROM raw_sales)::BIGINT AS rows_in, (SELECT count(*) FROM raw_sales)::BIGINT - count(*)::BIGINT AS duplicates_removed, "
@@ -233,7 +233,7 @@ BLOCK_SQL: dict[str, str] = {
     "dim_date_build": "SELECT date_key, full_date, day_of_week, day_name, is_weekend, week_of_year, month_number, month_name, quarter, year, fiscal_year, fiscal_quarter, season, holiday_name IS NOT NULL AS is_holiday, holiday_name FROM d_date",
     "abc_classify": "SELECT product_key, coalesce(abc_class, 'C') AS abc_class FROM d_product LEFT JOIN abc USING (product_key)",
     "xyz_classify": "SELECT product_key, cv AS demand_cv, xyz_class FROM xyz",
-    "po_lifecycle": """SELECT po_number, product_key, order_key AS order_date_key, received_key AS received_date_key, ordered_qty, received_qty,
+    "po_lifecycle": """SELECT po_number, product_key, order_key AS order_date_key, received_key AS received_date_key, ordered_qty::INTEGER AS ordered_qty, received_qty::INTEGER AS received_qty,
         lead_days AS lead_time_days, is_late AS is_late_flag, is_complete AS is_complete_flag, is_otif AS is_otif_flag FROM f_po""",
     "ledger_rollforward": """SELECT product_key, location_key, strftime(day, '%Y%m%d')::INTEGER AS date_key, receipts::BIGINT AS receipts, demand::BIGINT AS demand,
         on_hand::BIGINT AS on_hand, (demand - unmet)::BIGINT AS sold, unmet::BIGINT AS unmet FROM ledger""",

@@ -255,7 +255,7 @@ QUESTION_SQL: dict[str, str] = {
                (SELECT round(sum(loss), 0) FROM ({LOSS})) AS est_stockout_lost_revenue""",
     "vw_sales_enriched": """
         SELECT order_id, full_date, year, month_number, season, sku, product_name, category, subcategory,
-               coalesce(abc_class, 'C') AS abc_class, location_name, location_type, region, units_sold_qty,
+               coalesce(abc_class, 'C') AS abc_class, location_name, location_type, region, units_sold_qty::INTEGER AS units_sold_qty,
                net_c / 100e0 AS net_sales_amount, cogs_c / 100e0 AS cogs_amount, margin_c / 100e0 AS gross_margin_amount,
                promotion_key IS NOT NULL AS is_promoted
         FROM f_sales JOIN d_date USING (date_key) JOIN d_product USING (product_key) LEFT JOIN abc USING (product_key)

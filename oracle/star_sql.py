@@ -38,7 +38,7 @@ STAR: dict[str, str] = {
                END AS holiday_name
         FROM horizon, generate_series(lo::TIMESTAMP, hi::TIMESTAMP, INTERVAL 1 DAY) AS s(g)""",
     "d_product": """
-        SELECT p_partkey::INTEGER AS product_key, 'SKU-' || lpad(p_partkey::VARCHAR, 6, '0') AS sku,
+        SELECT p_partkey AS product_key, printf('SKU-%06d', p_partkey) AS sku,
                p_name AS product_name, p_type AS category, p_brand AS subcategory, p_brand AS brand,
                cost_c, price_c, p_partkey % 12 <> 0 AS is_active
         FROM part JOIN cat ON pk = p_partkey""",
@@ -57,26 +57,26 @@ STAR: dict[str, str] = {
                 USING (product_key, ym)
               GROUP BY p.product_key)""",
     "d_location": """
-        SELECT n_nationkey::INTEGER AS location_key, 'LOC-' || lpad(n_nationkey::VARCHAR, 3, '0') AS location_id,
+        SELECT n_nationkey::INTEGER AS location_key, printf('LOC-%03d', n_nationkey) AS location_id,
                CASE WHEN n_nationkey >= 20 THEN 'WAREHOUSE' ELSE 'STORE' END AS location_type,
                n_name AS location_name, r_name AS region,
                CASE WHEN n_nationkey >= 20 THEN (200000 + 1000 * n_nationkey)::INTEGER END AS warehouse_capacity_units
         FROM nation JOIN region ON r_regionkey = n_regionkey""",
     "d_supplier": """
-        SELECT s_suppkey::INTEGER AS supplier_key, s_name AS supplier_name, n_name AS country, r_name AS region,
+        SELECT s_suppkey AS supplier_key, s_name AS supplier_name, n_name AS country, r_name AS region,
                CASE WHEN s_suppkey % 20 < 7 THEN 'Gold' WHEN s_suppkey % 20 < 16 THEN 'Silver' ELSE 'Bronze' END AS reliability_tier,
                CASE WHEN s_suppkey % 20 < 7 THEN 7 WHEN s_suppkey % 20 < 16 THEN 12 ELSE 20 END AS lead0,
                CASE WHEN s_suppkey % 20 < 7 THEN 5 WHEN s_suppkey % 20 < 16 THEN 18 ELSE 38 END AS late_pct,
                s_nationkey
         FROM supplier JOIN nation ON n_nationkey = s_nationkey JOIN region ON r_regionkey = n_regionkey""",
     "d_customer": """
-        SELECT c_custkey::INTEGER AS customer_key,
+        SELECT c_custkey AS customer_key,
                CASE WHEN c_custkey % 20 < 11 THEN 'None' WHEN c_custkey % 20 < 17 THEN 'Silver' ELSE 'Gold' END AS loyalty_tier,
                r_name AS region
         FROM customer JOIN nation ON n_nationkey = c_nationkey JOIN region ON r_regionkey = n_regionkey""",
     "f_sales": """
-        SELECT 'ORD-' || okey AS order_id, day, strftime(day, '%Y%m%d')::INTEGER AS date_key, base.pk::INTEGER AS product_key,
-               place AS location_key, ck::INTEGER AS customer_key, (1 + okey % 120)::INTEGER AS employee_key,
+        SELECT 'ORD-' || okey AS order_id, day, strftime(day, '%Y%m%d')::INTEGER AS date_key, base.pk AS product_key,
+               place AS location_key, ck AS customer_key, (1 + okey % 120)::INTEGER AS employee_key,
                CASE WHEN dpc >= 7 THEN dpc::INTEGER END AS promotion_key, units AS units_sold_qty,
                price_c, units * price_c AS gross_c,
                CASE WHEN dpc >= 7 THEN units * price_c * dpc // 100 ELSE 0 END AS disc_c,
@@ -103,19 +103,19 @@ STAR: dict[str, str] = {
                      product_key, supplier_key, place AS location_key, units AS ordered_qty,
                      CASE WHEN day + lead > hi THEN 0 WHEN draw % 17 = 0 THEN units * 85 // 100 ELSE units END AS received_qty,
                      units * cost_c AS amount_c
-              FROM (SELECT b.*, s.supplier_key, s.lead0, cat.cost_c, b.pk::INTEGER AS product_key, hi,
+              FROM (SELECT b.*, s.supplier_key, s.lead0, cat.cost_c, b.pk AS product_key, hi,
                            (CASE WHEN draw < late_pct THEN lead0 + 3 + draw % 9 ELSE lead0 - draw % 3 END)::INTEGER AS lead
                     FROM (SELECT *, CASE WHEN pk % 3 = 0 THEN pk % (SELECT count(*) FROM supplier) ELSE sk END AS vendor
                           FROM base WHERE l_linestatus = 'O') b
                     JOIN d_supplier s ON s.supplier_key = b.vendor JOIN cat ON cat.pk = b.pk, horizon))""",
     "f_ret": """
         SELECT 'RET-' || okey || '-' || lno AS return_id, day, strftime(day, '%Y%m%d')::INTEGER AS date_key,
-               base.pk::INTEGER AS product_key, place AS location_key, ck::INTEGER AS customer_key,
+               base.pk AS product_key, place AS location_key, ck AS customer_key,
                greatest(1, units // 2) AS returned_qty, greatest(1, units // 2) * price_c AS refund_c,
                (['Defective', 'Wrong Item', 'Not As Described', 'Changed Mind', 'Damaged in Transit', 'Better Price Elsewhere'])[draw % 6 + 1] AS reason
         FROM base JOIN cat ON cat.pk = base.pk WHERE l_returnflag = 'R' AND tpc >= 6""",
     "f_trf": """
-        SELECT strftime(day, '%Y%m%d')::INTEGER AS date_key, base.pk::INTEGER AS product_key,
+        SELECT strftime(day, '%Y%m%d')::INTEGER AS date_key, base.pk AS product_key,
                s_nationkey::INTEGER AS src_key, place AS dst_key, units AS qty, units * (50 + 10 * tpc) AS cost_c
         FROM base JOIN supplier ON s_suppkey = sk WHERE dpc = 0 AND s_nationkey <> place""",
     "moves": """

@@ -53,7 +53,7 @@ def coerce_numeric(df: DataFrame, columns=NUMERIC_KEYS) -> DataFrame:
         value = F.col(c)
         if kinds[c] == "string":
             value = F.trim(value).try_cast("decimal(38,6)")
-        return value.try_cast("int")
+        return value.try_cast(SCHEMAS["fact_sales"][c].dataType)
 
     return df.withColumns({c: number(c) for c in columns if c in kinds})
 

@@ -27,9 +27,9 @@ def fits_broadcast(df: DataFrame) -> bool:
     return estimate <= broadcast_limit(df)
 
 
-def rollup(fact: DataFrame, dim: DataFrame, on: tuple[str, str], attrs: Sequence[str],
+def rollup(fact: DataFrame, dim: DataFrame, on: tuple[str, str], attrs: Sequence[str], by: Sequence[str] = (),
            **aggs: tuple[str, str | Column]) -> DataFrame:
-    """Aggregate ``fact`` by attributes of ``dim``; ``on`` is (fact key, dimension key).
+    """Aggregate ``fact`` by its own columns ``by`` and attributes of ``dim``; ``on`` is (fact key, dimension key).
 
     A dimension under the broadcast threshold is joined first, so only one row per attribute value
     and task is shuffled. A larger one is joined after the fact has been reduced to one row per key,
@@ -39,9 +39,9 @@ def rollup(fact: DataFrame, dim: DataFrame, on: tuple[str, str], attrs: Sequence
     side = dim.select(F.col(dim_key).alias(fact_key), *[a for a in attrs if a != fact_key])
     first = [_FIRST[kind](value).alias(name) for name, (kind, value) in aggs.items()]
     if fits_broadcast(side):
-        return fact.join(F.broadcast(side), fact_key).groupBy(*attrs).agg(*first)
+        return fact.join(F.broadcast(side), fact_key).groupBy(*by, *attrs).agg(*first)
     merged = [_MERGE[kind](name).alias(name) for name, (kind, _) in aggs.items()]
-    return fact.groupBy(fact_key).agg(*first).join(side, fact_key).groupBy(*attrs).agg(*merged)
+    return fact.groupBy(*dict.fromkeys([*by, fact_key])).agg(*first).join(side, fact_key).groupBy(*by, *attrs).agg(*merged)
 
 
 def topk(df: DataFrame, k: int, *order: Column) -> DataFrame:

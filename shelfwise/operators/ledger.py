@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfwise.functions.columns import from_date_key
-from shelfwise.schema import MONEY
+from shelfwise.schema import STOCK_VALUE
 
 
 def ledger_rollforward(receipts: DataFrame, demand: DataFrame, opening: DataFrame | None, keys: list[str],
@@ -129,7 +129,7 @@ def delivery_flags(lines: DataFrame) -> DataFrame:
 def snapshot_flags(rows: DataFrame) -> DataFrame:
     """Value and the two alarm flags from on_hand_qty, unit_cost and reorder_point."""
     return (
-        rows.withColumn("on_hand_value", (F.col("on_hand_qty") * F.col("unit_cost")).cast(MONEY))
+        rows.withColumn("on_hand_value", (F.col("on_hand_qty") * F.col("unit_cost")).cast(STOCK_VALUE))
         .withColumn("is_below_reorder_flag", F.col("on_hand_qty") <= F.col("reorder_point"))
         .withColumn("is_stockout_flag", F.col("on_hand_qty") == 0)
     )

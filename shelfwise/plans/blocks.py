@@ -355,9 +355,8 @@ def agg_row_avg(star, built):
 
 def win_lag_delta(star, built):
     """Monthly units per category against the previous month that has sales."""
-    monthly = star.sales.groupBy("sale_month", "product_key").agg(F.sum("units_sold_qty").alias("u")).join(
-        star.product.select("product_key", "category"), "product_key"
-    ).groupBy("category", "sale_month").agg(F.sum("u").alias("units"))
+    monthly = rollup(star.sales, star.product, ("product_key", "product_key"), ["category"], by=["sale_month"],
+                     units=("sum", "units_sold_qty"))
     previous = F.lag("units").over(Window.partitionBy("category").orderBy("sale_month"))
     return monthly.select("category", "sale_month", "units", (F.col("units") - previous).alias("delta"))
 

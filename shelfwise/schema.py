@@ -6,26 +6,28 @@ from pyspark.sql import types as T
 
 MONEY = T.DecimalType(14, 2)
 PRICE = T.DecimalType(12, 2)
+STOCK_VALUE = T.DecimalType(18, 2)
 
-# Table layouts of the star. "!" marks a required column.
+# Table layouts of the star. "!" marks a required column. Keys that grow with the business and stock
+# positions are 64 bit, so the layout holds for billions of products or units; a stock value of 18 digits still fits a long.
 TABLES: dict[str, str] = {
     "dim_date": """
         date_key int!, full_date date!, day_of_week int!, day_name string!, is_weekend boolean!,
         week_of_year int!, month_number int!, month_name string!, quarter int!, year int!,
         fiscal_year int!, fiscal_quarter string!, season string!, is_holiday boolean!, holiday_name string""",
     "dim_product": """
-        product_key int!, sku string!, product_name string!, category string!, subcategory string!,
+        product_key bigint!, sku string!, product_name string!, category string!, subcategory string!,
         brand string, unit_cost decimal(12,2)!, unit_price decimal(12,2)!, standard_margin_pct decimal(5,2),
         abc_class string, xyz_class string, launch_date date, discontinue_date date, is_active boolean!""",
     "dim_supplier": """
-        supplier_key int!, supplier_id string!, supplier_name string!, country string, region string,
+        supplier_key bigint!, supplier_id string!, supplier_name string!, country string, region string,
         category_specialisation string, reliability_tier string, contract_start_date date, is_active boolean!""",
     "dim_location": """
         location_key int!, location_id string!, location_type string!, location_name string!, region string!,
         city string, state string, store_size_sqft int, store_format string, warehouse_capacity_units int,
         open_date date, is_active boolean!""",
     "dim_customer": """
-        customer_key int!, customer_id string!, loyalty_tier string, is_loyalty_member boolean!,
+        customer_key bigint!, customer_id string!, loyalty_tier string, is_loyalty_member boolean!,
         region string, signup_date date""",
     "dim_employee": """
         employee_key int!, employee_id string!, employee_name string, role string,
@@ -34,25 +36,25 @@ TABLES: dict[str, str] = {
         promotion_key int!, promotion_id string!, promotion_name string, promotion_type string,
         discount_pct decimal(5,2), applies_to_level string, start_date date, end_date date, is_active boolean!""",
     "fact_sales": """
-        sales_key bigint!, order_id string!, date_key int!, product_key int!, location_key int!,
-        customer_key int, employee_key int, promotion_key int, units_sold_qty int!, unit_price decimal(12,2),
+        sales_key bigint!, order_id string!, date_key int!, product_key bigint!, location_key int!,
+        customer_key bigint, employee_key int, promotion_key int, units_sold_qty int!, unit_price decimal(12,2),
         gross_sales_amount decimal(14,2), discount_amount decimal(14,2), net_sales_amount decimal(14,2),
         unit_cost decimal(12,2), cogs_amount decimal(14,2), gross_margin_amount decimal(14,2)""",
     "fact_inventory_snapshot": """
-        snapshot_key bigint!, snapshot_date_key int!, product_key int!, location_key int!, on_hand_qty int!,
-        on_hand_value decimal(14,2), on_order_qty int, reorder_point int, safety_stock_qty int,
+        snapshot_key bigint!, snapshot_date_key int!, product_key bigint!, location_key int!, on_hand_qty bigint!,
+        on_hand_value decimal(18,2), on_order_qty bigint, reorder_point int, safety_stock_qty int,
         days_of_supply decimal(8,2), is_below_reorder_flag boolean, is_stockout_flag boolean""",
     "fact_purchase_order": """
         po_line_key bigint!, po_number string!, order_date_key int!, expected_date_key int,
-        received_date_key int, product_key int!, supplier_key int!, dest_location_key int!, ordered_qty int!,
+        received_date_key int, product_key bigint!, supplier_key bigint!, dest_location_key int!, ordered_qty int!,
         received_qty int, unit_cost decimal(12,2), po_line_amount decimal(14,2), lead_time_days int,
         is_late_flag boolean, is_complete_flag boolean, is_otif_flag boolean""",
     "fact_returns": """
-        return_key bigint!, return_id string!, return_date_key int!, product_key int!, location_key int!,
-        customer_key int, original_order_id string, returned_qty int!, refund_amount decimal(14,2),
+        return_key bigint!, return_id string!, return_date_key int!, product_key bigint!, location_key int!,
+        customer_key bigint, original_order_id string, returned_qty int!, refund_amount decimal(14,2),
         return_reason_code string""",
     "fact_stock_transfer": """
-        transfer_key bigint!, transfer_id string!, transfer_date_key int!, product_key int!,
+        transfer_key bigint!, transfer_id string!, transfer_date_key int!, product_key bigint!,
         source_location_key int!, dest_location_key int!, transfer_qty int!, transfer_cost decimal(14,2)""",
 }
 

@@ -131,8 +131,8 @@ class DerivedTables:
         part = self.raw("part")
         pk = F.col("p_partkey")
         core = part.join(self.catalogue(), pk == F.col("l_partkey")).select(
-            _key(pk).alias("product_key"),
-            F.concat(F.lit("SKU-"), F.lpad(pk.cast("string"), 6, "0")).alias("sku"),
+            pk.alias("product_key"),
+            F.format_string("SKU-%06d", pk).alias("sku"),
             F.col("p_name").alias("product_name"),
             F.col("p_type").alias("category"),
             F.col("p_brand").alias("subcategory"),
@@ -151,7 +151,7 @@ class DerivedTables:
         warehouse = key >= 20
         return self.raw("nation").join(self.raw("region"), F.col("n_regionkey") == F.col("r_regionkey")).select(
             _key(key).alias("location_key"),
-            F.concat(F.lit("LOC-"), F.lpad(key.cast("string"), 3, "0")).alias("location_id"),
+            F.format_string("LOC-%03d", key).alias("location_id"),
             F.when(warehouse, "WAREHOUSE").otherwise("STORE").alias("location_type"),
             F.col("n_name").alias("location_name"),
             F.col("r_name").alias("region"),
@@ -179,8 +179,8 @@ class DerivedTables:
     def dim_supplier(self) -> DataFrame:
         key = F.col("s_suppkey")
         return self._suppliers().join(self._nations("s"), "s_nationkey").select(
-            _key(key).alias("supplier_key"),
-            F.concat(F.lit("SUP-"), F.lpad(key.cast("string"), 4, "0")).alias("supplier_id"),
+            key.alias("supplier_key"),
+            F.format_string("SUP-%04d", key).alias("supplier_id"),
             F.col("s_name").alias("supplier_name"),
             F.col("n_name").alias("country"),
             F.col("r_name").alias("region"),
@@ -192,8 +192,8 @@ class DerivedTables:
         key = F.col("c_custkey")
         tier = F.when(key % 20 < 11, "None").when(key % 20 < 17, "Silver").otherwise("Gold")
         return self.raw("customer").join(self._nations("c"), "c_nationkey").select(
-            _key(key).alias("customer_key"),
-            F.concat(F.lit("CUST-"), F.lpad(key.cast("string"), 7, "0")).alias("customer_id"),
+            key.alias("customer_key"),
+            F.format_string("CUST-%07d", key).alias("customer_id"),
             tier.alias("loyalty_tier"),
             (tier != "None").alias("is_loyalty_member"),
             F.col("r_name").alias("region"),
@@ -203,7 +203,7 @@ class DerivedTables:
         key = F.col("id")
         return self.spark.range(1, 121).select(
             _key(key).alias("employee_key"),
-            F.concat(F.lit("EMP-"), F.lpad(key.cast("string"), 4, "0")).alias("employee_id"),
+            F.format_string("EMP-%04d", key).alias("employee_id"),
             F.concat(F.lit("Employee "), key.cast("string")).alias("employee_name"),
             F.element_at(F.array(*[F.lit(r) for r in ROLES]), _key(key % 4 + 1)).alias("role"),
             _key(key % 20).alias("home_location_key"),
@@ -214,7 +214,7 @@ class DerivedTables:
         key = F.col("id")
         return self.spark.range(7, 11).select(
             _key(key).alias("promotion_key"),
-            F.concat(F.lit("PROMO-"), F.lpad(key.cast("string"), 2, "0")).alias("promotion_id"),
+            F.format_string("PROMO-%02d", key).alias("promotion_id"),
             F.concat(key.cast("string"), F.lit(" % off")).alias("promotion_name"),
             F.lit("PERCENT_OFF").alias("promotion_type"),
             key.cast("decimal(5,2)").alias("discount_pct"),
@@ -237,9 +237,9 @@ class DerivedTables:
                 F.monotonically_increasing_id().alias("sales_key"),
                 F.concat(F.lit("ORD-"), F.col("l_orderkey").cast("string")).alias("order_id"),
                 _key(to_date_key("day")).alias("date_key"),
-                _key("l_partkey").alias("product_key"),
+                F.col("l_partkey").alias("product_key"),
                 F.col("place").alias("location_key"),
-                _key("o_custkey").alias("customer_key"),
+                F.col("o_custkey").alias("customer_key"),
                 _key(1 + F.col("l_orderkey") % 120).alias("employee_key"),
                 F.when(promoted, _key("discount_pct")).alias("promotion_key"),
                 _key("units").alias("units_sold_qty"),
@@ -293,8 +293,8 @@ class DerivedTables:
                 # a date beyond the calendar is clipped to its last day
                 _key(to_date_key(F.least(F.date_add("day", F.col("base_lead")), last))).alias("expected_date_key"),
                 _key(to_date_key("received_on")).alias("received_date_key"),
-                _key("l_partkey").alias("product_key"),
-                _key("s_suppkey").alias("supplier_key"),
+                F.col("l_partkey").alias("product_key"),
+                F.col("s_suppkey").alias("supplier_key"),
                 F.col("place").alias("dest_location_key"),
                 _key("units").alias("ordered_qty"),
                 _key(F.when(draw % 17 == 0, _floordiv(F.col("units") * 85, 100)).otherwise(F.col("units"))).alias("received_qty"),
@@ -314,9 +314,9 @@ class DerivedTables:
                 F.monotonically_increasing_id().alias("return_key"),
                 F.concat_ws("-", F.lit("RET"), F.col("l_orderkey"), F.col("l_linenumber")).alias("return_id"),
                 _key(to_date_key("day")).alias("return_date_key"),
-                _key("l_partkey").alias("product_key"),
+                F.col("l_partkey").alias("product_key"),
                 F.col("place").alias("location_key"),
-                _key("o_custkey").alias("customer_key"),
+                F.col("o_custkey").alias("customer_key"),
                 F.concat(F.lit("ORD-"), F.col("l_orderkey").cast("string")).alias("original_order_id"),
                 _key(units).alias("returned_qty"),
                 _cents(units * F.col("price_c")).alias("refund_amount"),
@@ -334,7 +334,7 @@ class DerivedTables:
                 F.monotonically_increasing_id().alias("transfer_key"),
                 F.concat_ws("-", F.lit("TRF"), F.col("l_orderkey"), F.col("l_linenumber")).alias("transfer_id"),
                 _key(to_date_key("day")).alias("transfer_date_key"),
-                _key("l_partkey").alias("product_key"),
+                F.col("l_partkey").alias("product_key"),
                 _key("s_nationkey").alias("source_location_key"),
                 F.col("place").alias("dest_location_key"),
                 _key("units").alias("transfer_qty"),
@@ -380,9 +380,9 @@ class DerivedTables:
             .select(
                 F.monotonically_increasing_id().alias("snapshot_key"),
                 F.col("as_of_key").alias("snapshot_date_key"),
-                _key("product_key").alias("product_key"), "location_key",
-                _key("on_hand").alias("on_hand_qty"),
-                _key(F.coalesce("on_order_qty", F.lit(0))).alias("on_order_qty"),
+                "product_key", "location_key",
+                F.col("on_hand").alias("on_hand_qty"),
+                F.coalesce("on_order_qty", F.lit(0)).alias("on_order_qty"),
                 _key(5 + pk % 10).alias("reorder_point"),
                 _key(2 + pk % 5).alias("safety_stock_qty"),
                 _cents(F.col("cost_c"), PRICE).alias("unit_cost"),

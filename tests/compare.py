@@ -51,8 +51,7 @@ def compare(spark, con, sf_dir: str, name: str, query, sql: str | None) -> dict:
     if sorted(columns) != sorted(df.columns):
         out["problem"] = f"columns {sorted(df.columns)} <> {sorted(columns)}"
         return out
-    loose = {"int", "bigint"}
-    odd = {c: (k, kinds[c]) for c, k in df.dtypes if k != kinds[c] and not {k, kinds[c]} <= loose}
+    odd = {c: (k, kinds[c]) for c, k in df.dtypes if k != kinds[c]}
     if odd:
         out["problem"] = f"types {odd}"
     a, b = _rows(df.columns, got), _rows(columns, want)
