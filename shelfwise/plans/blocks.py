@@ -30,7 +30,8 @@ from shelfwise.schema import TABLES
 from shelfwise.session import shared_folder
 from shelfwise.sources.derived import DerivedTables
 from shelfwise.sources.sinks import (
-    cluster_write, incremental_refresh, refresh_stats, retention_compact, sample_rows, sink_star, sink_table,
+    cluster_write, incremental_refresh, refresh_stats, register_tables, retention_compact, sample_rows, sink_star,
+    sink_table,
 )
 from shelfwise.sources.star import Star, from_csv, from_parquet
 
@@ -133,7 +134,12 @@ def retention(star, built):
 
 
 def statistics(star, built):
-    return refresh_stats(star, scratch(star.spark), ["fact_sales", "fact_inventory_snapshot", "fact_purchase_order"])
+    """Stored tables registered in a database of their own, then analysed."""
+    tables = ["fact_sales", "fact_inventory_snapshot", "fact_purchase_order"]
+    folder, database = scratch(star.spark), f"stats_{uuid.uuid4().hex}"
+    sink_star(star, folder, tables)
+    register_tables(star.spark, folder, tables, database)
+    return refresh_stats(star.spark, tables, database)
 
 
 def load_through_gate(star, built):

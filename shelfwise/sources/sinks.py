@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -83,17 +85,25 @@ def incremental_refresh(df: DataFrame, folder: str, table: str, from_month: int)
     )
 
 
-def refresh_stats(star: Star, folder: str, tables: list[str], database: str = "default") -> DataFrame:
-    """Register tables in the catalog over ``folder`` and collect table and column statistics for the optimiser.
+def register_tables(spark: SparkSession, folder: str, tables: list[str], database: str) -> None:
+    """Make stored tables known to the catalog as external tables of ``database``; existing entries are kept."""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{folder}/_catalog'")
+    for table in tables:
+        name = f"{database}.{table}"
+        if not spark.catalog.tableExists(name):
+            spark.catalog.createTable(name, path=f"{folder}/{table}", source="parquet")
+            if table in PARTITION_COLUMN:
+                spark.catalog.recoverPartitions(name)
+
+
+def refresh_stats(spark: SparkSession, tables: list[str], database: str) -> DataFrame:
+    """Collect table and column statistics for the optimiser after a load.
 
     Returns one row per table with the row count the catalog now knows.
     """
-    spark: SparkSession = star.spark
     found = []
     for table in tables:
         name = f"{database}.{table}"
-        spark.sql(f"DROP TABLE IF EXISTS {name}")
-        star.table(table).write.mode("overwrite").option("path", f"{folder}/{table}").saveAsTable(name)
         spark.sql(f"ANALYZE TABLE {name} COMPUTE STATISTICS FOR ALL COLUMNS")
         found.append(
             spark.sql(f"DESCRIBE TABLE EXTENDED {name}")
@@ -103,7 +113,4 @@ def refresh_stats(star: Star, folder: str, tables: list[str], database: str = "d
                 F.regexp_extract("data_type", r"(\d+) rows", 1).cast("bigint").alias("row_count"),
             )
         )
-    result = found[0]
-    for part in found[1:]:
-        result = result.unionByName(part)
-    return result
+    return reduce(DataFrame.unionByName, found)

@@ -13,6 +13,7 @@ from __spark_entry__ import queries
 from shelfwise.operators.anchors import latest_snapshot, trailing_window
 from shelfwise.operators.clean import dedupe_natural
 from shelfwise.operators.grouping import broadcast_limit, exact_quantile, fits_broadcast, global_rank, prefix_sums, rollup
+from shelfwise.operators.ledger import ledger_rollforward
 from tests.tiny import rows
 
 FORBIDDEN = re.compile("CartesianProduct|BroadcastNestedLoopJoin|BatchEvalPython|ArrowEvalPython|PythonUDF")
@@ -114,3 +115,25 @@ def test_repeated_rows_fold_before_the_shuffle(spark):
     assert plan_of(deduped).count("HashAggregate") >= 2
     assert deduped.filter("x = 1 AND copies > 9000").select("sales_key").first()[0] == 0
     assert deduped.agg(F.sum("copies")).first()[0] == 30000
+
+
+def test_one_key_with_a_third_of_all_rows(spark, no_broadcast):
+    """Sums, ledger and ranks stay right when a third of the rows share product, place and day."""
+    n = 60000
+    i = F.col("id")
+    hot = i % 3 == 0
+    fact = spark.range(n).select(
+        F.when(hot, 1).otherwise(i % 997 + 2).alias("product_key"), F.when(hot, 1).otherwise(i % 25).cast("int").alias("location_key"),
+        F.when(hot, 20240105).otherwise(20240101 + i % 28).cast("int").alias("date_key"), (i % 5 + 1).cast("int").alias("qty"))
+    dim = spark.range(1, 1000).select(F.col("id").alias("product_key"), (F.col("id") % 7).alias("category"))
+    grouped = rollup(fact, dim, ("product_key", "product_key"), ["category"], q=("sum", "qty"), n=("count", F.lit(1)))
+    assert "partial_sum" in plan_of(grouped) and grouped.agg(F.sum("n")).first()[0] == n
+    assert rows(grouped) == rows(fact.join(dim, "product_key").groupBy("category").agg(F.sum("qty"), F.count(F.lit(1))))
+
+    keys = ["product_key", "location_key"]
+    moved = ledger_rollforward(fact.filter("qty = 5"), fact, None, keys, "date_key")
+    assert moved.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] <= 28
+    demanded, got, missed = moved.agg(F.sum("demand"), F.sum("sold"), F.sum("unmet")).first()
+    assert demanded == fact.agg(F.sum("qty")).first()[0] == got + missed
+    ranked = global_rank(fact.select("qty"), "qty", "r").groupBy("qty", "r").agg(F.count(F.lit(1)))
+    assert rows(ranked) == [(q, (5 - q) * (n // 5) + 1, n // 5) for q in range(1, 6)]

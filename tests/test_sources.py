@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from shelfwise.plans.load import gated_load, materialize
 from shelfwise.plans.views import register_views
 from shelfwise.schema import SCHEMAS, stored_schema
-from shelfwise.sources.sinks import incremental_refresh, refresh_stats, sample_rows, sink_star, sink_table
+from shelfwise.sources.sinks import incremental_refresh, refresh_stats, register_tables, sample_rows, sink_star, sink_table
 from shelfwise.sources.star import from_csv, from_parquet
 from tests.tiny import location, product, rows, sale, star, stock
 
@@ -66,9 +66,11 @@ def test_incremental_refresh_leaves_old_months_alone(spark, tmp_path):
 
 
 def test_statistics_reach_the_catalog(spark, tmp_path):
-    s = small(spark)
-    assert rows(refresh_stats(s, str(tmp_path), ["fact_sales", "fact_inventory_snapshot"])) == [
-        ("fact_inventory_snapshot", 3), ("fact_sales", 8)]
+    tables = ["fact_sales", "fact_inventory_snapshot"]
+    sink_star(small(spark), str(tmp_path), tables)
+    register_tables(spark, str(tmp_path), tables, "stats_test")
+    assert rows(refresh_stats(spark, tables, "stats_test")) == [("fact_inventory_snapshot", 3), ("fact_sales", 8)]
+    assert rows(spark.table("stats_test.fact_sales"), "sales_key")[0] == (1,)
 
 
 def test_sample_is_in_key_order(spark):
