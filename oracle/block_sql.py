@@ -177,6 +177,10 @@ BLOCK_SQL: dict[str, str] = {
         WHERE date_key = (SELECT max(date_key) FROM f_snap z WHERE z.product_key = s.product_key) GROUP BY ALL""",
     "semi_avg_daily": "SELECT location_key, sum(d)::DOUBLE / 100e0 / count(*) AS average_value FROM (SELECT location_key, date_key, sum(value_c) AS d FROM f_snap GROUP BY ALL) GROUP BY ALL",
     "agg_row_avg": f"SELECT location_key, {ratio(usd('value_c'), 'count(*)')} AS row_average FROM f_snap GROUP BY ALL",
+    "quantile_clip_hist": f"""
+        WITH c AS (SELECT quantile_cont(on_hand, 0.99) AS cap FROM f_snap)
+        SELECT max(cap) AS clip_at, (count(*) FILTER (WHERE on_hand > cap))::BIGINT AS clipped_rows, {N} AS snapshot_rows,
+               sum(least(on_hand::DOUBLE, cap)) AS clipped_sum FROM f_snap, c""",
     "win_lag_delta": """
         SELECT *, units - lag(units) OVER (PARTITION BY category ORDER BY sale_month) AS delta
         FROM (SELECT category, (date_key // 100)::INTEGER AS sale_month, sum(units_sold_qty)::BIGINT AS units FROM f_sales JOIN d_product USING (product_key) GROUP BY ALL)""",

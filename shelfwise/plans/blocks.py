@@ -17,7 +17,7 @@ from shelfwise.operators.clean import (
 )
 from shelfwise.operators.calendar import dim_date_build
 from shelfwise.operators.classify import abc_classify, xyz_classify
-from shelfwise.operators.grouping import rollup, share_of_total, topk
+from shelfwise.operators.grouping import exact_quantile, rollup, share_of_total, topk
 from shelfwise.operators.ledger import ledger_rollforward, open_orders, po_lifecycle, snapshot_flags
 from shelfwise.operators.policy import affected_products, lead_time_history, row_policy, supplier_lines
 from shelfwise.operators.quality import (
@@ -356,6 +356,15 @@ def agg_row_avg(star, built):
     return star.snapshot.groupBy("location_key").agg(mean("on_hand_value").alias("row_average"))
 
 
+def quantile_clip(star, built):
+    """The exact 99th percentile of on-hand quantity and how many rows it clips."""
+    cap = exact_quantile(star.snapshot, "on_hand_qty", 0.99).scalar()
+    over = double("on_hand_qty") > cap
+    return star.snapshot.agg(
+        F.max(cap).alias("clip_at"), F.count_if(over).alias("clipped_rows"), F.count(F.lit(1)).alias("snapshot_rows"),
+        F.sum(F.least(double("on_hand_qty"), cap)).alias("clipped_sum"))
+
+
 # -- windows, order, sets ----------------------------------------------------------------------------------------------
 
 
@@ -576,7 +585,7 @@ BLOCKS = {
     "exists_range_open_po": exists_range_open_po,
     "agg_basic": agg_basic, "agg_filter": agg_filter, "agg_distinct": agg_distinct, "agg_having": agg_having,
     "agg_stddev_samp": agg_stddev_samp, "agg_stddev_pop": agg_stddev_pop, "safe_ratio": safe_ratio_block,
-    "semi_closing": semi_closing, "semi_avg_daily": semi_avg_daily, "agg_row_avg": agg_row_avg,
+    "semi_closing": semi_closing, "semi_avg_daily": semi_avg_daily, "agg_row_avg": agg_row_avg, "quantile_clip_hist": quantile_clip,
     "win_lag_delta": win_lag_delta, "win_rank": win_rank, "win_row_number": win_row_number,
     "win_running_sum": win_running_sum, "win_total": win_total, "win_partition_avg": win_partition_avg,
     "win_dup_flag": win_dup_flag, "sort_multi": sort_multi, "sort_nulls_last": sort_nulls_last, "topk": topk_block,
