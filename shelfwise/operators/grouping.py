@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from shelfwise.session import shared_folder
 
-_FIRST = {"sum": F.sum, "count": F.count, "count_if": F.count_if, "max": F.max, "min": F.min}
-_MERGE = {"sum": F.sum, "count": F.sum, "count_if": F.sum, "max": F.max, "min": F.min}
+# How an aggregate is taken over rows, and over partial results of itself.
+FIRST = {"sum": F.sum, "count": F.count, "count_if": F.count_if, "max": F.max, "min": F.min}
+MERGE = {"sum": F.sum, "count": F.sum, "count_if": F.sum, "max": F.max, "min": F.min}
 _BYTES = {"b": 1, "k": 1 << 10, "m": 1 << 20, "g": 1 << 30}
 
 
@@ -37,10 +38,10 @@ def rollup(fact: DataFrame, dim: DataFrame, on: tuple[str, str], attrs: Sequence
     """
     fact_key, dim_key = on
     side = dim.select(F.col(dim_key).alias(fact_key), *[a for a in attrs if a != fact_key])
-    first = [_FIRST[kind](value).alias(name) for name, (kind, value) in aggs.items()]
+    first = [FIRST[kind](value).alias(name) for name, (kind, value) in aggs.items()]
     if fits_broadcast(side):
         return fact.join(F.broadcast(side), fact_key).groupBy(*by, *attrs).agg(*first)
-    merged = [_MERGE[kind](name).alias(name) for name, (kind, _) in aggs.items()]
+    merged = [MERGE[kind](name).alias(name) for name, (kind, _) in aggs.items()]
     return fact.groupBy(*dict.fromkeys([*by, fact_key])).agg(*first).join(side, fact_key).groupBy(*by, *attrs).agg(*merged)
 
 

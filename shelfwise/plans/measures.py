@@ -17,8 +17,8 @@ from pyspark.sql import functions as F
 from shelfwise.functions.columns import (
     double, from_date_key, health_status, mean, month_number_line, safe_ratio, to_date_key, total,
 )
-from shelfwise.operators.anchors import at_closing, semi_avg_daily, semi_closing
-from shelfwise.operators.grouping import global_rank
+from shelfwise.operators.anchors import at_closing, semi_closing
+from shelfwise.operators.grouping import FIRST, MERGE, fits_broadcast, global_rank
 from shelfwise.schema import PRIMARY_KEY, SCHEMAS
 
 Filters = Mapping[str, Any] | None
@@ -53,8 +53,8 @@ def _allowed(attr: str, wanted: Any) -> Column:
     return F.col(attr) == wanted
 
 
-def context(star, fact: str, group_cols: Sequence[str] = (), filters: Filters = None) -> DataFrame:
-    """Fact rows under a filter, with the grouping attributes attached. Only dimensions that are needed are joined."""
+def _sides(star, fact: str, group_cols: Sequence[str], filters: Filters):
+    """The fact filtered on its own columns, and for every dimension needed: (fact key, filtered side, attributes kept)."""
     df, own = star.table(fact), set(SCHEMAS[fact].fieldNames())
     filters = dict(filters or {})
     needed: dict[str, set[str]] = {}
@@ -63,71 +63,108 @@ def context(star, fact: str, group_cols: Sequence[str] = (), filters: Filters =
             needed.setdefault(owner(fact, attr), set()).add(attr)
     for attr in [a for a in filters if a in own]:
         df = df.filter(_allowed(attr, filters.pop(attr)))
+    sides = []
     for dim, attrs in needed.items():
-        key = PRIMARY_KEY[dim][0]
         side = star.table(dim)
         for attr in attrs & set(filters):
             side = side.filter(_allowed(attr, filters[attr]))
         keep = sorted(attrs & set(group_cols))
-        side = side.select(F.col(key).alias(ROLES[fact][dim]), *keep)
-        df = df.join(side, ROLES[fact][dim])
-    return df
-
-
-# Additive (or directly aggregable) building blocks: name -> (fact, aggregate).
-SIMPLE: dict[str, tuple[str, Callable[[], Column]]] = {
-    "revenue": ("fact_sales", lambda: total("net_sales_amount")),
-    "cogs": ("fact_sales", lambda: total("cogs_amount")),
-    "margin": ("fact_sales", lambda: total("gross_margin_amount")),
-    "units": ("fact_sales", lambda: F.sum("units_sold_qty")),
-    "discount": ("fact_sales", lambda: total("discount_amount")),
-    "baskets": ("fact_sales", lambda: F.count_distinct("order_id")),
-    "stock_rows": ("fact_inventory_snapshot", lambda: F.count(F.lit(1))),
-    "out_rows": ("fact_inventory_snapshot", lambda: F.count_if("is_stockout_flag")),
-    "lines": ("fact_purchase_order", lambda: F.count(F.lit(1))),
-    "otif_lines": ("fact_purchase_order", lambda: F.count_if("is_otif_flag")),
-    "late_lines": ("fact_purchase_order", lambda: F.count_if("is_late_flag")),
-    "lead_mean": ("fact_purchase_order", lambda: mean("lead_time_days")),
-    "lead_spread": ("fact_purchase_order", lambda: F.stddev_pop("lead_time_days")),
-    "ordered": ("fact_purchase_order", lambda: F.sum("ordered_qty")),
-    "received": ("fact_purchase_order", lambda: F.sum("received_qty")),
-    "spend": ("fact_purchase_order", lambda: total("po_line_amount")),
-    "returned": ("fact_returns", lambda: F.sum("returned_qty")),
+        key = ROLES[fact][dim]
+        sides.append((key, side.select(F.col(PRIMARY_KEY[dim][0]).alias(key), *keep)))
+    return df, sides
+
+
+def context(star, fact: str, group_cols: Sequence[str] = (), filters: Filters = None) -> DataFrame:
+    """Fact rows under a filter, with the grouping attributes attached. Only dimensions that are needed are joined."""
+    df, sides = _sides(star, fact, group_cols, filters)
+    return reduce(lambda left, side: left.join(side[1], side[0]), sides, df)
+
+
+def grouped(star, fact: str, group_cols: Sequence[str], filters: Filters = None, **aggs: tuple[str, str | Column]) -> DataFrame:
+    """Aggregates of a fact at any grain under a filter; ``aggs`` as in ``rollup``.
+
+    Small dimensions are joined first. If one is too large to broadcast, the fact is reduced to one row per combination of
+    keys before any join.
+    """
+    df, sides = _sides(star, fact, group_cols, filters)
+    first = [FIRST[kind](value).alias(name) for name, (kind, value) in aggs.items()]
+    if all(fits_broadcast(side) for _, side in sides):
+        joined = reduce(lambda left, side: left.join(F.broadcast(side[1]), side[0]), sides, df)
+        return joined.groupBy(*group_cols).agg(*first)
+    own = [c for c in group_cols if c in df.columns]
+    partial_rows = df.groupBy(*dict.fromkeys([*(key for key, _ in sides), *own])).agg(*first)
+    joined = reduce(lambda left, side: left.join(side[1], side[0]), sides, partial_rows)
+    return joined.groupBy(*group_cols).agg(*[MERGE[kind](name).alias(name) for name, (kind, _) in aggs.items()])
+
+
+# Building blocks that add up over rows: name -> (fact, kind of aggregate, column).
+ADDITIVE: dict[str, tuple[str, str, str | Column]] = {
+    "revenue": ("fact_sales", "sum", "net_sales_amount"),
+    "cogs": ("fact_sales", "sum", "cogs_amount"),
+    "margin": ("fact_sales", "sum", "gross_margin_amount"),
+    "units": ("fact_sales", "sum", "units_sold_qty"),
+    "discount": ("fact_sales", "sum", "discount_amount"),
+    "stock_rows": ("fact_inventory_snapshot", "count", "snapshot_date_key"),
+    "out_rows": ("fact_inventory_snapshot", "count_if", "is_stockout_flag"),
+    "lines": ("fact_purchase_order", "count", "po_line_key"),
+    "otif_lines": ("fact_purchase_order", "count_if", "is_otif_flag"),
+    "late_lines": ("fact_purchase_order", "count_if", "is_late_flag"),
+    "lead_sum": ("fact_purchase_order", "sum", "lead_time_days"),
+    "lead_rows": ("fact_purchase_order", "count", "lead_time_days"),
+    "ordered": ("fact_purchase_order", "sum", "ordered_qty"),
+    "received": ("fact_purchase_order", "sum", "received_qty"),
+    "spend": ("fact_purchase_order", "sum", "po_line_amount"),
+    "returned": ("fact_returns", "sum", "returned_qty"),
 }
+SNAPSHOT = "fact_inventory_snapshot"
+
+
+def _daily_stock(star, group_cols, filters, **aggs):
+    return grouped(star, SNAPSHOT, [*group_cols, "snapshot_date_key"], filters, **aggs)
+
+
+def _at_last_day(daily: DataFrame, group_cols, *names: str) -> DataFrame:
+    """Daily totals at the last day each group has."""
+    return daily.groupBy(*group_cols).agg(*[F.max_by(n, "snapshot_date_key").alias(n) for n in names])
 
 
 def _closing_value(star, group_cols, filters):
-    snap = context(star, "fact_inventory_snapshot", group_cols, filters)
-    return semi_closing(snap, list(group_cols), closing_value="on_hand_value", closing_units="on_hand_qty")
+    values = {"closing_value": "on_hand_value", "closing_units": "on_hand_qty"}
+    if not group_cols and not filters:
+        return semi_closing(star.snapshot, [], **values)
+    daily = _daily_stock(star, group_cols, filters, **{n: ("sum", c) for n, c in values.items()})
+    return _at_last_day(daily, group_cols, *values)
 
 
 def _average_value(star, group_cols, filters):
-    snap = context(star, "fact_inventory_snapshot", group_cols, filters)
-    return semi_avg_daily(snap, list(group_cols), average_value="on_hand_value")
+    daily = _daily_stock(star, group_cols, filters, v=("sum", "on_hand_value"))
+    return daily.groupBy(*group_cols).agg((F.sum("v").cast("double") / F.count("v")).alias("average_value"))
+
 
+def _below_rows(star, group_cols, filters):
+    daily = _daily_stock(star, group_cols, filters, below_rows=("count_if", "is_below_reorder_flag"))
+    return _at_last_day(daily, group_cols, "below_rows")
 
-def _closing_alarms(star, group_cols, filters):
-    rows = at_closing(context(star, "fact_inventory_snapshot", group_cols, filters), list(group_cols))
+
+def _out_products(star, group_cols, filters):
+    rows = at_closing(context(star, SNAPSHOT, group_cols, filters), list(group_cols))
     return rows.groupBy(*group_cols).agg(
-        F.count_distinct(F.when(F.col("is_stockout_flag"), F.col("product_key"))).alias("out_products"),
-        F.count_if("is_below_reorder_flag").alias("below_rows"),
+        F.count_distinct(F.when(F.col("is_stockout_flag"), F.col("product_key"))).alias("out_products")
     )
 
 
 def _reorder_rows(star, group_cols, filters):
     """The closing date is looked up under the narrowed filter, as the measure nests it."""
     narrowed = {**(filters or {}), "on_order_qty": 0, "is_active": True}
-    snap = context(star, "fact_inventory_snapshot", group_cols, narrowed)
-    closing = snap.groupBy(*group_cols, "snapshot_date_key").agg(F.count_if("is_below_reorder_flag").alias("n"))
-    return closing.groupBy(*group_cols).agg(F.max_by("n", "snapshot_date_key").alias("reorder_rows"))
+    daily = _daily_stock(star, group_cols, narrowed, reorder_rows=("count_if", "is_below_reorder_flag"))
+    return _at_last_day(daily, group_cols, "reorder_rows")
 
 
 def _dead_value(star, group_cols, filters, days: int = 180):
-    grain = [*group_cols, "product_key"]
-    stock = semi_closing(context(star, "fact_inventory_snapshot", group_cols, filters), grain, v="on_hand_value")
-    sold = context(star, "fact_sales", group_cols, filters).groupBy(*[F.col(c).alias(f"_{c}") for c in grain]).agg(
-        F.max("date_key").alias("_last")
-    )
+    grain = list(dict.fromkeys([*group_cols, "product_key"]))
+    stock = _at_last_day(_daily_stock(star, grain, filters, v=("sum", "on_hand_value")), grain, "v")
+    sold = grouped(star, "fact_sales", grain, filters, _last=("max", "date_key"))
+    sold = sold.select(*[F.col(c).alias(f"_{c}") for c in grain], "_last")
     match = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in grain])
     threshold = to_date_key(F.date_sub(star.dates.agg(F.max("full_date")).scalar(), days))
     dead = stock.join(sold, match, "left").filter(F.col("_last").isNull() | (F.col("_last") < threshold))
@@ -137,22 +174,34 @@ def _dead_value(star, group_cols, filters, days: int = 180):
 def _lost_sales(star, group_cols, filters):
     """Stock-out rows x mean units per sale line at (product, location) x list price."""
     pair = ["product_key", "location_key"]
-    out = context(star, "fact_inventory_snapshot", group_cols, filters).filter("is_stockout_flag")
-    rows = out.groupBy(*dict.fromkeys([*group_cols, *pair])).agg(F.count(F.lit(1)).alias("n"))
+    empty = {**(filters or {}), "is_stockout_flag": True}
+    rows = grouped(star, SNAPSHOT, list(dict.fromkeys([*group_cols, *pair])), empty, n=("count", "snapshot_date_key"))
     demand = star.sales.groupBy(*pair).agg(mean("units_sold_qty").alias("u"))
     priced = rows.join(demand, pair).join(star.product.select("product_key", double("unit_price").alias("p")), "product_key")
     return priced.groupBy(*group_cols).agg(F.round(F.sum(F.col("n") * F.col("u") * F.col("p")), 2).alias("lost_sales"))
 
 
+def _baskets(star, group_cols, filters):
+    return context(star, "fact_sales", group_cols, filters).groupBy(*group_cols).agg(F.count_distinct("order_id").alias("baskets"))
+
+
+def _lead_spread(star, group_cols, filters):
+    rows = context(star, "fact_purchase_order", group_cols, filters)
+    return rows.groupBy(*group_cols).agg(F.stddev_pop("lead_time_days").alias("lead_spread"))
+
+
+# Building blocks that do not add up over rows.
 SPECIAL: dict[str, Callable[..., DataFrame]] = {
     "closing_value": _closing_value,
     "closing_units": _closing_value,
     "average_value": _average_value,
-    "out_products": _closing_alarms,
-    "below_rows": _closing_alarms,
+    "out_products": _out_products,
+    "below_rows": _below_rows,
     "reorder_rows": _reorder_rows,
     "dead_value": _dead_value,
     "lost_sales": _lost_sales,
+    "baskets": _baskets,
+    "lead_spread": _lead_spread,
 }
 
 CARRYING_RATE = 0.25
@@ -164,18 +213,18 @@ def _score() -> Column:
     return (
         F.lit(otif) * (safe_ratio("otif_lines", "lines") * 100)
         + F.lit(fill) * (safe_ratio("received", "ordered") * 100)
-        + F.lit(lead) * F.col("lead_mean")
+        + F.lit(lead) * safe_ratio("lead_sum", "lead_rows")
     )
 
 
 # name -> (building blocks, expression over them)
 MEASURES: dict[str, tuple[tuple[str, ...], Callable[[], Column]]] = {
-    "total_revenue": (("revenue",), lambda: F.col("revenue")),
-    "total_cogs": (("cogs",), lambda: F.col("cogs")),
-    "gross_margin": (("margin",), lambda: F.col("margin")),
+    "total_revenue": (("revenue",), lambda: double("revenue")),
+    "total_cogs": (("cogs",), lambda: double("cogs")),
+    "gross_margin": (("margin",), lambda: double("margin")),
     "gross_margin_pct": (("margin", "revenue"), lambda: safe_ratio("margin", "revenue")),
     "units_sold": (("units",), lambda: F.col("units")),
-    "total_discount": (("discount",), lambda: F.col("discount")),
+    "total_discount": (("discount",), lambda: double("discount")),
     "avg_basket_value": (("revenue", "baskets"), lambda: safe_ratio("revenue", "baskets")),
     "inventory_value": (("closing_value",), lambda: double("closing_value")),
     "on_hand_units": (("closing_units",), lambda: F.col("closing_units")),
@@ -191,11 +240,11 @@ MEASURES: dict[str, tuple[tuple[str, ...], Callable[[], Column]]] = {
     "po_line_count": (("lines",), lambda: F.col("lines")),
     "otif_pct": (("otif_lines", "lines"), lambda: safe_ratio("otif_lines", "lines")),
     "late_rate": (("late_lines", "lines"), lambda: safe_ratio("late_lines", "lines")),
-    "avg_lead_time": (("lead_mean",), lambda: F.col("lead_mean")),
+    "avg_lead_time": (("lead_sum", "lead_rows"), lambda: safe_ratio("lead_sum", "lead_rows")),
     "lead_time_var": (("lead_spread",), lambda: F.round("lead_spread", 6)),
     "po_fill_rate": (("received", "ordered"), lambda: safe_ratio("received", "ordered")),
-    "supplier_spend": (("spend",), lambda: F.col("spend")),
-    "supplier_score": (("otif_lines", "lines", "received", "ordered", "lead_mean"), _score),
+    "supplier_spend": (("spend",), lambda: double("spend")),
+    "supplier_score": (("otif_lines", "lines", "received", "ordered", "lead_sum", "lead_rows"), _score),
     "return_rate": (("returned", "units"), lambda: safe_ratio("returned", "units")),
     "est_lost_sales": (("lost_sales",), lambda: F.col("lost_sales")),
     "reorder_now_count": (("reorder_rows",), lambda: F.col("reorder_rows")),
@@ -207,14 +256,12 @@ def measure(star, names: Sequence[str], group_cols: Sequence[str] = (), filters:
     """The grain columns and the named measures, one row per grain value found in any fact involved."""
     group_cols = list(group_cols)
     blocks = dict.fromkeys(b for n in names for b in MEASURES[n][0])
-    per_fact: dict[str, list[str]] = {}
+    per_fact: dict[str, dict[str, tuple[str, str | Column]]] = {}
     for block in blocks:
-        if block in SIMPLE:
-            per_fact.setdefault(SIMPLE[block][0], []).append(block)
-    parts = [
-        context(star, fact, group_cols, filters).groupBy(*group_cols).agg(*[SIMPLE[b][1]().alias(b) for b in wanted])
-        for fact, wanted in per_fact.items()
-    ]
+        if block in ADDITIVE:
+            fact, *aggregate = ADDITIVE[block]
+            per_fact.setdefault(fact, {})[block] = tuple(aggregate)
+    parts = [grouped(star, fact, group_cols, filters, **aggs) for fact, aggs in per_fact.items()]
     for build in dict.fromkeys(SPECIAL[b] for b in blocks if b in SPECIAL):
         part = build(star, group_cols, filters)
         parts.append(part.select(*group_cols, *[c for c in part.columns if c in blocks]))
@@ -231,7 +278,7 @@ def measure(star, names: Sequence[str], group_cols: Sequence[str] = (), filters:
 
 def monthly_revenue(star, group_cols: Sequence[str] = (), filters: Filters = None) -> DataFrame:
     grain = [*group_cols, "year", "month_number"]
-    return context(star, "fact_sales", grain, filters).groupBy(*grain).agg(F.sum("net_sales_amount").alias("revenue"))
+    return grouped(star, "fact_sales", grain, filters, revenue=("sum", "net_sales_amount"))
 
 
 def period_compare(df: DataFrame, value: str, months: int, group_cols: Sequence[str] = ()) -> DataFrame:
@@ -263,9 +310,7 @@ def rolling_daily_avg(star, months: int = 3, group_cols: Sequence[str] = (), fil
 
     A day is offered to its own and the following ``months`` months by an equality on the month line.
     """
-    daily = context(star, "fact_sales", group_cols, filters).groupBy(*group_cols, "date_key").agg(
-        F.sum("net_sales_amount").alias("revenue")
-    )
+    daily = grouped(star, "fact_sales", [*group_cols, "date_key"], filters, revenue=("sum", "net_sales_amount"))
     day = from_date_key("date_key")
     offered = daily.withColumn("_day", day).withColumn(
         "_line", F.explode(F.sequence(month_number_line(F.year(day), F.month(day)),
@@ -315,7 +360,7 @@ def m_revenue_rank(star, group_cols=("location_name",), filters=None):
 
     A grain of locations or calendar parts is short enough for one ordered window; any other is ranked in slices.
     """
-    df = context(star, "fact_sales", group_cols, filters).groupBy(*group_cols).agg(F.sum("net_sales_amount").alias("r"))
+    df = grouped(star, "fact_sales", group_cols, filters, r=("sum", "net_sales_amount"))
     if {owner("fact_sales", c) for c in group_cols} <= {"dim_location", "dim_date"}:
         rank = F.rank().over(Window.orderBy(F.desc("r"))).cast("bigint")
         return df.select(*group_cols, rank.alias("revenue_rank"))
@@ -325,7 +370,7 @@ def m_revenue_rank(star, group_cols=("location_name",), filters=None):
 def m_store_vs_region_pct(star, group_cols=("location_name",), filters=None):
     """Distance of each location from the mean over all locations of its region, warehouses included."""
     grain = list(dict.fromkeys([*group_cols, "region"]))
-    df = context(star, "fact_sales", grain, filters).groupBy(*grain).agg(F.sum("net_sales_amount").alias("r"))
+    df = grouped(star, "fact_sales", grain, filters, r=("sum", "net_sales_amount"))
     peers = Window.partitionBy("region")
     average = safe_ratio(F.sum("r").over(peers), F.count("r").over(peers))
     return df.withColumn("_avg", average).select(
@@ -338,9 +383,7 @@ def m_category_share(star, group_cols=("category",), filters=None):
     group_cols = list(dict.fromkeys([*group_cols, "category"]))
     others = [c for c in group_cols if c != "category"]
     open_filters = {k: v for k, v in (filters or {}).items() if k != "category"}
-    df = context(star, "fact_sales", group_cols, open_filters).groupBy(*group_cols).agg(
-        F.sum("net_sales_amount").alias("r")
-    )
+    df = grouped(star, "fact_sales", group_cols, open_filters, r=("sum", "net_sales_amount"))
     whole = F.sum("r").over(Window.partitionBy(*(others or [F.lit(1)])))
     shared = df.select(*group_cols, safe_ratio("r", whole).alias("category_share"))
     wanted = (filters or {}).get("category")

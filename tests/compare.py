@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import os
+import re
 import sys
 import time
 
@@ -11,6 +12,8 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages benchmark "
           "labels conversations").split()
+# operators no registered query may need: pairwise joins and rows passing through Python
+SHUNNED = re.compile("CartesianProduct|BroadcastNestedLoopJoin|BatchEvalPython|ArrowEvalPython|PythonUDF|InPandas|InArrow")
 KINDS = {"INTEGER": "int", "BIGINT": "bigint", "DOUBLE": "double", "VARCHAR": "string", "BOOLEAN": "boolean", "DATE": "date"}
 
 
@@ -39,7 +42,8 @@ def compare(spark, con, sf_dir: str, name: str, query, sql: str | None) -> dict:
     df = query(spark, sf_dir)
     got = [tuple(r) for r in df.collect()]
     took = time.time() - start
-    out = {"name": name, "rows": len(got), "spark_sec": round(took, 2), "problem": ""}
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    out = {"name": name, "rows": len(got), "spark_sec": round(took, 2), "problem": "", "shunned": sorted(set(SHUNNED.findall(plan)))}
     if sql is None:
         return out
     start = time.time()

@@ -27,6 +27,7 @@ def test_names_cover_the_catalogue():
 def test_result(spark, con, sf_dir, name):
     outcome = compare(spark, con, sf_dir, name, QUERIES[name], SQL[name])
     assert outcome["problem"] == ""
+    assert outcome["shunned"] == []
 
 
 def test_flagship(spark):
