@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from oracle.question_sql import LOSS, PO, STORE_REVENUE, SUPPLIES
+from oracle.question_sql import LOSS, PO, STORE_REVENUE
 from oracle.star_sql import ratio, usd
 from shelfwise.schema import NATURAL_KEY, PRIMARY_KEY, REFERENCES, REQUIRED
 

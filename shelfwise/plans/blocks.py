@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfwise.functions.columns import (
-    double, from_date_key, mean, month_of_key, percent, safe_ratio, stale, supply_band, total,
+    double, from_date_key, mean, month_of_key, safe_ratio, stale, supply_band, total,
 )
 from shelfwise.operators import anchors
 from shelfwise.operators.clean import (

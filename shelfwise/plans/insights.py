@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfwise.functions.columns import double, mean, percent, safe_ratio, total
+from shelfwise.functions.columns import double, percent, safe_ratio, total
 from shelfwise.operators.anchors import current_stock, demand_rate, latest_snapshot
 from shelfwise.operators.grouping import rollup, share_of_total
 from shelfwise.plans.executive import side_by_side

@@ -43,7 +43,7 @@ def test_large_dimension_path_gives_the_same_rows(spark, derived_star, no_broadc
     assert late_rows == rows(early)
 
 
-@pytest.mark.parametrize("name", ["q02", "q07", "q13", "q18", "q25", "q31", "q33", "q38", "q41", "kpi_report", "dq_report",
+@pytest.mark.parametrize("name", ["q02", "q07", "q13", "q18", "q25", "q31", "q33", "q14", "q24", "q29", "q38", "q41", "win_lag_delta", "vw_dead_stock", "kpi_report", "dq_report",
                                   "m_turnover", "m_inventory_value", "m_dead_stock_value", "m_reorder_now_count", "m_revenue_ytd",
                                   "m_est_lost_sales", "m_avg_basket_value", "m_stockout_sku_count", "m_supplier_score"])
 def test_questions_without_broadcast(spark, sf_dir, no_broadcast, name):
