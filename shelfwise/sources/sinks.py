@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -36,9 +37,11 @@ def sink_table(df: DataFrame, folder: str, table: str, fmt: str = "parquet") ->
     return path
 
 
-def sink_star(star: Star, folder: str, tables: list[str] | None = None, fmt: str = "parquet") -> None:
-    for table in tables or list(SCHEMAS):
-        sink_table(star.table(table), folder, table, fmt)
+def sink_star(star: Star, folder: str, tables: list[str] | None = None, fmt: str = "parquet", threads: int = 4) -> None:
+    """Write tables, a few at a time, so that small ones do not wait for the big facts."""
+    frames = {table: star.table(table) for table in tables or SCHEMAS}
+    with ThreadPoolExecutor(threads) as pool:
+        list(pool.map(lambda table: sink_table(frames[table], folder, table, fmt), frames))
 
 
 def sample_rows(df: DataFrame, table: str, n: int = 500, key: list[str] | None = None) -> DataFrame:
