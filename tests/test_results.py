@@ -2,10 +2,12 @@
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from oracle.registry import all_sql
+from shelfwise.plans.catalog import all_queries
 from tests.compare import compare, duck
 
-QUERIES, SQL = queries(), oracle_sql()
+QUERIES, SQL = all_queries(), all_sql()
 
 
 @pytest.fixture(scope="module")
