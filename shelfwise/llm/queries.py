@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfwise.llm import simhash
+from shelfwise.llm import centroid_lang, html_regions, rule_ledger, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -19,5 +19,19 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicate_groups(_table(spark, sf_dir, "documents"))
 
 
+def op4_rule_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rule_ledger.verdicts(_table(spark, sf_dir, "documents"))
+
+
+def op6_html_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_regions.extract(_table(spark, sf_dir, "pages"))
+
+
+def op10_centroid_lang(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").withColumn("held_out", centroid_lang.held_out())
+    model = centroid_lang.fit(docs.filter(~docs.held_out))
+    return centroid_lang.predict(docs, model, keep=("doc_id", "held_out"))
+
+
 def llm_queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_simhash,)}
+    return {f.__name__: f for f in (op1_simhash, op4_rule_ledger, op6_html_regions, op10_centroid_lang)}
