@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from shelfwise.llm import centroid_lang, html_regions, rule_ledger, simhash
+from shelfwise.llm import bm25_packing, centroid_lang, html_regions, rule_ledger, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -23,6 +24,11 @@ def op4_rule_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rule_ledger.verdicts(_table(spark, sf_dir, "documents"))
 
 
+def op5_bm25_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = bm25_packing.pack(_table(spark, sf_dir, "documents"))
+    return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+
+
 def op6_html_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_regions.extract(_table(spark, sf_dir, "pages"))
 
@@ -34,4 +40,4 @@ def op10_centroid_lang(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def llm_queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_simhash, op4_rule_ledger, op6_html_regions, op10_centroid_lang)}
+    return {f.__name__: f for f in (op1_simhash, op4_rule_ledger, op5_bm25_packing, op6_html_regions, op10_centroid_lang)}
