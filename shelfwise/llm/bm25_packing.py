@@ -8,6 +8,7 @@ to fit and its rest opens the next window, so only the last window of a partitio
 
 from __future__ import annotations
 
+import json
 import os
 from collections.abc import Iterator
 from functools import lru_cache
@@ -28,10 +29,10 @@ SHARD_TOKENS = 1 << 21
 QUERY_TERMS = 32
 K1, B = 1.2, 0.75
 #: Words whose ids a Python worker remembers before it starts afresh.
-CACHE_WORDS = 600_000
+CACHE_WORDS = 800_000
 #: Byte-pair ids grow rarer with their number; those from here on make the min-hash.
 RARE_FROM = 2_000
-_EMIT = 1_000
+PUNCTUATION = b"!#$%&*+,-./:;<=>?@\\^_`|~()[]{}"
 
 
 def default_tokenizer() -> str:
@@ -42,7 +43,12 @@ def default_tokenizer() -> str:
 
 
 class Encoder:
-    """Ids of whole texts. The tokenizer drops white space and never joins across it, so words are looked up one by one."""
+    """Ids of whole texts. The tokenizer drops white space and never joins across it, so words are looked up one by one.
+
+    It also lower-cases and splits punctuation from letters: a word not seen before is put together from its
+    letters and the punctuation behind them, each encoded once. Words of letters are encoded many in one text, where the
+    tokenizer's mark for the end of a word tells them apart.
+    """
 
     def __init__(self, tokenizer_json: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -51,21 +57,63 @@ class Encoder:
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
         self.dtype = np.dtype("<u2") if self.tokenizer.get_vocab_size() <= 1 << 16 else np.dtype("<u4")
         self.known: dict[bytes, bytes] = {}
+        self.pieces: dict[bytes, bytes] = {}
+        suffix = json.loads(tokenizer_json)["model"].get("end_of_word_suffix")
+        self.ends = np.zeros(self.tokenizer.get_vocab_size(), dtype=bool)
+        for token, number in self.tokenizer.get_vocab().items():
+            self.ends[number] = bool(suffix) and token.endswith(suffix)
+
+    def _bytes(self, ids: list[int]) -> bytes:
+        return np.array(ids, self.dtype).tobytes()
+
+    def _each(self, words: list[bytes]) -> None:
+        encoded = self.tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)
+        self.pieces.update(zip(words, (self._bytes(e.ids) for e in encoded), strict=True))
+
+    def _learn_pieces(self, words: list[bytes]) -> None:
+        plain = [w for w in words if w.isalpha() or not w.isascii() and w.decode().isalpha()] if self.ends.any() else []
+        for start in range(0, len(plain), 1000):
+            part = plain[start:start + 1000]
+            ids = np.array(self.tokenizer.encode(b" ".join(part).decode(), add_special_tokens=False).ids, self.dtype)
+            cuts = np.flatnonzero(self.ends[ids]) + 1
+            if len(cuts) == len(part) and cuts[-1] == len(ids):
+                data, places = ids.tobytes(), [0, *(cuts * self.dtype.itemsize).tolist()]
+                self.pieces.update((w, data[i:j]) for w, i, j in zip(part, places, places[1:], strict=False))
+            else:
+                self._each(part)
+        self._each([w for w in words if w not in self.pieces])
+
+    def _learn(self, words: list[bytes]) -> None:
+        parts = []
+        for word in words:
+            if b"<|" in word:  # may hold a special token, which is matched before lower-casing
+                parts.append((word, b""))
+                continue
+            low = word.lower()
+            core = low.rstrip(PUNCTUATION)
+            # behind anything but a letter or digit the punctuation may belong to a longer run
+            parts.append((core, low[len(core):]) if core[-1:].isalnum() else (low, b""))
+        unseen = {x for pair in parts for x in pair if x}.difference(self.pieces)
+        self._learn_pieces(list(unseen))
+        self.pieces[b""] = b""
+        self.known.update((word, self.pieces[a] + self.pieces[b]) for word, (a, b) in zip(words, parts, strict=True))
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text as little-endian numbers of ``dtype``, the end id last; null counts as empty."""
         parts = [(text or "").encode().split() for text in texts]
-        end = np.array([END_ID], self.dtype).tobytes()
+        end = self._bytes([END_ID])
         out = []
-        for found in parts:
-            unseen = list(set(found).difference(self.known))
+        for start in range(0, len(parts), 128):
+            group = parts[start:start + 128]
+            there = set().union(*group)
+            unseen = there.difference(self.known)
+            if len(self.known) + len(unseen) > CACHE_WORDS:
+                self.known.clear()
+                self.pieces.clear()
+                unseen = there
             if unseen:
-                if len(self.known) + len(unseen) > CACHE_WORDS:
-                    self.known.clear()
-                    unseen = list(set(found))
-                encoded = self.tokenizer.encode_batch_fast([w.decode() for w in unseen], add_special_tokens=False)
-                self.known.update(zip(unseen, (np.array(e.ids, self.dtype).tobytes() for e in encoded), strict=True))
-            out.append(b"".join(map(self.known.__getitem__, found)) + end)
+                self._learn(list(unseen))
+            out.extend(b"".join(map(self.known.__getitem__, found)) + end for found in group)
         return out
 
 
@@ -88,8 +136,8 @@ def tokenise(docs: DataFrame, tokenizer_json: str, id_col: str = "doc_id", text_
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(shared.value)
         for batch in batches:
-            for start in range(0, batch.num_rows, 256):
-                part = batch.slice(start, 256)
+            for start in range(0, batch.num_rows, 512):
+                part = batch.slice(start, 512)
                 ids = encoder.encode(part.column(1).to_pylist())
                 arrays = [np.frombuffer(x, encoder.dtype) for x in ids]
                 yield pa.RecordBatch.from_arrays(
