@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise.llm import bm25_packing, centroid_lang, html_regions, line_align, rule_ledger, simhash
+from shelfwise.llm import bm25_packing, centroid_lang, context_mix, html_regions, line_align, rule_ledger, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -38,6 +38,10 @@ def op8_line_align(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_lines", "n_deleted", "is_copy", F.length("text").alias("n_chars_left"), F.md5("text").alias("text_md5"))
 
 
+def op9_context_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return context_mix.score(_table(spark, sf_dir, "documents"))
+
+
 def op10_centroid_lang(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").withColumn("held_out", centroid_lang.held_out())
     model = centroid_lang.fit(docs.filter(~docs.held_out))
@@ -45,4 +49,4 @@ def op10_centroid_lang(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def llm_queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_simhash, op4_rule_ledger, op5_bm25_packing, op6_html_regions, op8_line_align, op10_centroid_lang)}
+    return {f.__name__: f for f in (op1_simhash, op4_rule_ledger, op5_bm25_packing, op6_html_regions, op8_line_align, op9_context_mix, op10_centroid_lang)}
