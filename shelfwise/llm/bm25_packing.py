@@ -28,8 +28,8 @@ END_ID = 2
 SHARD_TOKENS = 1 << 21
 QUERY_TERMS = 32
 K1, B = 1.2, 0.75
-#: Words whose ids a Python worker remembers before it starts afresh.
-CACHE_WORDS = 800_000
+#: Words whose ids a Python worker remembers in each of two generations.
+CACHE_WORDS = 200_000
 #: Byte-pair ids grow rarer with their number; those from here on make the min-hash.
 RARE_FROM = 2_000
 PUNCTUATION = b"!#$%&*+,-./:;<=>?@\\^_`|~()[]{}"
@@ -57,6 +57,7 @@ class Encoder:
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
         self.dtype = np.dtype("<u2") if self.tokenizer.get_vocab_size() <= 1 << 16 else np.dtype("<u4")
         self.known: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
         self.pieces: dict[bytes, bytes] = {}
         suffix = json.loads(tokenizer_json)["model"].get("end_of_word_suffix")
         self.ends = np.zeros(self.tokenizer.get_vocab_size(), dtype=bool)
@@ -74,7 +75,7 @@ class Encoder:
         plain = [w for w in words if w.isalpha() or not w.isascii() and w.decode().isalpha()] if self.ends.any() else []
         for start in range(0, len(plain), 1000):
             part = plain[start:start + 1000]
-            ids = np.array(self.tokenizer.encode(b" ".join(part).decode(), add_special_tokens=False).ids, self.dtype)
+            ids = np.array(self.tokenizer.encode_batch_fast([b" ".join(part).decode()], add_special_tokens=False)[0].ids, self.dtype)
             cuts = np.flatnonzero(self.ends[ids]) + 1
             if len(cuts) == len(part) and cuts[-1] == len(ids):
                 data, places = ids.tobytes(), [0, *(cuts * self.dtype.itemsize).tolist()]
@@ -103,14 +104,17 @@ class Encoder:
         parts = [(text or "").encode().split() for text in texts]
         end = self._bytes([END_ID])
         out = []
-        for start in range(0, len(parts), 128):
-            group = parts[start:start + 128]
+        for start in range(0, len(parts), 512):
+            group = parts[start:start + 512]
             there = set().union(*group)
             unseen = there.difference(self.known)
-            if len(self.known) + len(unseen) > CACHE_WORDS:
-                self.known.clear()
-                self.pieces.clear()
+            if len(self.known) + len(unseen) > CACHE_WORDS:  # the words of late become the old generation
+                self.old, self.known, self.pieces = self.known, {}, {}
                 unseen = there
+            if self.old:
+                again = unseen.intersection(self.old)
+                self.known.update((word, self.old[word]) for word in again)
+                unseen -= again
             if unseen:
                 self._learn(list(unseen))
             out.extend(b"".join(map(self.known.__getitem__, found)) + end for found in group)
