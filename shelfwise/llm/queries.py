@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise.llm import bm25_packing, centroid_lang, context_mix, html_regions, line_align, rule_ledger, simhash
+from shelfwise.llm import bm25_packing, centroid_lang, context_mix, html_regions, line_align, mtree, rule_ledger, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -33,6 +33,10 @@ def op6_html_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_regions.extract(_table(spark, sf_dir, "pages"))
 
 
+def op7_mtree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mtree.top_k(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 def op8_line_align(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = line_align.dedup_lines(_table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_lines", "n_deleted", "is_copy", F.length("text").alias("n_chars_left"), F.md5("text").alias("text_md5"))
@@ -49,4 +53,4 @@ def op10_centroid_lang(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def llm_queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_simhash, op4_rule_ledger, op5_bm25_packing, op6_html_regions, op8_line_align, op9_context_mix, op10_centroid_lang)}
+    return {f.__name__: f for f in (op1_simhash, op4_rule_ledger, op5_bm25_packing, op6_html_regions, op7_mtree, op8_line_align, op9_context_mix, op10_centroid_lang)}
