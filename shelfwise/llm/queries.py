@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise.llm import bm25_packing, centroid_lang, context_mix, html_regions, line_align, mtree, rule_ledger, simhash
+from shelfwise.llm import (
+    bm25_packing, centroid_lang, chat_rotation, context_mix, html_regions, line_align, mtree, rule_ledger, simhash, temperature_mix,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -20,6 +22,15 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicate_groups(_table(spark, sf_dir, "documents"))
 
 
+def op2_chat_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = chat_rotation.rotate(_table(spark, sf_dir, "conversations"))
+    return rows.withColumn("rendered_md5", F.md5("rendered")).drop("rendered")
+
+
+def op3_temperature_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return temperature_mix.mix(_table(spark, sf_dir, "documents"))
+
+
 def op4_rule_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rule_ledger.verdicts(_table(spark, sf_dir, "documents"))
 
@@ -53,4 +64,4 @@ def op10_centroid_lang(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def llm_queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_simhash, op4_rule_ledger, op5_bm25_packing, op6_html_regions, op7_mtree, op8_line_align, op9_context_mix, op10_centroid_lang)}
+    return {f.__name__: f for f in (op1_simhash, op2_chat_rotation, op3_temperature_mix, op4_rule_ledger, op5_bm25_packing, op6_html_regions, op7_mtree, op8_line_align, op9_context_mix, op10_centroid_lang)}
