@@ -10,8 +10,10 @@ from __future__ import annotations
 
 import json
 import os
+import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import islice
 from pathlib import Path
 
 import numpy as np
@@ -26,9 +28,9 @@ WINDOW = 4096
 END_ID = 2
 #: Tokens of one index shard; a shard is held in memory by one task.
 SHARD_TOKENS = 1 << 21
-QUERY_TERMS = 32
+QUERY_TERMS = 16
 K1, B = 1.2, 0.75
-#: Words whose ids a Python worker remembers in each of two generations.
+#: Words whose ids a Python worker remembers for good; it remembers as many again for a while.
 CACHE_WORDS = 200_000
 #: Byte-pair ids grow rarer with their number; those from here on make the min-hash.
 RARE_FROM = 2_000
@@ -42,6 +44,10 @@ def default_tokenizer() -> str:
     return Path(public_tokenizers.path("word_bpe_49k.json")).read_text(encoding="utf-8")
 
 
+def _lower_letters(word: str) -> bool:
+    return word.isalpha() and word == word.lower() and unicodedata.is_normalized("NFC", word)
+
+
 class Encoder:
     """Ids of whole texts. The tokenizer drops white space and never joins across it, so words are looked up one by one.
 
@@ -57,9 +63,13 @@ class Encoder:
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
         self.dtype = np.dtype("<u2") if self.tokenizer.get_vocab_size() <= 1 << 16 else np.dtype("<u4")
         self.known: dict[bytes, bytes] = {}
-        self.old: dict[bytes, bytes] = {}
         self.pieces: dict[bytes, bytes] = {}
-        suffix = json.loads(tokenizer_json)["model"].get("end_of_word_suffix")
+        # for words of lower-case letters in normal form neither normaliser nor splitting by character class changes anything
+        plain = json.loads(tokenizer_json)
+        suffix = plain["model"].get("end_of_word_suffix")
+        plain |= {"normalizer": None, "added_tokens": [], "pre_tokenizer": {"type": "Sequence", "pretokenizers": [
+            {"type": "WhitespaceSplit"}, {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]}}
+        self.letters = Tokenizer.from_str(json.dumps(plain))
         self.ends = np.zeros(self.tokenizer.get_vocab_size(), dtype=bool)
         for token, number in self.tokenizer.get_vocab().items():
             self.ends[number] = bool(suffix) and token.endswith(suffix)
@@ -72,10 +82,10 @@ class Encoder:
         self.pieces.update(zip(words, (self._bytes(e.ids) for e in encoded), strict=True))
 
     def _learn_pieces(self, words: list[bytes]) -> None:
-        plain = [w for w in words if w.isalpha() or not w.isascii() and w.decode().isalpha()] if self.ends.any() else []
+        plain = [w for w in words if w.isalpha() or not w.isascii() and _lower_letters(w.decode())] if self.ends.any() else []
         for start in range(0, len(plain), 1000):
             part = plain[start:start + 1000]
-            ids = np.array(self.tokenizer.encode_batch_fast([b" ".join(part).decode()], add_special_tokens=False)[0].ids, self.dtype)
+            ids = np.array(self.letters.encode_batch_fast([b" ".join(part).decode()], add_special_tokens=False)[0].ids, self.dtype)
             cuts = np.flatnonzero(self.ends[ids]) + 1
             if len(cuts) == len(part) and cuts[-1] == len(ids):
                 data, places = ids.tobytes(), [0, *(cuts * self.dtype.itemsize).tolist()]
@@ -108,13 +118,11 @@ class Encoder:
             group = parts[start:start + 512]
             there = set().union(*group)
             unseen = there.difference(self.known)
-            if len(self.known) + len(unseen) > CACHE_WORDS:  # the words of late become the old generation
-                self.old, self.known, self.pieces = self.known, {}, {}
-                unseen = there
-            if self.old:
-                again = unseen.intersection(self.old)
-                self.known.update((word, self.old[word]) for word in again)
-                unseen -= again
+            if len(self.known) + len(unseen) > 2 * CACHE_WORDS:  # frequent words come early: what came late is forgotten
+                self.known = dict(islice(self.known.items(), CACHE_WORDS))
+                unseen = there.difference(self.known)
+            if len(self.pieces) > 2 * CACHE_WORDS:
+                self.pieces = dict(islice(self.pieces.items(), CACHE_WORDS))
             if unseen:
                 self._learn(list(unseen))
             out.extend(b"".join(map(self.known.__getitem__, found)) + end for found in group)
@@ -158,9 +166,7 @@ def _document_frequency(tokens: DataFrame, width: int, vocabulary: int) -> np.nd
         total = np.zeros(vocabulary, dtype=np.int64)
         for batch in batches:
             for x in batch.column(0):
-                seen = np.zeros(vocabulary, dtype=bool)
-                seen[np.frombuffer(x.as_buffer(), f"<u{width}")] = True
-                total += seen
+                total[np.unique(np.frombuffer(x.as_buffer(), f"<u{width}"))] += 1
         there = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(there), pa.array(total[there])], ["term", "n"])
 
