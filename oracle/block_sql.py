@@ -101,7 +101,7 @@ BLOCK_SQL: dict[str, str] = {
     "layout_partition": f"SELECT (date_key // 100)::INTEGER AS snapshot_month, {N} AS row_count, sum(on_hand)::BIGINT AS on_hand_qty FROM f_snap GROUP BY ALL",
     "layout_cluster": f"SELECT location_key, {N} AS row_count, sum(on_hand)::BIGINT AS on_hand_qty FROM f_snap GROUP BY ALL",
     "incremental_refresh": f"""SELECT (date_key // 100)::INTEGER AS snapshot_month, {N} AS row_count,
-        sum(CASE WHEN date_key // 100 >= 200105 THEN 0 ELSE on_order END)::BIGINT AS on_order_qty FROM f_snap GROUP BY ALL""",
+        sum(CASE WHEN date_key // 100 >= (SELECT strftime(max(day) - INTERVAL 2 MONTH, '%Y%m')::INTEGER FROM f_snap) THEN 0 ELSE on_order END)::BIGINT AS on_order_qty FROM f_snap GROUP BY ALL""",
     "retention_compact": f"""
         SELECT strftime(day, '%Y%m')::INTEGER AS snapshot_month, count(DISTINCT day)::BIGINT AS days, {N} AS row_count, sum(on_hand)::BIGINT AS on_hand
         FROM ledger WHERE day >= (SELECT max(day) FROM ledger) - INTERVAL 18 MONTH

@@ -23,14 +23,20 @@ CLOSE_L = f"(SELECT s.* FROM (SELECT *, max(date_key) OVER (PARTITION BY region)
 MONTHS = "(SELECT {g} year, month_number, sum(net_c) AS c FROM f_sales JOIN d_date USING (date_key) {j} GROUP BY ALL)"
 
 
-def shifted(months: int, expression: str, name: str, grain: str = "", join: str = "") -> str:
+def shifted(months: int, expression: str, name: str, grain: str = "", join: str = "", where: str = "TRUE") -> str:
+    """``a`` is the month's own revenue, ``b`` that of the month compared with; any month of the calendar with either has a row."""
     m = MONTHS.format(g=grain, j=join)
-    same = "AND a.region = b.region" if grain else ""
-    g = "a.region, " if grain else ""
-    return f"""SELECT {g}a.year, a.month_number, {expression} AS {name} FROM {m} a LEFT JOIN {m} b
-               ON b.year * 12 + b.month_number = a.year * 12 + a.month_number - {months} {same}"""
+    g = grain.rstrip(",")
+    groups = f"(SELECT DISTINCT {g} FROM {m})" if grain else "(SELECT 1)"
+    same_a, same_b = (f"AND g.{g} IS NOT DISTINCT FROM a.{g}", f"AND g.{g} IS NOT DISTINCT FROM b.{g}") if grain else ("", "")
+    return f"""SELECT {f'g.{g}, ' if grain else ''}l.year, l.month_number, {expression} AS {name}
+               FROM (SELECT DISTINCT year, month_number FROM d_date WHERE {where}) l CROSS JOIN {groups} g
+               LEFT JOIN {m} a ON a.year = l.year AND a.month_number = l.month_number {same_a}
+               LEFT JOIN {m} b ON b.year * 12 + b.month_number = l.year * 12 + l.month_number - {months} {same_b}
+               WHERE a.c IS NOT NULL OR b.c IS NOT NULL"""
 
 
+GROWTH = ratio("(coalesce(a.c, 0) - b.c) / 100e0", "b.c / 100e0")
 SCORE = f"""0.5e0 * ({ratio('count(*) FILTER (WHERE is_otif)', 'count(*)')} * 100) + 0.3e0 * ({ratio('sum(received_qty)', 'sum(ordered_qty)')} * 100)
             + -0.2e0 * ({ratio('sum(lead_days)', 'count(lead_days)')})"""
 STALE_CAL = "last_sold_date IS NULL OR last_sold_date < anchor - 180"
@@ -80,13 +86,14 @@ MEASURE_SQL: dict[str, str] = {
               WHERE on_order = 0 AND is_active) WHERE date_key = last_key GROUP BY ALL""",
     "m_health_status": f"""SELECT year, month_number, CASE WHEN rate > 0.05 THEN '🔴 Critical' WHEN rate > 0.02 THEN '🟠 Watch' ELSE '🟢 Healthy' END AS health_status FROM {OUT_MONTH}""",
     "m_revenue_ly": shifted(12, "b.c / 100e0", "revenue_ly"),
-    "m_revenue_yoy_pct": shifted(12, ratio("a.c / 100e0 - b.c / 100e0", "b.c / 100e0").replace("a.c / 100e0 - b.c / 100e0", "(a.c - b.c) / 100e0"),
-                                 "revenue_yoy_pct", "region,", "JOIN d_location USING (location_key)"),
+    "m_revenue_ly_by_category": shifted(12, "b.c / 100e0", "revenue_ly", "category,", "JOIN d_product USING (product_key)", "year = 1999"),
+    "m_revenue_yoy_pct": shifted(12, GROWTH, "revenue_yoy_pct", "region,", "JOIN d_location USING (location_key)"),
     "m_revenue_pm": shifted(1, "b.c / 100e0", "revenue_pm"),
-    "m_revenue_mom_pct": shifted(1, ratio("(a.c - b.c) / 100e0", "b.c / 100e0"), "revenue_mom_pct"),
+    "m_revenue_mom_pct": shifted(1, GROWTH, "revenue_mom_pct"),
     "m_revenue_ytd": """
-        SELECT category, year, month_number, sum(c) OVER (PARTITION BY category, year ORDER BY month_number) / 100e0 AS revenue_ytd
-        FROM (SELECT category, year, month_number, sum(net_c) AS c FROM f_sales JOIN d_product USING (product_key) JOIN d_date USING (date_key) GROUP BY ALL)""",
+        WITH m AS (SELECT category, year, month_number, sum(net_c) AS c FROM f_sales JOIN d_product USING (product_key) JOIN d_date USING (date_key) GROUP BY ALL)
+        SELECT m.category, l.year, l.month_number, sum(c) / 100e0 AS revenue_ytd
+        FROM (SELECT DISTINCT year, month_number FROM d_date) l JOIN m ON m.year = l.year AND m.month_number <= l.month_number GROUP BY ALL""",
     "m_revenue_3m_avg": f"""
         WITH e AS (SELECT year, month_number, max(full_date) AS e FROM d_date GROUP BY ALL),
              d AS (SELECT region, day, sum(net_c) AS c FROM {SALES_L} GROUP BY ALL)
@@ -98,6 +105,37 @@ MEASURE_SQL: dict[str, str] = {
         WITH r AS (SELECT location_name, region, sum(net_c)::BIGINT AS c FROM {SALES_L} GROUP BY ALL),
              a AS (SELECT region, (sum(c) / 100e0) / count(*) AS m FROM r GROUP BY ALL)
         SELECT location_name, region, (c / 100e0 - m) / nullif(m, 0) AS store_vs_region_pct FROM r JOIN a USING (region)""",
+    "m_revenue_rank_by_year": f"""SELECT location_name, year, rank() OVER (PARTITION BY year ORDER BY c DESC) AS revenue_rank
+        FROM (SELECT location_name, year, sum(net_c) AS c FROM {SALES_L} JOIN d_date USING (date_key) GROUP BY ALL)""",
+    "m_revenue_rank_by_sku_year": f"""SELECT sku, year, rank() OVER (PARTITION BY year ORDER BY c DESC) AS revenue_rank
+        FROM (SELECT sku, year, sum(net_c) AS c FROM {SALES_C} JOIN d_date USING (date_key) GROUP BY ALL)""",
+    "m_store_vs_region_pct_by_year": f"""
+        WITH r AS (SELECT location_name, region, year, sum(net_c)::BIGINT AS c FROM {SALES_L} JOIN d_date USING (date_key) GROUP BY ALL),
+             a AS (SELECT region, year, (sum(c) / 100e0) / count(*) AS m FROM r GROUP BY ALL)
+        SELECT location_name, year, region, (c / 100e0 - m) / nullif(m, 0) AS store_vs_region_pct FROM r JOIN a USING (region, year)""",
+    "m_store_vs_region_pct_by_category": f"""
+        WITH r AS (SELECT category, region, location_key, sum(net_c)::BIGINT AS c FROM {SALES_L} JOIN d_product USING (product_key) GROUP BY ALL)
+        SELECT category, region, (sum(c) / 100e0 - (sum(c) / 100e0) / count(*)) / nullif((sum(c) / 100e0) / count(*), 0) AS store_vs_region_pct
+        FROM r GROUP BY ALL""",
+    "m_dead_stock_value_by_year": f"""
+        WITH s AS (SELECT year(day)::INTEGER AS year, product_key, date_key, sum(value_c) AS c FROM f_snap GROUP BY ALL),
+             z AS (SELECT year, product_key, max_by(c, date_key) AS c FROM s GROUP BY ALL),
+             l AS (SELECT year(day)::INTEGER AS year, product_key, max(day) AS last_day_sold FROM f_sales GROUP BY ALL),
+             t AS (SELECT year, max(full_date) - 180 AS threshold FROM d_date GROUP BY ALL)
+        SELECT year, {usd('c')} AS dead_stock_value FROM z LEFT JOIN l USING (year, product_key) JOIN t USING (year)
+        WHERE last_day_sold IS NULL OR last_day_sold < threshold GROUP BY ALL""",
+    "m_dead_stock_value_in_1999": f"""
+        WITH s AS (SELECT product_key, date_key, sum(value_c) AS c FROM f_snap WHERE year(day) = 1999 GROUP BY ALL),
+             z AS (SELECT product_key, max_by(c, date_key) AS c FROM s GROUP BY ALL),
+             l AS (SELECT product_key, max(day) AS last_day_sold FROM f_sales WHERE year(day) = 1999 GROUP BY ALL)
+        SELECT category, {usd('c')} AS dead_stock_value FROM z LEFT JOIN l USING (product_key) JOIN d_product USING (product_key)
+        WHERE last_day_sold IS NULL OR last_day_sold < DATE '1999-12-31' - 180 GROUP BY ALL""",
+    "m_est_lost_sales_in_1999": f"""
+        SELECT category, round(sum(n * u * (price_c / 100e0)), 2) AS est_lost_sales
+        FROM (SELECT product_key, location_key, count(*) AS n FROM f_snap WHERE is_out AND year(day) = 1999 GROUP BY ALL)
+        JOIN (SELECT product_key, location_key, {ratio('sum(units_sold_qty)', 'count(*)')} AS u FROM f_sales WHERE year(day) = 1999 GROUP BY ALL)
+             USING (product_key, location_key)
+        JOIN d_product USING (product_key) GROUP BY ALL""",
     "m_category_share": f"SELECT category, {usd('net_c')} / (SELECT {usd('net_c')} FROM f_sales) AS category_share FROM {SALES_C} GROUP BY ALL",
 }
 

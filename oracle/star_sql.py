@@ -113,7 +113,7 @@ STAR: dict[str, str] = {
                base.pk AS product_key, place AS location_key, ck AS customer_key,
                greatest(1, units // 2) AS returned_qty, greatest(1, units // 2) * price_c AS refund_c,
                (['Defective', 'Wrong Item', 'Not As Described', 'Changed Mind', 'Damaged in Transit', 'Better Price Elsewhere'])[draw % 6 + 1] AS reason
-        FROM base JOIN cat ON cat.pk = base.pk WHERE l_returnflag = 'R' AND tpc >= 6""",
+        FROM base JOIN cat ON cat.pk = base.pk WHERE l_returnflag = 'R'""",
     "f_trf": """
         SELECT strftime(day, '%Y%m%d')::INTEGER AS date_key, base.pk AS product_key,
                s_nationkey::INTEGER AS src_key, place AS dst_key, units AS qty, units * (50 + 10 * tpc) AS cost_c
@@ -132,7 +132,8 @@ STAR: dict[str, str] = {
                        + sum(receipts - demand) OVER (PARTITION BY product_key, location_key ORDER BY day ROWS UNBOUNDED PRECEDING) AS x
                     FROM moves))""",
     "ends": """
-        SELECT last_day((date_trunc('month', hi) - to_months(i::INTEGER))::DATE) AS day FROM horizon, generate_series(1, 12) AS s(i)""",
+        SELECT full_date AS day FROM d_date, (SELECT max(full_date) AS final FROM d_date)
+        WHERE full_date = last_day(full_date) OR full_date >= (final - INTERVAL 4 MONTH)::DATE OR full_date = final""",
     "on_order": """
         SELECT product_key, location_key, ends.day, sum(ordered_qty) AS q
         FROM f_po JOIN ends ON ordered_on <= ends.day AND (received_on IS NULL OR ends.day < received_on) GROUP BY ALL""",

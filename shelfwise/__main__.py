@@ -2,7 +2,7 @@
 
     load   RAW STAGING WAREHOUSE   clean, check, promote through the gate; exit code 1 if the gate stays shut
     check  FOLDER                  run the standard checks on a stored star; exit code 1 on failure
-    report RAW                     cleaning and check report of a raw extract, without storing anything
+    report RAW                     cleaning log, checks and verdict for a raw extract, without storing anything
     kpi    FOLDER                  the headline figures
     run    FOLDER NAME             any question, view, report, metric or measure; --by and --where for measures
 
@@ -17,7 +17,7 @@ import sys
 from pyspark.sql import SparkSession
 
 from shelfwise.operators.clean import clean_all
-from shelfwise.operators.quality import dq_report, gate, report_markdown, run_checks
+from shelfwise.operators.quality import dq_report, gate, gate_verdict, run_checks
 from shelfwise.plans.executive import mv_executive_kpis
 from shelfwise.plans.insights import INSIGHTS
 from shelfwise.plans.load import gated_load
@@ -77,7 +77,9 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         return 0 if gate(results) else 1
     if args.command == "report":
         cleaned, log = clean_all(star)
-        print(report_markdown(log, run_checks(cleaned)))
+        results = run_checks(cleaned)
+        for rows in (log.orderBy("table_name"), dq_report(results).orderBy("check_name"), gate_verdict(results)):
+            rows.show(100, truncate=False)
         return 0
     if args.command == "kpi":
         REPORTS["kpi_report"](star).show(truncate=False)

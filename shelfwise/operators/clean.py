@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -45,17 +45,16 @@ def recompute_measures(df: DataFrame) -> DataFrame:
     )
 
 
-def coerce_numeric(df: DataFrame, columns=NUMERIC_KEYS) -> DataFrame:
-    """To integer; what is not a number becomes NULL."""
-    kinds = dict(df.dtypes)
+def _number(df: DataFrame, column: str) -> Column:
+    value = F.col(column)
+    if dict(df.dtypes)[column] == "string":
+        value = F.trim(value).try_cast("decimal(38,6)")
+    return value.try_cast(SCHEMAS["fact_sales"][column].dataType)
 
-    def number(c: str):
-        value = F.col(c)
-        if kinds[c] == "string":
-            value = F.trim(value).try_cast("decimal(38,6)")
-        return value.try_cast(SCHEMAS["fact_sales"][c].dataType)
 
-    return df.withColumns({c: number(c) for c in columns if c in kinds})
+def coerce_numeric(df: DataFrame, columns=NUMERIC_KEYS) -> DataFrame:
+    """To integer; what is not a number becomes NULL."""
+    return df.withColumns({c: _number(df, c) for c in columns if c in df.columns})
 
 
 def trim_strings(df: DataFrame) -> DataFrame:
@@ -68,9 +67,9 @@ def trim_strings(df: DataFrame) -> DataFrame:
 
 def clean_sales(sales: DataFrame, products: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Cleaned sales and a one-row log."""
-    typed = coerce_numeric(sales)
-    once = dedupe_natural(typed).withColumn("_missing", F.col("unit_price").isNull())
-    cleaned = recompute_measures(impute_from_dim(once, products, "product_key", "unit_price"))
+    # raw rows are compared as they came: two unreadable numbers are two rows
+    once = dedupe_natural(sales).withColumn("_missing", F.col("unit_price").isNull())
+    cleaned = recompute_measures(impute_from_dim(coerce_numeric(once), products, "product_key", "unit_price"))
     log = cleaned.agg(
         F.lit("fact_sales").alias("table_name"),
         F.coalesce(F.sum("copies"), F.lit(0)).alias("rows_in"),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -90,16 +91,24 @@ def prefix_sums(df: DataFrame, order: Sequence[Column], value: str) -> DataFrame
     )
 
 
-def global_rank(df: DataFrame, value: str, name: str) -> DataFrame:
-    """Rank of every row by descending ``value`` with gaps on ties, without ordering all rows in one task.
+def global_rank(df: DataFrame, value: str, name: str, within: Sequence[str] = ()) -> DataFrame:
+    """Rank of every row by descending ``value`` among rows equal in ``within``, with gaps on ties, without ordering all rows in one task.
 
     Ranks are found on distinct values, then looked up; a value shared by many rows is one row on the lookup side.
     """
-    counts = df.groupBy(value).agg(F.count(F.lit(1)).alias("_n"))
-    ranked = prefix_sums(counts, [F.col(value).desc()], "_n").select(
-        F.col(value).alias("_value"), (F.col("running") - F.col("_n") + 1).alias(name)
-    )
-    return df.join(ranked, F.col(value).eqNullSafe(F.col("_value"))).drop("_value")
+    counts = df.groupBy(*within, value).agg(F.count(F.lit(1)).alias("_n"))
+    placed = prefix_sums(counts, [*[F.col(c).asc() for c in within], F.col(value).desc()], "_n").select(
+        *[F.col(c).alias(f"_{c}") for c in within], F.col(value).alias("_value"), (F.col("running") - F.col("_n")).alias("_before"))
+    ranked = placed.withColumn(name, F.col("_before") + 1)
+    for_rows = F.col(value).eqNullSafe(F.col("_value"))
+    if within:
+        keys = [f"_{c}" for c in within]
+        first = placed.groupBy(*[F.col(k).alias(f"{k}_first") for k in keys]).agg(F.min("_before").alias("_first"))
+        same = [F.col(k).eqNullSafe(F.col(f"{k}_first")) for k in keys]
+        ranked = placed.join(first, reduce(lambda a, b: a & b, same)).withColumn(name, F.col("_before") - F.col("_first") + 1)
+        ranked = ranked.drop(*[f"{k}_first" for k in keys], "_first")
+        for_rows = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in within], for_rows)
+    return df.join(ranked, for_rows).drop("_value", "_before", *[f"_{c}" for c in within])
 
 
 def exact_quantile(df: DataFrame, value: str, q: float) -> DataFrame:

@@ -114,7 +114,9 @@ def incremental(star, built):
     folder = scratch(star.spark)
     sink_table(star.snapshot, folder, "fact_inventory_snapshot")
     changed = star.snapshot.withColumn("on_order_qty", F.lit(0))
-    incremental_refresh(changed, folder, "fact_inventory_snapshot", from_month=200105)
+    year, month = divmod(star.snapshot.agg(F.max("snapshot_month")).first()[0] - 1, 100)  # month from 0
+    first = (12 * year + month - 2) // 12 * 100 + (12 * year + month - 2) % 12 + 1
+    incremental_refresh(changed, folder, "fact_inventory_snapshot", from_month=first)
     return from_parquet(star.spark, folder).snapshot.groupBy("snapshot_month").agg(
         F.count(F.lit(1)).alias("row_count"), F.sum("on_order_qty").alias("on_order_qty")
     )

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,6 +35,17 @@ GRAINS: dict[str, tuple[str, ...]] = {
     **{m: ("supplier_name",) for m in ("m_po_fill_rate", "m_supplier_spend", "m_supplier_score")},
     **{m: ("location_name",) for m in ("m_revenue_rank", "m_store_vs_region_pct")},
 }
+# The same measures in a narrower context: entry -> measure, grain, filters.
+IN_CONTEXT: dict[str, tuple[str, tuple[str, ...], dict[str, object] | None]] = {
+    "m_revenue_rank_by_year": ("m_revenue_rank", ("location_name", "year"), None),
+    "m_revenue_rank_by_sku_year": ("m_revenue_rank", ("sku", "year"), None),
+    "m_store_vs_region_pct_by_year": ("m_store_vs_region_pct", ("location_name", "year"), None),
+    "m_store_vs_region_pct_by_category": ("m_store_vs_region_pct", ("category",), None),
+    "m_revenue_ly_by_category": ("m_revenue_ly", ("category",), {"year": 1999}),
+    "m_dead_stock_value_by_year": ("m_dead_stock_value", ("year",), None),
+    "m_dead_stock_value_in_1999": ("m_dead_stock_value", ("category",), {"year": 1999}),
+    "m_est_lost_sales_in_1999": ("m_est_lost_sales", ("category",), {"year": 1999}),
+}
 SURROGATES = ("sales_key", "snapshot_key", "po_line_key", "return_key", "transfer_key")
 
 
@@ -65,5 +77,7 @@ def all_queries() -> dict[str, Query]:
     found = {name: _bound(function) for name, function in plain.items()}
     found.update({name: _bound(function, grain=GRAINS.get(name, ())) for name, function in FUNCTIONS.items()})
     found["m_revenue_rank_by_sku"] = _bound(FUNCTIONS["m_revenue_rank"], grain=("sku",))
+    for name, (measure_name, grain, filters) in IN_CONTEXT.items():
+        found[name] = _bound(partial(FUNCTIONS[measure_name], filters=filters), grain=grain)
     found.update({name: _bound(function, whole=True) for name, function in BLOCKS.items()})
     return found

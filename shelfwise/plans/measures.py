@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from shelfwise.functions.columns import (
     double, from_date_key, health_status, mean, month_number_line, safe_ratio, to_date_key, total,
 )
-from shelfwise.operators.anchors import at_closing, semi_closing
+from shelfwise.operators.anchors import semi_closing
 from shelfwise.operators.grouping import FIRST, MERGE, fits_broadcast, global_rank
 from shelfwise.schema import PRIMARY_KEY, SCHEMAS
 
@@ -147,10 +147,15 @@ def _below_rows(star, group_cols, filters):
 
 
 def _out_products(star, group_cols, filters):
-    rows = at_closing(context(star, SNAPSHOT, group_cols, filters), list(group_cols))
-    return rows.groupBy(*group_cols).agg(
-        F.count_distinct(F.when(F.col("is_stockout_flag"), F.col("product_key"))).alias("out_products")
-    )
+    """Products out of stock on the closing day. Empty positions are folded to products per day before anything meets."""
+    grain = list(group_cols)
+    days = _daily_stock(star, grain, filters, _n=("count", "product_key"))
+    closing = days.groupBy(*grain).agg(F.max("snapshot_date_key").alias("_closing"))
+    empty = {**(filters or {}), "is_stockout_flag": True}
+    out = grouped(star, SNAPSHOT, list(dict.fromkeys([*grain, "snapshot_date_key", "product_key"])), empty, _n=("count", "product_key"))
+    hits = meet(out, closing, grain).filter(F.col("snapshot_date_key") == F.col("_closing"))
+    counts = hits.groupBy(*grain).agg(F.count_distinct("product_key").alias("_out"))
+    return meet(closing, counts, grain, "left").select(*grain, F.coalesce("_out", F.lit(0)).alias("out_products"))
 
 
 def _reorder_rows(star, group_cols, filters):
@@ -160,23 +165,50 @@ def _reorder_rows(star, group_cols, filters):
     return _at_last_day(daily, group_cols, "reorder_rows")
 
 
+def reaches(fact: str, attr: str) -> bool:
+    """Whether a fact can be grouped or filtered by an attribute."""
+    return attr in SCHEMAS[fact].fieldNames() or any(attr in SCHEMAS[dim].fieldNames() for dim in ROLES[fact])
+
+
+def meet(left: DataFrame, right: DataFrame, columns: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join on columns of the same name, NULL meeting NULL."""
+    if not columns:
+        return left.join(right, F.lit(True), how)
+    side = right.withColumnsRenamed({c: f"_of_{c}" for c in columns})
+    match = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in columns])
+    return left.join(side, match, how).drop(*[f"_of_{c}" for c in columns])
+
+
+def calendar_columns(fact: str, columns) -> list[str]:
+    return [c for c in columns if c not in SCHEMAS[fact].fieldNames() and owner(fact, c) == "dim_date"]
+
+
 def _dead_value(star, group_cols, filters, days: int = 180):
+    """Stock of products not sold for ``days`` before the last day of the period that grain and filters leave."""
     grain = list(dict.fromkeys([*group_cols, "product_key"]))
     stock = _at_last_day(_daily_stock(star, grain, filters, v=("sum", "on_hand_value")), grain, "v")
     sold = grouped(star, "fact_sales", grain, filters, _last=("max", "date_key"))
-    sold = sold.select(*[F.col(c).alias(f"_{c}") for c in grain], "_last")
-    match = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in grain])
-    threshold = to_date_key(F.date_sub(star.dates.agg(F.max("full_date")).scalar(), days))
-    dead = stock.join(sold, match, "left").filter(F.col("_last").isNull() | (F.col("_last") < threshold))
+    periods, limits = calendar_columns(SNAPSHOT, group_cols), star.dates
+    for attr in calendar_columns(SNAPSHOT, filters or {}):
+        limits = limits.filter(_allowed(attr, filters[attr]))
+    threshold = to_date_key(F.date_sub(F.max("full_date"), days))
+    found = meet(stock, sold, grain, "left")
+    if periods:  # one row per period of the calendar
+        found = meet(found, F.broadcast(limits.groupBy(*periods).agg(threshold.alias("_threshold"))), periods, "left")
+    else:
+        found = found.withColumn("_threshold", limits.agg(threshold).scalar())
+    dead = found.filter(F.col("_last").isNull() | (F.col("_last") < F.col("_threshold")))
     return dead.groupBy(*group_cols).agg(total("v").alias("dead_value"))
 
 
 def _lost_sales(star, group_cols, filters):
-    """Stock-out rows x mean units per sale line at (product, location) x list price."""
+    """Stock-out rows x mean units per sale line at (product, location) x list price; sales obey the filters they can carry."""
     pair = ["product_key", "location_key"]
     empty = {**(filters or {}), "is_stockout_flag": True}
     rows = grouped(star, SNAPSHOT, list(dict.fromkeys([*group_cols, *pair])), empty, n=("count", "snapshot_date_key"))
-    demand = star.sales.groupBy(*pair).agg(mean("units_sold_qty").alias("u"))
+    carried = {a: v for a, v in (filters or {}).items() if reaches("fact_sales", a)}
+    sums = grouped(star, "fact_sales", pair, carried, _units=("sum", "units_sold_qty"), _rows=("count", "units_sold_qty"))
+    demand = sums.select(*pair, safe_ratio("_units", "_rows").alias("u"))
     priced = rows.join(demand, pair).join(star.product.select("product_key", double("unit_price").alias("p")), "product_key")
     return priced.groupBy(*group_cols).agg(F.round(F.sum(F.col("n") * F.col("u") * F.col("p")), 2).alias("lost_sales"))
 
@@ -273,7 +305,7 @@ def measure(star, names: Sequence[str], group_cols: Sequence[str] = (), filters:
     return joined.select(*group_cols, *[MEASURES[n][1]().alias(n) for n in names])
 
 
-# -- period measures: calendar distance on a month line, so months without sales stay gaps -----------------------------
+# -- period measures: calendar distance on a month line; every month of the calendar with a figure has a row ------------
 
 
 def monthly_revenue(star, group_cols: Sequence[str] = (), filters: Filters = None) -> DataFrame:
@@ -281,28 +313,45 @@ def monthly_revenue(star, group_cols: Sequence[str] = (), filters: Filters = Non
     return grouped(star, "fact_sales", grain, filters, revenue=("sum", "net_sales_amount"))
 
 
+def _periods(filters: Filters) -> tuple[dict[str, Any], dict[str, Any]]:
+    """Filters on rows, and those that only choose the months shown: a comparison looks beyond them."""
+    chosen = {a: v for a, v in (filters or {}).items() if a in ("year", "month_number")}
+    return {a: v for a, v in (filters or {}).items() if a not in chosen}, chosen
+
+
+def _shown(df: DataFrame, star, chosen: dict[str, Any]) -> DataFrame:
+    """Rows on a month line ``_line`` that lie in the calendar, with year and month; months are few and bounded."""
+    months = star.dates.select("year", "month_number").distinct().withColumn("_line", month_number_line("year", "month_number"))
+    for attr, wanted in chosen.items():
+        months = months.filter(_allowed(attr, wanted))
+    return df.join(F.broadcast(months), "_line")
+
+
 def period_compare(df: DataFrame, value: str, months: int, group_cols: Sequence[str] = ()) -> DataFrame:
-    """Add ``prior``: the value ``months`` away (negative is earlier), NULL when that month has no row."""
+    """``value`` and ``prior``, the value ``months`` away (negative is earlier), per group and month line.
+
+    Each value is offered to its own month and to the month it is compared with, and one grouping brings them together, so a month
+    without value that has a prior one appears and no join is needed.
+    """
     line = month_number_line("year", "month_number")
-    prior = df.select(
-        *[F.col(c).alias(f"_{c}") for c in group_cols], (line - months).alias("_line"), F.col(value).alias("prior")
-    )
-    match = line == F.col("_line")
-    for c in group_cols:
-        match = match & F.col(c).eqNullSafe(F.col(f"_{c}"))
-    return df.join(prior, match, "left").drop("_line", *[f"_{c}" for c in group_cols])
+    none = F.lit(None).cast(df.schema[value].dataType)
+    own = df.select(*group_cols, line.alias("_line"), F.col(value), none.alias("prior"))
+    moved = df.select(*group_cols, (line - months).alias("_line"), none.alias(value), F.col(value).alias("prior"))
+    return own.unionByName(moved).groupBy(*group_cols, "_line").agg(F.max(value).alias(value), F.max("prior").alias("prior"))
 
 
 def _compared(star, group_cols, filters, months: int, name: str, growth: bool) -> DataFrame:
-    df = period_compare(monthly_revenue(star, group_cols, filters), "revenue", months, group_cols)
-    value = safe_ratio(F.col("revenue") - F.col("prior"), "prior") if growth else double("prior")
+    kept, chosen = _periods(filters)
+    df = _shown(period_compare(monthly_revenue(star, group_cols, kept), "revenue", months, group_cols), star, chosen)
+    now = F.when(F.col("prior").isNotNull(), F.coalesce("revenue", F.lit(0)))
+    value = safe_ratio(now - F.col("prior"), "prior") if growth else double("prior")
     return df.select(*group_cols, "year", "month_number", value.alias(name))
 
 
 def ytd(df: DataFrame, value: str, group_cols: Sequence[str] = ()) -> DataFrame:
-    """Running total within the calendar year; a window holds at most twelve rows."""
-    so_far = Window.partitionBy(*group_cols, "year").orderBy("month_number").rowsBetween(Window.unboundedPreceding, 0)
-    return df.withColumn("ytd", F.sum(value).over(so_far))
+    """Running total within the calendar year per month line: a month's value is offered to the rest of its year, at most 12 rows."""
+    line, left = month_number_line("year", "month_number"), F.lit(12) - F.col("month_number")
+    return df.withColumn("_line", F.explode(F.sequence(line, line + left))).groupBy(*group_cols, "_line").agg(F.sum(value).alias("ytd"))
 
 
 def rolling_daily_avg(star, months: int = 3, group_cols: Sequence[str] = (), filters: Filters = None) -> DataFrame:
@@ -344,7 +393,8 @@ def m_revenue_mom_pct(star, group_cols=(), filters=None):
 
 
 def m_revenue_ytd(star, group_cols=(), filters=None):
-    df = ytd(monthly_revenue(star, group_cols, filters), "revenue", group_cols)
+    kept, chosen = _periods(filters)
+    df = _shown(ytd(monthly_revenue(star, group_cols, kept), "revenue", group_cols), star, chosen)
     return df.select(*group_cols, "year", "month_number", double("ytd").alias("revenue_ytd"))
 
 
@@ -356,26 +406,36 @@ def m_revenue_3m_avg(star, group_cols=(), filters=None):
 
 
 def m_revenue_rank(star, group_cols=("location_name",), filters=None):
-    """Rank by revenue within the selection, gaps on ties.
+    """Rank by revenue of the last column of the grain that isn't a part of the calendar, within the others; gaps on ties.
 
-    A grain of locations or calendar parts is short enough for one ordered window; any other is ranked in slices.
+    Locations are few enough for an ordered window per context; anything else is ranked in slices.
     """
+    group_cols = list(group_cols)
     df = grouped(star, "fact_sales", group_cols, filters, r=("sum", "net_sales_amount"))
-    if {owner("fact_sales", c) for c in group_cols} <= {"dim_location", "dim_date"}:
-        rank = F.rank().over(Window.orderBy(F.desc("r"))).cast("bigint")
+    entities = [c for c in group_cols if c not in calendar_columns("fact_sales", group_cols)] or group_cols
+    others = [c for c in group_cols if c != entities[-1]] if entities else []
+    if {owner("fact_sales", c) for c in group_cols if not reaches_own(c)} <= {"dim_location", "dim_date"}:
+        rank = F.rank().over(Window.partitionBy(*others).orderBy(F.desc("r"))).cast("bigint")
         return df.select(*group_cols, rank.alias("revenue_rank"))
-    return global_rank(df, "r", "revenue_rank").select(*group_cols, "revenue_rank")
+    return global_rank(df, "r", "revenue_rank", others).select(*group_cols, "revenue_rank")
+
+
+def reaches_own(column: str, fact: str = "fact_sales") -> bool:
+    return column in SCHEMAS[fact].fieldNames()
 
 
 def m_store_vs_region_pct(star, group_cols=("location_name",), filters=None):
-    """Distance of each location from the mean over all locations of its region, warehouses included."""
+    """Distance of each row from the mean over all locations of its region in the same context, warehouses included.
+
+    The context is the grain without columns of the location.
+    """
     grain = list(dict.fromkeys([*group_cols, "region"]))
+    context_cols = [c for c in grain if c != "location_key" and (reaches_own(c) or owner("fact_sales", c) != "dim_location")]
+    stores = grouped(star, "fact_sales", [*context_cols, "region", "location_key"], filters, _store=("sum", "net_sales_amount"))
+    peers = stores.groupBy(*context_cols, "region").agg(safe_ratio(F.sum("_store"), F.count("_store")).alias("_avg"))
     df = grouped(star, "fact_sales", grain, filters, r=("sum", "net_sales_amount"))
-    peers = Window.partitionBy("region")
-    average = safe_ratio(F.sum("r").over(peers), F.count("r").over(peers))
-    return df.withColumn("_avg", average).select(
-        *grain, safe_ratio(double("r") - F.col("_avg"), "_avg").alias("store_vs_region_pct")
-    )
+    return meet(df, peers, [*context_cols, "region"]).select(
+        *grain, safe_ratio(double("r") - F.col("_avg"), "_avg").alias("store_vs_region_pct"))
 
 
 def m_category_share(star, group_cols=("category",), filters=None):

@@ -27,7 +27,8 @@ from shelfwise.sources.star import Star, with_month
 RETURN_REASONS = ("Defective", "Wrong Item", "Not As Described", "Changed Mind", "Damaged in Transit", "Better Price Elsewhere")
 ROLES = ("Cashier", "Sales Associate", "Shift Lead", "Store Manager")
 TIERS = {"Gold": (7, 7, 5), "Silver": (16, 12, 18), "Bronze": (20, 20, 38)}  # key bound, base lead, late %
-SNAPSHOT_MONTHS = 12
+# Months back from the last day whose stock is kept for every day; of earlier months the last day is kept.
+SNAPSHOT_DAILY_MONTHS = 4
 OPEN_STATUS, RETURNED_FLAG = "O", "R"
 
 
@@ -40,7 +41,8 @@ def _cents(c: Column, kind=MONEY) -> Column:
 
 
 def _floordiv(a: Column, b: int) -> Column:
-    return ((a - F.pmod(a, F.lit(b))) / b).cast("bigint")
+    # exact: a quotient of decimals without remainder
+    return ((a - F.pmod(a, F.lit(b))).cast("decimal(20,0)") / F.lit(b).cast("decimal(10,0)")).cast("bigint")
 
 
 def _skew(key: Column) -> Column:
@@ -308,7 +310,7 @@ class DerivedTables:
         units = F.greatest(F.lit(1), _floordiv(F.col("units"), 2))
         reasons = F.array(*[F.lit(r) for r in RETURN_REASONS])
         return (
-            self.get("base").filter((F.col("l_returnflag") == RETURNED_FLAG) & (F.col("tax_pct") >= 6))
+            self.get("base").filter(F.col("l_returnflag") == RETURNED_FLAG)
             .join(self.catalogue(), "l_partkey")
             .select(
                 F.monotonically_increasing_id().alias("return_key"),
@@ -361,18 +363,18 @@ class DerivedTables:
         receipts, demand, opening = self.movements()
         return ledger_rollforward(receipts, demand, opening, ["product_key", "location_key"], "date_key")
 
-    def month_ends(self) -> DataFrame:
-        """The last twelve month ends before the month the calendar ends in."""
-        last = F.last_day(F.add_months("full_date", -1))
-        return self.get("dim_date").agg(F.max("full_date").alias("full_date")).select(
-            F.explode(F.sequence(F.last_day(F.add_months("full_date", -SNAPSHOT_MONTHS)), last)).alias("day")
-        ).filter(F.col("day") == F.last_day("day")).select(_key(to_date_key("day")).alias("date_key"))
+    def snapshot_days(self) -> DataFrame:
+        """Days with a snapshot over the whole calendar: every recent day, every month end, the last day."""
+        day = F.col("full_date")
+        last = self.get("dim_date").agg(F.max("full_date")).scalar()
+        kept = (day >= F.add_months(last, -SNAPSHOT_DAILY_MONTHS)) | (day == F.last_day(day)) | (day == last)
+        return self.get("dim_date").filter(kept).select("date_key")
 
     def fact_inventory_snapshot(self) -> DataFrame:
         pair = ["product_key", "location_key"]
-        calendar, ends = self.get("dim_date"), self.month_ends()
-        stock = as_of_fill(self.get("ledger"), pair, "date_key", ends, calendar, ["on_hand"])
-        on_order = open_orders(self.get("fact_purchase_order"), ends, calendar)
+        calendar, days = self.get("dim_date"), self.snapshot_days()
+        stock = as_of_fill(self.get("ledger"), pair, "date_key", days, calendar, ["on_hand"])
+        on_order = open_orders(self.get("fact_purchase_order"), days, calendar)
         pk = F.col("product_key")
         rows = (
             stock.join(on_order, [*pair, "as_of_key"], "left")

@@ -25,6 +25,11 @@ def test_report_and_failing_check(spark, tmp_path, capsys):
     folder = str(tmp_path / "bad")
     sink_star(small(spark, fact_sales=[sale(1, DAY, p=404), sale(2, DAY)]), folder)
     assert main(["check", folder], spark) == 1
+    capsys.readouterr()
     assert main(["report", folder], spark) == 0
-    out = capsys.readouterr().out
-    assert "Gate: FAILED" in out and "(404)" in out
+    rows = [[cell.strip() for cell in line.strip("|").split("|")] for line in capsys.readouterr().out.splitlines() if line.startswith("|")]
+    log = next(r for r in rows if r[0] == "fact_sales")
+    assert log[1:3] == ["2", "0"]  # rows in, duplicates removed
+    failed = [r for r in rows if r[-1] == "FAIL"]
+    assert failed and any(r[2] == "1" and "404" in r[5] for r in failed)
+    assert rows[-1][-1] == "false"  # the gate stays shut

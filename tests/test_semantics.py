@@ -44,7 +44,8 @@ def test_row_average_differs_from_average_of_days(spark):
 def test_lag_skips_gaps_while_period_measures_keep_them(spark):
     s = star(spark, fact_sales=[sale(1, D(2024, 1, 5), price=10), sale(2, D(2024, 3, 5), price=15)])
     assert rows(sales.q15(s)) == [(2024, 1, 10.0, None), (2024, 3, 15.0, 50.0)]
-    assert rows(FUNCTIONS["m_revenue_pm"](s)) == [(2024, 1, None), (2024, 3, None)]
+    # months without sales show what came before them, and end with the calendar
+    assert rows(FUNCTIONS["m_revenue_pm"](s)) == [(2024, 1, None), (2024, 2, 10.0), (2024, 3, None), (2024, 4, 15.0)]
 
 
 def test_last_year_and_year_to_date(spark):
@@ -52,7 +53,43 @@ def test_last_year_and_year_to_date(spark):
         sale(1, D(2023, 3, 1), price=40), sale(2, D(2024, 3, 9), price=50), sale(3, D(2024, 4, 9), price=5)])
     assert rows(FUNCTIONS["m_revenue_ly"](s)) == [(2023, 3, None), (2024, 3, 40.0), (2024, 4, None)]
     assert rows(FUNCTIONS["m_revenue_yoy_pct"](s)) == [(2023, 3, None), (2024, 3, 0.25), (2024, 4, None)]
-    assert rows(FUNCTIONS["m_revenue_ytd"](s)) == [(2023, 3, 40.0), (2024, 3, 50.0), (2024, 4, 55.0)]
+    whole = sorted(rows(FUNCTIONS["m_revenue_ytd"](s)))
+    assert whole[:10] == [(2023, m, 40.0) for m in range(3, 13)]
+    assert whole[10:12] == [(2024, 3, 50.0), (2024, 4, 55.0)]
+
+
+def test_months_without_sales_still_compare(spark):
+    s = star(spark, first=D(2023, 1, 1), fact_sales=[sale(1, D(2023, 1, 9), price=6), sale(2, D(2024, 3, 9), price=3)], last=D(2024, 3, 31))
+    assert (2024, 1, 6.0) in rows(FUNCTIONS["m_revenue_ly"](s))
+    assert (2024, 1, -1.0) in rows(FUNCTIONS["m_revenue_yoy_pct"](s))
+    assert rows(FUNCTIONS["m_revenue_ly"](s, filters={"year": 2024})) == [(2024, 1, 6.0), (2024, 3, None)]
+
+
+def test_rank_and_peers_stay_in_their_year(spark):
+    facts = [sale(1, D(2023, 5, 1), loc=1, price=1), sale(2, D(2023, 5, 1), loc=2, price=2),
+             sale(3, D(2024, 5, 1), loc=1, price=10), sale(4, D(2024, 5, 1), loc=2, price=20)]
+    s = star(spark, first=D(2023, 1, 1), dim_location=[location(1, "A"), location(2, "A")], fact_sales=facts)
+    grain = ("location_key", "year")
+    assert rows(FUNCTIONS["m_revenue_rank"](s, grain)) == [(1, 2023, 2), (1, 2024, 2), (2, 2023, 1), (2, 2024, 1)]
+    found = {r[:2]: round(r[-1], 4) for r in rows(FUNCTIONS["m_store_vs_region_pct"](s, grain))}
+    assert found == {(1, 2023): -0.3333, (1, 2024): -0.3333, (2, 2023): 0.3333, (2, 2024): 0.3333}
+
+
+def test_dead_stock_and_lost_sales_follow_the_period(spark):
+    s = star(spark, first=D(2023, 1, 1), fact_sales=[sale(1, D(2023, 12, 15), qty=4, price=2), sale(2, D(2024, 11, 1), qty=20, price=2)],
+             dim_product=[product(1, unit_price=1)], last=D(2024, 12, 31),
+             fact_inventory_snapshot=[stock(1, D(2023, 12, 20), qty=5), {**stock(2, D(2023, 12, 21), qty=0), "is_stockout_flag": True}])
+    assert rows(measure(s, ["dead_stock_value"], filters={"year": 2023})) in ([], [(None,)])
+    assert rows(measure(s, ["est_lost_sales"], filters={"year": 2023})) == [(4.0,)]
+
+
+def test_unreadable_numbers_are_not_duplicates(spark):
+    s = star(spark, dim_product=[product(1)], fact_sales=[sale(1, D(2024, 1, 1)), sale(1, D(2024, 1, 1))])
+    raw = s.sales.drop("sale_month").withColumn("units_sold_qty", F.when(F.rand(1) < 2, "abc"))
+    other = raw.withColumn("units_sold_qty", F.lit("xyz")).withColumn("sales_key", F.col("sales_key") + 1)
+    cleaned, log = clean_sales(raw.unionByName(other), s.product)
+    assert cleaned.count() == 2 and cleaned.filter("units_sold_qty IS NULL").count() == 2
+    assert log.first()["duplicates_removed"] == 2
 
 
 def test_rolling_average_is_over_days_with_sales(spark):
