@@ -146,7 +146,15 @@ def main_text(html: str | None, sigma: float = 1.0) -> str:
         return found
 
     homes = {region: around(region) for _, _, region in parser.lines}
-    content = {homes[line[2]] for line, yes in zip(parser.lines, chosen, strict=True) if yes}
+    chars: dict[int, list[int]] = {}
+    for (text, _, region), yes in zip(parser.lines, chosen, strict=True):
+        sums = chars.setdefault(homes[region], [0, 0])
+        sums[0] += len(text)
+        sums[1] += len(text) * bool(yes)
+    # a box counts if most of its text is dense: smoothing lifts the lines next to content as well
+    content = {home for home, (whole, dense) in chars.items() if 2 * dense >= whole} or {home for home, (_, dense) in chars.items() if dense}
+    if not any(parser.parents[home][1] in WHOLE for home in content):
+        content |= {home for home, (_, dense) in chars.items() if dense and parser.parents[home][1] in WHOLE}
     if any(parser.parents[home][1] in WHOLE for home in content):  # what lies outside the articles is not the main text
         content = {home for home in content if parser.parents[home][1] in WHOLE}
     return " ".join(text for text, _, region in parser.lines if homes[region] in content)
