@@ -40,9 +40,42 @@ def checksum_sql(replace: dict[str, str] | None = None, tables=tuple(RELATIONS))
 FILLED_NET = f"(SELECT * REPLACE (units_sold_qty * price_c - disc_c AS net_c) FROM ({FILLED}))"
 
 
-def _check(name: str, table: str, violations: str = "0", critical: bool = True, relations=RAW) -> str:
+def _check(name: str, table: str, violations: str, critical: bool = True, total: str = "count(*)", sample: bool | str = False) -> str:
+    listed = f", {sample} AS sample" if isinstance(sample, str) else ", NULL::VARCHAR AS sample" if sample else ""
     return (f"SELECT '{name}' AS check_name, {str(critical).lower()} AS is_critical, ({violations})::BIGINT AS violations, "
-            f"(SELECT {N} FROM {relations[table]}) AS total")
+            f"(SELECT {total} FROM {RAW[table]})::BIGINT AS total{listed}")
+
+
+# Columns of the derived star under other names here, and the column rows are chosen by.
+NAMES = {
+    ("fact_inventory_snapshot", "snapshot_date_key"): "date_key", ("fact_purchase_order", "order_date_key"): "order_key",
+    ("fact_purchase_order", "expected_date_key"): "expected_key", ("fact_purchase_order", "received_date_key"): "received_key",
+    ("fact_purchase_order", "dest_location_key"): "location_key", ("fact_returns", "return_date_key"): "date_key",
+    ("fact_stock_transfer", "transfer_date_key"): "date_key", ("fact_stock_transfer", "source_location_key"): "src_key",
+    ("fact_stock_transfer", "dest_location_key"): "dst_key", ("dim_employee", "home_location_key"): "k % 20",
+    ("dim_employee", "employee_key"): "k", ("dim_promotion", "promotion_key"): "k",
+}
+
+
+def _marker(table: str) -> str:
+    key = "product_key" if table.startswith("fact_") else PRIMARY_KEY[table][0]
+    return NAMES.get((table, key), key)
+
+
+def _orphans(table: str, column: str, dim: str) -> str:
+    key = NAMES.get((table, column), column)
+    gone = f"FROM {RAW[table]} WHERE ({key}) % 7 = 3"
+    first = f"(SELECT string_agg(k::VARCHAR, ', ' ORDER BY k) FROM (SELECT DISTINCT ({key})::BIGINT + 1000000000 AS k {gone} ORDER BY k LIMIT 5))"
+    return _check(f"{table}.{column} -> {dim}", table, f"SELECT count(*) {gone}", sample=first)
+
+
+def _twice(name: str, table: str) -> str:
+    again = f"count(*) FILTER (WHERE {_marker(table)} % 5 = 0)"
+    return _check(name, table, f"SELECT {again} FROM {RAW[table]}", total=f"count(*) + {again}", sample=True)
+
+
+def _holes(name: str, table: str) -> str:
+    return _check(name, table, f"SELECT count(*) FROM {RAW[table]} WHERE {_marker(table)} % 6 = 1", sample=True)
 
 
 MISSING = "SELECT count(*) - count(price_c) FROM raw_sales"
@@ -94,8 +127,11 @@ DUP = "order_id, day, date_key, product_key, location_key, customer_key, employe
 BLOCK_SQL: dict[str, str] = {
     "src_csv_star": checksum_sql(),
     "src_parquet_star": checksum_sql(),
-    "sink_processed": checksum_sql({"fact_sales": FILLED_NET}, ("fact_sales",)),
+    "sink_processed": checksum_sql({"fact_sales": FILLED_NET}),
     "gated_load": checksum_sql({"fact_sales": FILLED_NET}),
+    "etl_pipeline": checksum_sql({"fact_sales": FILLED_NET}),
+    "sink_sample_all": " UNION ALL ".join(
+        f"SELECT '{t}' AS table_name, least(500, (SELECT count(*) FROM {r}))::BIGINT AS row_count" for t, (r, _) in RELATIONS.items()),
     "sink_sample": """SELECT customer_key, printf('CUST-%07d', customer_key) AS customer_id, loyalty_tier,
                       loyalty_tier <> 'None' AS is_loyalty_member, region FROM d_customer ORDER BY customer_key LIMIT 500""",
     "layout_partition": f"SELECT (date_key // 100)::INTEGER AS snapshot_month, {N} AS row_count, sum(on_hand)::BIGINT AS on_hand_qty FROM f_snap GROUP BY ALL",
@@ -216,18 +252,21 @@ BLOCK_SQL: dict[str, str] = {
     "clean_log": "SELECT 'fact_sales' AS table_name, (SELECT count(*) FROM raw_sales)::BIGINT AS rows_in, (SELECT count(*) FROM raw_sales)::BIGINT - count(*)::BIGINT AS duplicates_removed, "
         "(count(*) - count(price_c))::BIGINT AS missing_price_before, 0::BIGINT AS missing_price_after, count(*)::BIGINT AS rows_out FROM (SELECT DISTINCT * FROM raw_sales) "
         + " ".join(f"UNION ALL SELECT '{t}', {N}, NULL, NULL, NULL, {N} FROM {r}" for t, (r, _) in RELATIONS.items() if t != "fact_sales"),
-    "dq_ref": " UNION ALL ".join(_check(f"{t}.{c} -> {d}", t) for t, refs in REFERENCES.items() for c, d in refs.items()),
+    "dq_ref": " UNION ALL ".join(_orphans(t, c, d) for t, refs in REFERENCES.items() for c, d in refs.items()),
     "dq_unique": " UNION ".join(
-        [_check(f"{t}.{'+'.join(k)} unique", t) for t, k in PRIMARY_KEY.items()] + [_check(f"{t}.{k} unique", t) for t, k in NATURAL_KEY.items()]),
+        [_twice(f"{t}.{'+'.join(k)} unique", t) for t, k in PRIMARY_KEY.items()] + [_twice(f"{t}.{k} unique", t) for t, k in NATURAL_KEY.items()]),
     "dq_complete": " UNION ".join(
-        [_check(f"{t}.{c} not null", t) for t, cs in REQUIRED.items() for c in cs] + [_check("fact_sales.unit_price not null", "fact_sales", MISSING)]),
+        [_holes(f"{t}.{c} not null", t) for t, cs in REQUIRED.items() for c in cs] + [_check("fact_sales.unit_price not null", "fact_sales", MISSING, sample=True)]),
     "dq_domain": " UNION ALL ".join([
-        _check("dim_product.unit_price >= unit_cost", "dim_product", "SELECT count(*) FROM d_product WHERE price_c < cost_c", False),
-        _check("dim_location.location_type in domain", "dim_location", "SELECT count(*) FROM d_location WHERE location_type NOT IN ('STORE', 'WAREHOUSE')"),
-        _check("fact_sales.units_sold_qty > 0", "fact_sales", "SELECT count(*) FROM f_sales WHERE units_sold_qty <= 0"),
-        _check("fact_stock_transfer.source <> destination", "fact_stock_transfer", "SELECT count(*) FROM f_trf WHERE src_key = dst_key"),
-        _check("fact_inventory_snapshot.on_hand_qty >= 0", "fact_inventory_snapshot", "SELECT count(*) FROM f_snap WHERE on_hand < 0"),
-        _check("fact_purchase_order.received_qty <= ordered_qty", "fact_purchase_order", "SELECT count(*) FROM f_po WHERE received_qty > ordered_qty", False),
+        _check("dim_product.unit_price >= unit_cost", "dim_product", "SELECT count(*) FROM d_product WHERE product_key % 9 = 2 OR price_c < cost_c", False, sample=True),
+        _check("dim_location.location_type in domain", "dim_location", "SELECT count(*) FROM d_location WHERE location_key % 6 = 1", sample=True),
+        _check("fact_sales.units_sold_qty > 0", "fact_sales", "SELECT count(*) FROM f_sales WHERE product_key % 11 = 3 OR units_sold_qty <= 0", sample=True),
+        _check("fact_stock_transfer.source <> destination", "fact_stock_transfer",
+               "SELECT count(*) FROM f_trf WHERE product_key % 8 = 5 OR src_key = dst_key", sample=True),
+        _check("fact_inventory_snapshot.on_hand_qty >= 0", "fact_inventory_snapshot",
+               "SELECT count(*) FROM f_snap WHERE product_key % 10 = 4 OR on_hand < 0", sample=True),
+        _check("fact_purchase_order.received_qty <= ordered_qty", "fact_purchase_order",
+               "SELECT count(*) FROM f_po WHERE product_key % 13 = 6 OR received_qty > ordered_qty", False, sample=True),
     ]).replace("FROM raw_sales", "FROM f_sales"),
     "dq_consistency": _check("fact_purchase_order.is_otif_flag = on time and in full", "fact_purchase_order",
                              "SELECT count(*) FROM f_po WHERE product_key % 3 = 0", False),

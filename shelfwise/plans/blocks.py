@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfwise.functions.columns import (
@@ -26,7 +26,7 @@ from shelfwise.operators.quality import (
 from shelfwise.plans import network, sales, store_product, supplier
 from shelfwise.plans.inventory import days_of_supply, fanout_totals, month_end_value
 from shelfwise.plans.load import gated_load
-from shelfwise.schema import TABLES
+from shelfwise.schema import PRIMARY_KEY, REFERENCES, REQUIRED, TABLES
 from shelfwise.session import shared_folder
 from shelfwise.sources.derived import DerivedTables
 from shelfwise.sources.sinks import (
@@ -79,10 +79,21 @@ def src_parquet_star(star, built):
 
 
 def sink_processed(star, built):
+    """All twelve tables cleaned, written and read back."""
     folder = scratch(star.spark)
-    cleaned, _ = clean_sales(built.get("raw_sales"), star.product)
-    sink_table(cleaned, folder, "fact_sales")
-    return checksums(from_parquet(star.spark, folder), ("fact_sales",))
+    cleaned, _ = clean_all(raw_star(star, built))
+    sink_star(cleaned, folder)
+    return checksums(from_parquet(star.spark, folder))
+
+
+def sink_sample_all(star, built):
+    """Samples of all twelve tables as CSV, and the rows of each."""
+    folder = scratch(star.spark)
+    for table in TABLES:
+        sink_table(sample_rows(star.table(table), table), folder, table, fmt="csv")
+    read = from_csv(star.spark, folder)
+    return reduce(DataFrame.unionByName, [
+        read.table(t).agg(F.lit(t).alias("table_name"), F.count(F.lit(1)).alias("row_count")) for t in TABLES])
 
 
 def sink_sample(star, built):
@@ -491,23 +502,54 @@ def clean_log(star, built):
     return log
 
 
-def _checks(kind):
-    def run(star, built):
-        rules = {r.name: r for r in (*CORE_RULES, *CONSTRAINT_RULES) if kind(r)}
-        return run_checks(raw_star(star, built), list(rules.values())).drop("sample")
+def _marker(table: str) -> Column:
+    """A number every row has, to choose rows by."""
+    return F.col("product_key" if table.startswith("fact_") else PRIMARY_KEY[table][0])
+
+
+def _where(chosen: Column, column: str, value: Column) -> Column:
+    return F.when(chosen, value).otherwise(F.col(column))
+
+
+def dq_ref(star, built):
+    """Every reference of a star where one key in seven points nowhere, with the smallest orphans."""
+    raw = raw_star(star, built)
+    broken = raw.replaced(**{
+        t: raw.table(t).withColumns({c: _where(F.col(c) % 7 == 3, c, F.col(c) + 1_000_000_000) for c in refs}) for t, refs in REFERENCES.items()})
+    return run_checks(broken, list({r.name: r for r in (*CORE_RULES, *CONSTRAINT_RULES) if isinstance(r, Reference)}.values()))
+
 
-    return run
+def dq_unique(star, built):
+    """Every key of a star where one row in five comes twice."""
+    raw = raw_star(star, built)
+    twice = raw.replaced(**{t: raw.table(t).unionByName(raw.table(t).filter(_marker(t) % 5 == 0)) for t in TABLES})
+    return run_checks(twice, list({r.name: r for r in (*CORE_RULES, *CONSTRAINT_RULES) if isinstance(r, Unique)}.values()))
 
 
-dq_ref = _checks(lambda r: isinstance(r, Reference))
-dq_unique = _checks(lambda r: isinstance(r, Unique))
-dq_complete = _checks(lambda r: isinstance(r, Row) and r.name.endswith("not null"))
+def dq_complete(star, built):
+    """Every required column of a star where one row in six lacks it."""
+    raw = raw_star(star, built)
+    holes = raw.replaced(**{
+        t: raw.table(t).withColumns({c: F.when(_marker(t) % 6 != 1, F.col(c)) for c in columns}) for t, columns in REQUIRED.items()})
+    rules = {r.name: r for r in (*CORE_RULES, *CONSTRAINT_RULES) if isinstance(r, Row) and r.name.endswith("not null")}
+    return run_checks(holes, list(rules.values()))
 
 
 def dq_domain(star, built):
+    """Every rule on values of a star where some rows break each."""
+    product, sales, stock, orders, moves = (star.table(t) for t in (
+        "dim_product", "fact_sales", "fact_inventory_snapshot", "fact_purchase_order", "fact_stock_transfer"))
+    key = F.col("product_key")
+    odd = star.replaced(
+        dim_product=product.withColumn("unit_price", _where(key % 9 == 2, "unit_price", F.col("unit_cost") - 1)),
+        dim_location=star.location.withColumn("location_type", _where(F.col("location_key") % 6 == 1, "location_type", F.lit("SHOP"))),
+        fact_sales=sales.withColumn("units_sold_qty", _where(key % 11 == 3, "units_sold_qty", -F.col("units_sold_qty"))),
+        fact_inventory_snapshot=stock.withColumn("on_hand_qty", _where(key % 10 == 4, "on_hand_qty", F.lit(-1))),
+        fact_purchase_order=orders.withColumn("received_qty", _where(key % 13 == 6, "received_qty", F.col("ordered_qty") + 1)),
+        fact_stock_transfer=moves.withColumn("source_location_key", _where(key % 8 == 5, "source_location_key", F.col("dest_location_key"))))
     rules = {r.name: r for r in (*CONSTRAINT_RULES, *CORE_RULES)
              if isinstance(r, Row) and not r.name.endswith("not null") and "otif" not in r.name}
-    return run_checks(star, list(rules.values())).drop("sample")
+    return run_checks(odd, list(rules.values()))
 
 
 def dq_consistency(star, built):
@@ -576,7 +618,7 @@ BLOCKS = {
     "src_csv_star": src_csv_star, "src_parquet_star": src_parquet_star, "sink_processed": sink_processed,
     "sink_sample": sink_sample, "layout_partition": layout_partition, "layout_cluster": layout_cluster,
     "incremental_refresh": incremental, "retention_compact": retention, "refresh_stats": statistics,
-    "gated_load": load_through_gate,
+    "gated_load": load_through_gate, "etl_pipeline": load_through_gate, "sink_sample_all": sink_sample_all,
     "latest_snapshot": latest_snapshot, "as_of_snapshot": as_of_snapshot, "as_of_calendar": as_of_calendar,
     "trailing_window": trailing_window, "flag_filter": flag_filter, "band_case": band_case,
     "row_policy": row_policy_scopes, "drillthrough": drillthrough, "drillthrough_lead_times": drillthrough_lead_times,
