@@ -1,8 +1,8 @@
 """Packing documents into training windows by lexical retrieval.
 
 Documents are tokenised once and stored. Range partitions of a min-hash of their rarer tokens bring like documents together
-and are read as shards of bounded size. A shard has an inverted index with BM25 weights from counts over all documents:
-each seed document retrieves its nearest unused neighbours, which fill its window greedily; the last one is cut
+and are read as shards of bounded size. A shard has an index with BM25 weights from counts over all documents:
+each seed document, with all its terms, retrieves its nearest unused neighbours, which fill its window greedily; the last one is cut
 to fit and its rest opens the next window, so only the last window of a partition is padded.
 """
 
@@ -28,7 +28,6 @@ WINDOW = 4096
 END_ID = 2
 #: Tokens of one index shard; a shard is held in memory by one task.
 SHARD_TOKENS = 1 << 21
-QUERY_TERMS = 16
 K1, B = 1.2, 0.75
 #: Words whose ids a Python worker remembers for good; it remembers as many again for a while.
 CACHE_WORDS = 200_000
@@ -177,7 +176,7 @@ def _document_frequency(tokens: DataFrame, width: int, vocabulary: int) -> np.nd
 
 
 class Index:
-    """Inverted index with BM25 weights over the items of one shard."""
+    """Terms and BM25 weights of the items of one shard, item by item; a query is a sparse product with all of them."""
 
     def __init__(self, items: list[np.ndarray], idf: np.ndarray, mean_length: float) -> None:
         self.terms, self.weights = [], []
@@ -186,20 +185,28 @@ class Index:
             norm = K1 * (1 - B + B * len(ids) / mean_length)
             self.terms.append(terms)
             self.weights.append((idf[terms] * tf * (K1 + 1) / (tf + norm)).astype(np.float32))
-        flat = np.concatenate(self.terms) if items else np.zeros(0, np.int64)
-        owner = np.repeat(np.arange(len(items)), [len(t) for t in self.terms])
-        order = np.argsort(flat, kind="stable")
-        self.owner, self.value = owner[order], (np.concatenate(self.weights)[order] if items else np.zeros(0, np.float32))
-        self.starts = np.searchsorted(flat[order], np.arange(len(idf) + 1))
-
-    def scores(self, seed: int) -> np.ndarray:
-        """Score of every item for the weightiest terms of the seed."""
-        weights = self.weights[seed]
-        top = np.argsort(-weights, kind="stable")[:QUERY_TERMS]
+        self.items = np.arange(len(items))  # those whose postings are still held, in order
+        self.flat = np.concatenate(self.terms).astype(np.intp) if items else np.zeros(0, np.intp)
+        self.value = np.concatenate(self.weights) if items else np.zeros(0, np.float32)
+        self.asked = np.zeros(len(idf), dtype=np.float32)
+        self.starts = self._starts()
+
+    def _starts(self) -> np.ndarray:
+        return np.cumsum([0, *(len(self.terms[i]) for i in self.items)])[:-1]
+
+    def scores(self, seed: int, used: np.ndarray) -> np.ndarray:
+        """Score of every unused item for all terms of the seed; 0 for used ones whose postings are gone."""
+        held = self.items[~used[self.items]]
+        if len(held) < 0.875 * len(self.items):
+            sizes = [len(self.terms[i]) for i in self.items]
+            keep = np.repeat(~used[self.items], sizes)
+            self.items, self.flat, self.value = held, self.flat[keep], self.value[keep]
+            self.starts = self._starts()
         out = np.zeros(len(self.terms), dtype=np.float32)
-        for term in self.terms[seed][top]:
-            at = slice(self.starts[term], self.starts[term + 1])
-            out[self.owner[at]] += self.value[at]
+        if len(self.items):
+            self.asked[self.terms[seed]] = 1
+            out[self.items] = np.add.reduceat(self.value * self.asked[self.flat], self.starts)
+            self.asked[self.terms[seed]] = 0
         return out
 
 
@@ -254,7 +261,7 @@ class Packer:
             if cut:  # the rest opens the next window as its seed
                 self.place(doc, start)
             if cut or not seeded:
-                scores = index.scores(best)
+                scores = index.scores(best, used)
             seeded = self.offset > 0
 
 

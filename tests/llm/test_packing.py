@@ -86,5 +86,21 @@ def test_neighbours_share_a_window():
     assert sum(pure) >= len(pure) - 1
 
 
+def test_all_terms_of_the_seed_count():
+    """Items share only terms with the seed that are not among its weightiest, item 2 more of them than item 1."""
+    own = np.arange(1000, 1100)
+    seed, far, near = np.concatenate([own, np.arange(60)]), np.arange(50, 70), np.arange(60)
+    idf = np.full(2000, 0.5, np.float32)
+    idf[own] = 9
+    index = packing.Index([seed, far, near], idf, 60.0)
+    scores = index.scores(0, np.zeros(3, dtype=bool))
+    want = [sum(w for t, w in zip(index.terms[i], index.weights[i], strict=True) if t in set(seed.tolist())) for i in range(3)]
+    assert np.allclose(scores, want) and scores[2] > scores[1] > 0
+    assert np.allclose(index.scores(0, np.array([True, False, False]))[1:], want[1:])
+    packer = packing.Packer(240, 0)
+    packer.shard([(0, seed), (1, far), (2, near)], idf, 60.0)
+    assert [r[0][0] for r in packer.rows] == [0, 2, 1]
+
+
 def test_empty_table(make_docs):
     assert packing.pack(make_docs([])).collect() == []
