@@ -21,8 +21,11 @@ DIMS = 1 << BITS
 #: Rows per language the centroids are clustered from, at most.
 SAMPLE_PER_LANGUAGE = 500
 CENTROIDS = 4
-#: A text is rejected below this part of the lowest cosine that sampled rows of its language have to their centroids.
-REJECT = 0.25
+#: A text is rejected below this part of the cosine that all but ``QUANTILE`` of its language's training rows have to their centroids.
+REJECT = 0.85
+QUANTILE = 0.005
+#: Texts of fewer n-grams are short: they are left out of the quantile unless a language has no others, and need this part of it.
+SHORT_GRAMS, SHORT_PART = 128, 0.45
 _SLICE = 256
 _LETTER = re.compile(r"[^\W\d_]")
 _LETTERS = bytes(c if c >= 0x80 or chr(c).isalpha() else 0x20 for c in range(256))
@@ -40,20 +43,22 @@ def counts(text: str | None) -> np.ndarray | None:
     return found + np.bincount(triples * np.uint32(2246822519) >> shift, minlength=DIMS)
 
 
-def _vectors(texts: list[str | None], idf: np.ndarray) -> np.ndarray:
-    """Normalised TF-IDF rows; zero for texts without letters."""
+def _vectors(texts: list[str | None], idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Normalised TF-IDF rows, zero for texts without letters, and which texts are short."""
     out = np.zeros((len(texts), DIMS), dtype=np.float32)
+    grams = np.zeros(len(texts), dtype=np.int64)
     for i, text in enumerate(texts):
         if (found := counts(text)) is not None:
             out[i] = np.log1p(found)
+            grams[i] = found.sum()
     out *= idf
     norm = np.sqrt((out * out).sum(axis=1, keepdims=True))
-    return out / np.where(norm > 0, norm, 1)
+    return out / np.where(norm > 0, norm, 1), grams < SHORT_GRAMS
 
 
 @dataclass(frozen=True)
 class Model:
-    """idf by dimension, centroid rows, the language of each and the lowest cosine accepted for it."""
+    """idf by dimension, centroid rows, the language of each and the lowest cosine accepted for it if a text isn't short."""
 
     idf: np.ndarray
     centroids: np.ndarray
@@ -107,9 +112,35 @@ def _sample(train: DataFrame, id_col: str, per_language: int) -> DataFrame:
     return thin.join(F.broadcast(ranked), "lang").filter("place <= last").select("lang", "text", "place")
 
 
+def _low_cosines(train: DataFrame, idf: np.ndarray, centroids: np.ndarray, languages: list[str]) -> dict[str, float]:
+    """The ``QUANTILE`` of each language's cosines to its own closest centroid, in thousandths, over all training rows."""
+    own = {x: centroids[[y == x for y in languages]] for x in set(languages)}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start in range(0, batch.num_rows, _SLICE):
+                part = batch.slice(start, _SLICE)
+                texts, names = part.column(0).to_pylist(), part.column(1).to_pylist()
+                vectors, short = _vectors(texts, idf)
+                keep = [i for i, name in enumerate(names) if name in own and vectors[i].any()]
+                bins = [int(1000 * float((own[names[i]] @ vectors[i]).max())) for i in keep]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([names[i] for i in keep], pa.string()), pa.array(short[keep]), pa.array(bins, pa.int64())], ["lang", "short", "bin"])
+
+    found: dict[tuple[str, bool], list[tuple[int, int]]] = {}
+    for r in (train.select("text", "lang").mapInArrow(run, "lang string, short boolean, bin long")
+              .groupBy("lang", "short", "bin").agg(F.count(F.lit(1)).alias("n")).collect()):
+        found.setdefault((r.lang, r.short), []).append((r.bin, r.n))
+    out = {}
+    for name in own:
+        bins, n = np.array(sorted(found.get((name, False)) or found[name, True])).T
+        out[name] = float(bins[np.searchsorted(np.cumsum(n), QUANTILE * n.sum(), side="right")]) / 1000
+    return out
+
+
 def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
         per_language: int = SAMPLE_PER_LANGUAGE, k: int = CENTROIDS, reject: float = REJECT) -> Model:
-    """Model of rows with a language. Frequencies cover all of them; centroids a sample of ``per_language`` rows each.
+    """Model of rows with a language. Frequencies and the cosines accepted cover all of them; centroids a sample of ``per_language`` rows each.
 
     Rows without language or letters teach nothing. No usable row gives a model without languages.
     """
@@ -120,18 +151,18 @@ def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lan
 
     def cluster(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         table = table.sort_by("place")
-        vectors = _vectors([x for x in table.column("text").to_pylist() if counts(x) is not None], idf)
+        vectors, _ = _vectors([x for x in table.column("text").to_pylist() if counts(x) is not None], idf)
         found = _cluster(vectors, k) if len(vectors) else np.zeros((0, DIMS), np.float32)
-        lowest = float((vectors @ found.T).max(axis=1).min()) if len(found) else 0.0
         return pa.table({"lang": pa.array([key[0].as_py()] * len(found), pa.string()),
-                         "centroid": pa.array([c.tobytes() for c in found], pa.binary()),
-                         "floor": pa.array([lowest * reject] * len(found), pa.float64())})
+                         "centroid": pa.array([c.tobytes() for c in found], pa.binary())})
 
     found = sorted(_sample(train, "id", per_language).groupBy("lang")
-                   .applyInArrow(cluster, "lang string, centroid binary, floor double").collect(),
+                   .applyInArrow(cluster, "lang string, centroid binary").collect(),
                    key=lambda r: (r.lang, bytes(r.centroid)))
-    return Model(idf, np.array([np.frombuffer(r.centroid, np.float32) for r in found], np.float32).reshape(-1, DIMS),
-                 [r.lang for r in found], np.array([r.floor for r in found]))
+    centroids = np.array([np.frombuffer(r.centroid, np.float32) for r in found], np.float32).reshape(-1, DIMS)
+    languages = [r.lang for r in found]
+    lowest = _low_cosines(train, idf, centroids, languages)
+    return Model(idf, centroids, languages, np.array([lowest.get(x, 0.0) * reject for x in languages]))
 
 
 def predict(docs: DataFrame, model: Model, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
@@ -146,13 +177,14 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text", keep: tuple[s
                 texts = part.column(0).to_pylist()
                 names, scores, far = ["und"] * len(texts), np.zeros(len(texts)), np.ones(len(texts), bool)
                 if model.languages:
-                    cosine = _vectors(texts, model.idf) @ model.centroids.T
+                    vectors, short = _vectors(texts, model.idf)
+                    cosine = vectors @ model.centroids.T
                     best = np.argmax(cosine, axis=1)
                     top = cosine[np.arange(len(texts)), best].astype(float)
                     seen = np.array([bool(t) and _LETTER.search(t) is not None for t in texts])
                     names = [model.languages[b] if s else "und" for b, s in zip(best, seen, strict=True)]
                     scores = np.where(seen, np.clip(top, 0, 1), 0.0)
-                    far = ~seen | (top < model.floors[best])
+                    far = ~seen | (top < model.floors[best] * np.where(short, SHORT_PART, 1.0))
                 yield pa.RecordBatch.from_arrays(
                     [*part.columns[1:], pa.array(names, pa.string()), pa.array(scores), pa.array(far)],
                     [*part.schema.names[1:], "lang_pred", "score", "rejected"])

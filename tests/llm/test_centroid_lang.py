@@ -1,3 +1,6 @@
+import random
+import string
+
 import pytest
 
 from shelfwise.llm import centroid_lang as lang
@@ -38,3 +41,17 @@ def test_nothing_learned_or_nothing_asked(make_docs, model):
     empty = lang.fit(make_docs([]))
     assert [(r.lang_pred, r.score, r.rejected) for r in lang.predict(make_docs([(1, "some text")]), empty).collect()] == [("und", 0.0, True)]
     assert lang.predict(make_docs([]), model).collect() == []
+
+
+@pytest.mark.parametrize("left_out", ["de", "en", "es", "fr"])
+def test_unknown_latin_languages_and_gibberish_are_rejected(spark, make_docs, sf_dir, left_out):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").withColumn("held_out", lang.held_out())
+    model = lang.fit(docs.filter(~docs.held_out & (docs.lang != left_out)))
+    rows = [r for r in lang.predict(docs, model, keep=("lang", "held_out", "text")).collect() if any(c.isalpha() for c in r.text or "")]
+    unknown, known = [r.rejected for r in rows if r.lang == left_out], [r.rejected for r in rows if r.lang != left_out]
+    assert sum(unknown) >= 0.9 * len(unknown) > 0
+    assert sum(known) <= 0.02 * len(known)
+    rng = random.Random(6)
+    texts = [(n, " ".join("".join(rng.choices(string.ascii_lowercase, k=rng.randint(2, 9))) for _ in range(n))) for n in (5, 20, 60, 200, 800)]
+    texts += [(1000, "def f(x):\n    return [i for i in range(x) if i % 2 == 0]\nfor k, v in os.environ.items(): print(k, v)")]
+    assert all(r.rejected for r in lang.predict(make_docs(texts), model).collect())
