@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfwise.llm import (
-    bm25_packing, centroid_lang, chat_rotation, context_mix, html_regions, line_align, mtree, rule_ledger, simhash, temperature_mix,
+    bm25_packing, centroid_lang, chat_rotation, context_mix, html_regions, line_align, mtree, rule_ledger, simhash,
+    temperature_mix, turn_repair,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -63,5 +64,13 @@ def op10_centroid_lang(spark: SparkSession, sf_dir: str) -> DataFrame:
     return centroid_lang.predict(docs, model, keep=("doc_id", "held_out"))
 
 
+def op11_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = _table(spark, sf_dir, "conversations")
+    found = turn_repair.repair(turn_repair.damage(turns), turns.select(F.col("conv_id").alias("conv")))
+    return found.withColumnRenamed("conv", "conv_id")
+
+
 def llm_queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_simhash, op2_chat_rotation, op3_temperature_mix, op4_rule_ledger, op5_bm25_packing, op6_html_regions, op7_mtree, op8_line_align, op9_context_mix, op10_centroid_lang)}
+    return {f.__name__: f for f in (
+        op1_simhash, op2_chat_rotation, op3_temperature_mix, op4_rule_ledger, op5_bm25_packing, op6_html_regions, op7_mtree, op8_line_align,
+        op9_context_mix, op10_centroid_lang, op11_turn_repair)}
