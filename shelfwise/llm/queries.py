@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfwise.llm import (
-    bm25_packing, centroid_lang, chat_rotation, context_mix, html_regions, line_align, mtree, rule_ledger, simhash,
-    temperature_mix, turn_repair,
+    bm25_packing, centroid_lang, chat_rotation, collocations, context_mix, html_regions, line_align, mtree, rule_ledger,
+    simhash, temperature_mix, turn_repair,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -70,7 +70,11 @@ def op11_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumnRenamed("conv", "conv_id")
 
 
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(_table(spark, sf_dir, "documents"))
+
+
 def llm_queries() -> dict[str, Query]:
     return {f.__name__: f for f in (
         op1_simhash, op2_chat_rotation, op3_temperature_mix, op4_rule_ledger, op5_bm25_packing, op6_html_regions, op7_mtree, op8_line_align,
-        op9_context_mix, op10_centroid_lang, op11_turn_repair)}
+        op9_context_mix, op10_centroid_lang, op11_turn_repair, op13_collocations)}

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from shelfwise.llm import collocations
 from shelfwise.llm.chat_rotation import CLOSE, NOBODY, OPEN, SYSTEM
 from shelfwise.llm.rule_ledger import POLICIES, RULES, WINDOW, policy_mask
 from shelfwise.llm.temperature_mix import BLOCK_DOCS, Target
@@ -98,5 +99,35 @@ f AS (SELECT *, ({bits})::BIGINT AS failed_bits FROM m)
 SELECT *, failed_bits & {policy_mask(POLICIES['base'])} <> 0 AS base_failed, failed_bits & {policy_mask(POLICIES['v2'] + POLICIES['base'])} = 0 AS kept FROM f"""
 
 
+def op13() -> str:
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    return f"""
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang,
+           unnest(string_split_regex(translate(coalesce(text, ''), '{letters}', '{letters.lower()}'), '[.,;:!?\x0A-\x0D]')) AS piece
+    FROM documents),
+ws AS (SELECT lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda x: x <> '') AS ws FROM pieces),
+totals AS (SELECT lang, sum(len(ws))::BIGINT AS n FROM ws GROUP BY lang),
+sizes AS (SELECT unnest(range(1, {collocations.DEPTH + 1})) AS k),
+f AS (
+    SELECT lang, k, array_to_string(ws[i:i + k - 1], ' ') AS phrase, count(*) AS f
+    FROM (SELECT lang, ws, k, unnest(range(1, len(ws) - k + 2)) AS i FROM ws, sizes WHERE len(ws) >= k)
+    GROUP BY ALL HAVING count(*) >= {collocations.MIN_COUNT}),
+c AS (SELECT lang, phrase, k, f AS a, string_split(phrase, ' ') AS p FROM f WHERE k > 1),
+cuts AS (SELECT *, unnest(range(1, k)) AS cut FROM c),
+scored AS (
+    SELECT cuts.lang, cuts.phrase, cuts.a, cut, l.f AS l, r.f AS r, ((2000000::HUGEINT * cuts.a) // (l.f + r.f))::BIGINT AS score
+    FROM cuts JOIN f l ON l.lang = cuts.lang AND l.phrase = array_to_string(p[1:cut], ' ')
+    JOIN f r ON r.lang = cuts.lang AND r.phrase = array_to_string(p[cut + 1:], ' ')),
+best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+inner_phrases AS (
+    SELECT lang, array_to_string(p[i:i + many - 1], ' ') AS phrase, max(a) AS longer
+    FROM (SELECT *, unnest(range(1, k - many + 2)) AS i FROM (SELECT *, unnest(range(2, k)) AS many FROM c WHERE k > 2)) GROUP BY ALL)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM best JOIN totals USING (lang) LEFT JOIN inner_phrases USING (lang, phrase)
+WHERE longer IS NULL OR 100::HUGEINT * longer < 80::HUGEINT * a
+QUALIFY rank <= {collocations.TOP}"""
+
+
 def llm_sql() -> dict[str, str]:
-    return {"op2_chat_rotation": op2(), "op3_temperature_mix": op3(), "op4_rule_ledger": op4()}
+    return {"op2_chat_rotation": op2(), "op3_temperature_mix": op3(), "op4_rule_ledger": op4(), "op13_collocations": op13()}
