@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from shelfwise.llm import (
     bm25_packing, centroid_lang, chat_rotation, collocations, context_mix, html_regions, line_align, mtree, rule_ledger,
-    simhash, temperature_mix, turn_repair,
+    simhash, temperature_mix, toxicity, turn_repair,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -70,6 +70,10 @@ def op11_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumnRenamed("conv", "conv_id")
 
 
+def op12_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(_table(spark, sf_dir, "documents"))
 
@@ -77,4 +81,4 @@ def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
 def llm_queries() -> dict[str, Query]:
     return {f.__name__: f for f in (
         op1_simhash, op2_chat_rotation, op3_temperature_mix, op4_rule_ledger, op5_bm25_packing, op6_html_regions, op7_mtree, op8_line_align,
-        op9_context_mix, op10_centroid_lang, op11_turn_repair, op13_collocations)}
+        op9_context_mix, op10_centroid_lang, op11_turn_repair, op12_toxicity, op13_collocations)}
