@@ -1,9 +1,10 @@
 """Phrase collocations by vertical partitioning of the suffixes of a corpus.
 
-Every word of a piece begins a suffix, cut off after four words. Prefixes (a word, or two or three where a word is too frequent) are put
-into groups of at most about a memory budget of occurrences each, contiguous in key order. The suffixes of a group meet in one task, in order, and
-its depth-truncated subtree is built from them with no other group's help: equal prefixes are neighbours, so only the path to the current
-leaf is held and the count of a node is the total of its leaves.
+Every word of a piece begins a suffix, cut off after four words. Prefixes of two words are counted over the corpus and put into groups of about a
+memory budget of occurrences each, contiguous in key order; a prefix over the budget has groups of its own, dealt by its third word. The
+suffixes of a group meet in one task, in order, and its depth-truncated subtrees are built from them with no other group's help: equal
+prefixes are neighbours, so only the path to the current leaf is held, and the count of a node is the total of its leaves. No phrase is more
+frequent than its words and pairs, so a suffix also ends before a rare word or pair.
 
 A key is language and words with a zero byte between them, the lowest byte there is, so that all suffixes of a prefix are neighbours.
 """
@@ -11,12 +12,14 @@ A key is language and words with a zero byte between them, the lowest byte there
 from __future__ import annotations
 
 import re
+import zlib
 from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -29,10 +32,10 @@ DEPTH = 4
 BUDGET, MAX_GROUPS = 1 << 18, 8192
 MIN_COUNT = 30
 TOP = 2000
-#: Bits a frequent word has in the filter, and the filter's largest size (2^27 bits, 16 MB): a fuller filter spares less work, results stay.
+#: Bits a frequent word or pair has in its filter, and the filter's largest size (2^27 bits, 16 MB): a fuller filter spares less work, results stay.
 FILTER_BITS, MAX_FILTER = 16, 27
 _BUCKET = 1 << 15
-_CHUNK_BYTES, _CHUNK_WORDS = 1 << 22, 1 << 21
+_CHUNK_BYTES = 1 << 23
 _KNOWN = 1 << 19
 _SEPARATORS = bytes.maketrans(b".,;:!?\x0a\x0b\x0c\x0d\x09", b"\n" * 10 + b" ")
 
@@ -88,22 +91,35 @@ def word_counts(docs: DataFrame, text_col: str = "text", lang_col: str = "lang")
 
 
 class _Frequent:
-    """A filter of fixed size that knows every frequent word, and a few others."""
+    """A filter of bounded size that knows every frequent word or pair, and a few others."""
 
-    def __init__(self, words: DataFrame):
-        many = words.count()
-        self.bits = 1 << min(MAX_FILTER, max(15, (FILTER_BITS * many).bit_length()))
-        at = F.xxhash64("lang", "phrase").bitwiseAND(F.lit(self.bits - 1)) + 1
+    def __init__(self, rows: DataFrame, code: Column):
+        self.bits = 1 << min(MAX_FILTER, max(15, (FILTER_BITS * rows.count()).bit_length()))
+        at = code.bitwiseAND(F.lit(self.bits - 1)) + 1
         # at most bits / 32768 rows of 4 KB
-        rows = words.groupBy(F.bitmap_bucket_number(at).alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(at)).alias("map"))
+        found = rows.groupBy(F.bitmap_bucket_number(at).alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(at)).alias("map"))
         self.table = np.zeros(self.bits // 8, np.uint8)
-        for r in rows.toLocalIterator():
+        for r in found.toLocalIterator():
             start = (r.bucket - 1) * _BUCKET // 8
             self.table[start:start + _BUCKET // 8] = np.frombuffer(r.map, np.uint8)
 
-    def may_have(self, seed: int, word: bytes) -> bool:
-        at = xxhash.xxh64_intdigest(word, seed) & self.bits - 1
-        return bool(self.table[at >> 3] >> (at & 7) & 1)
+    def may_have(self, codes: np.ndarray) -> np.ndarray:
+        at = codes & np.uint64(self.bits - 1)
+        return (self.table[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
+
+
+def _word_code(word: str) -> Column:
+    return F.xxhash64(F.col("lang"), F.expr(word))
+
+
+def _pair_code() -> Column:
+    """Of a phrase of two words, from the codes of both, the second turned by seven bits."""
+    first, second = _word_code("split(phrase, ' ')[0]"), _word_code("split(phrase, ' ')[1]")
+    return first.bitwiseXOR(F.shiftrightunsigned(second, 7).bitwiseOR(F.shiftleft(second, 57)))
+
+
+def _pair_codes(first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    return first ^ (second >> np.uint64(7) | second << np.uint64(57))
 
 
 def _escaped(word: bytes) -> bytes:
@@ -115,106 +131,100 @@ def _plain(word: bytes) -> bytes:
     return re.sub(rb"\x01([\x01\x02])", lambda m: b"\x00" if m[1] == b"\x01" else b"\x01", word, flags=re.DOTALL) if b"\x01" in word else word
 
 
-def _key(*parts: str) -> Column:
-    escaped = [F.replace(F.replace(F.col(p), F.lit("\x01"), F.lit("\x01\x02")), F.lit("\x00"), F.lit("\x01\x01")) for p in parts]
-    return F.concat_ws("\x00", *escaped).cast("binary")
-
-
 class _Words:
     """Numbers of a language's frequent words from one on; a rare word, like the end of a piece, ends a suffix and is zero."""
 
     def __init__(self, lang: str, frequent: _Frequent):
         name = lang.encode()
         self.seed, self.frequent = xxhash.xxh64_intdigest(name, 42), frequent
-        self.names = [_escaped(name)]
+        self.lang = _escaped(name)
         self.known = {b"\n": 0}
-
-    def number(self, tokens: list[bytes]) -> np.ndarray:
-        known = self.known
-        for word in set(tokens) - known.keys():
-            known[word] = len(self.names) if self.frequent.may_have(self.seed, word) else 0
-            if known[word]:
-                self.names.append(_escaped(word))
-        return np.fromiter(map(known.__getitem__, tokens), np.int64, len(tokens))
-
-    def suffixes(self, tokens: list[bytes], depth: int) -> Iterator[tuple[bytes, int]]:
-        """Keys of the distinct suffixes of two words or more, cut after ``depth``, with their counts."""
-        ids = np.concatenate([self.number(tokens), np.zeros(DEPTH, np.int64)])
-        n = len(tokens)
-        first, second = ids[:n], ids[1:n + 1]
-        third = np.where(second > 0, ids[2:n + 2], 0) if depth > 2 else np.zeros(n, np.int64)
-        fourth = np.where(third > 0, ids[3:n + 3], 0) if depth > 3 else np.zeros(n, np.int64)
-        use = (first > 0) & (second > 0)
-        high, low = (first << 32 | second)[use], (third << 32 | fourth)[use]
+        self.names, self.codes = [b""], np.zeros(1, np.uint64)
+
+    def numbers(self, tokens: list[bytes]) -> np.ndarray:
+        if new := list(set(tokens) - self.known.keys()):
+            codes = np.fromiter((xxhash.xxh64_intdigest(w, self.seed) for w in new), np.uint64, len(new))
+            use = self.frequent.may_have(codes)
+            ids = np.where(use, np.cumsum(use) + len(self.names) - 1, 0)
+            self.known.update(zip(new, ids.tolist(), strict=True))
+            self.names += [_escaped(w) for w, u in zip(new, use, strict=True) if u]
+            self.codes = np.concatenate([self.codes, codes[use]])
+        return np.fromiter(map(self.known.__getitem__, tokens), np.int64, len(tokens))
+
+    def pairs(self, tokens: list[bytes]) -> tuple[pa.Array, pa.Array]:
+        """Keys of the distinct pairs with their counts."""
+        ids = self.numbers(tokens)
+        both = ids[:-1] << 32 | ids[1:]
+        found, counts = np.unique(both[(ids[:-1] > 0) & (ids[1:] > 0)], return_counts=True)
+        names = pa.array(self.names, pa.binary())
+        parts = names.take(pa.array(found >> 32)), names.take(pa.array(found & (1 << 32) - 1))
+        return pc.binary_join_element_wise(pa.scalar(self.lang, pa.binary()), *parts, pa.scalar(b"\x00", pa.binary())), pa.array(counts, pa.int64())
+
+    def suffixes(self, tokens: list[bytes], pairs: _Frequent) -> Iterator[tuple[bytes, bytes, int]]:
+        """Distinct suffixes of three or four words as the key of the first two, the rest, and their count, by pair."""
+        ids = self.numbers(tokens)
+        codes = self.codes[ids]
+        go_on = (ids[:-1] > 0) & (ids[1:] > 0)
+        go_on[go_on] = pairs.may_have(_pair_codes(codes[:-1][go_on], codes[1:][go_on]))
+        at = np.flatnonzero(go_on[:-1] & go_on[1:])
+        more = np.append(go_on, [False, False])[at + 2]
+        last = np.where(more, np.append(ids, 0)[np.minimum(at + 3, len(ids))], 0)
+        high, low = ids[at] << 32 | ids[at + 1], ids[at + 2] << 32 | last
         order = np.lexsort((low, high))
         high, low = high[order], low[order]
         new = np.ones(len(order), bool)
         new[1:] = (high[1:] != high[:-1]) | (low[1:] != low[:-1])
-        at = np.flatnonzero(new)
-        counts = np.diff(np.append(at, len(order))).tolist()
-        names, mask = self.names, (1 << 32) - 1
-        high, low = high[at], low[at]
-        columns = [(high >> 32).tolist(), (high & mask).tolist(), (low >> 32).tolist(), (low & mask).tolist()]
-        lang = names[0]
-        for a, b, c, d, count in zip(*columns, counts, strict=True):
-            if d:
-                yield b"\x00".join((lang, names[a], names[b], names[c], names[d])), count
-            elif c:
-                yield b"\x00".join((lang, names[a], names[b], names[c])), count
-            else:
-                yield b"\x00".join((lang, names[a], names[b])), count
-
-
-def _suffix_stream(batches: Iterator[pa.RecordBatch], frequent: _Frequent, depth: int) -> Iterator[Iterator[tuple[bytes, int]]]:
+        starts = np.flatnonzero(new)
+        counts = np.diff(np.append(starts, len(order))).tolist()
+        mask, names = (1 << 32) - 1, self.names
+        for h, w, count in zip(high[starts].tolist(), low[starts].tolist(), counts, strict=True):
+            rest = names[w >> 32]
+            yield b"\x00".join((self.lang, names[h >> 32], names[h & mask])), b"%b\x00%b" % (rest, names[w & mask]) if w & mask else rest, count
+
+
+def _by_language(batches: Iterator[pa.RecordBatch], frequent: _Frequent) -> Iterator[tuple[_Words, list[bytes]]]:
+    """Words of a language in each chunk; texts are whole."""
     known: dict[str, _Words] = {}
     for chunk in _chunks(batches):
         for lang, texts in chunk.items():
-            tokens = _tokens(texts)
-            words = known.setdefault(lang, _Words(lang, frequent))
-            for start in range(0, len(tokens), _CHUNK_WORDS):
-                # the words begun here, and those that may follow them
-                part = tokens[start:start + _CHUNK_WORDS + DEPTH - 1]
-                if len(part) > _CHUNK_WORDS:
-                    yield words.suffixes(part, depth)
-                    tail = [*part[_CHUNK_WORDS:], b"\n"]
-                    yield ((k, -n) for k, n in words.suffixes(tail, depth))
-                else:
-                    yield words.suffixes(part, depth)
+            yield known.setdefault(lang, _Words(lang, frequent)), _tokens(texts)
         if sum(len(w.known) for w in known.values()) > _KNOWN:
             known = {}
 
 
-def _counted_prefixes(own: DataFrame, frequent: _Frequent, hot: set[bytes], depth: int) -> DataFrame:
-    """(key, f) of the prefixes of ``depth`` words that extend a hot one."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for found in _suffix_stream(batches, frequent, depth):
-            kept = [(k, n) for k, n in found if k.count(b"\x00") == depth and k.rpartition(b"\x00")[0] in hot]
-            if kept:
-                keys, counts = zip(*kept, strict=True)
-                yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array(counts, pa.int64())], ["key", "f"])
-
-    return own.mapInArrow(run, "key binary, f long").groupBy("key").agg(F.sum("f").alias("f"))
-
-
-def _group_starts(own: DataFrame, words: DataFrame, frequent: _Frequent, total: int, budget: int) -> list[bytes]:
-    """First keys of the groups, in order; at most about two per budget."""
-    budget = max(budget, total // MAX_GROUPS)
-    level = words.select(_key("lang", "phrase").alias("key"), "f")
-    prefixes = level.filter(F.col("f") <= budget)
-    for depth in range(2, DEPTH + 1):
-        # at most total / budget of them
-        hot = {bytes(r.key) for r in level.filter(F.col("f") > budget).select("key").toLocalIterator()}
-        if not hot:
-            break
-        level = stored(_counted_prefixes(own, frequent, hot, depth), "prefixes")
-        prefixes = prefixes.unionByName(level if depth == DEPTH else level.filter(F.col("f") <= budget))
-    placed = prefix_sums(prefixes, [F.col("key").asc()], "f")
+def pair_counts(docs: DataFrame, frequent: _Frequent, min_count: int) -> DataFrame:
+    """(lang, phrase, f, key) of every pair of words that occurs ``min_count`` times or more."""
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for words, tokens in _by_language(batches, frequent):
+            keys, counts = words.pairs(tokens)
+            for at in range(0, len(keys), 1 << 16):
+                yield pa.RecordBatch.from_arrays([keys[at:at + (1 << 16)], counts[at:at + (1 << 16)]], ["key", "f"])
+
+    def named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            parts = [[_plain(p).decode() for p in k.split(b"\x00")] for k in batch.column(0).to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([p[0] for p in parts], pa.string()), pa.array([f"{p[1]} {p[2]}" for p in parts], pa.string()), batch.column(1),
+                 batch.column(0)], ["lang", "phrase", "f", "key"])
+
+    partial = docs.mapInArrow(count, "key binary, f long").groupBy("key").agg(F.sum("f").alias("f"))
+    return partial.filter(F.col("f") >= min_count).mapInArrow(named, "lang string, phrase string, f long, key binary")
+
+
+def _groups(pairs: DataFrame, budget: int) -> tuple[list[bytes], dict[bytes, tuple[int, int]]]:
+    """First keys of the groups, in order, and (first group, groups) of each pair over the budget. At most about three a budget."""
+    placed = prefix_sums(pairs.filter(F.col("f") <= budget), [F.col("key").asc()], "f")
     starts = placed.groupBy(F.floor((F.col("running") - F.col("f")) / F.lit(budget)).alias("group")).agg(F.min("key").alias("key"))
-    return sorted(bytes(r.key) for r in starts.select("key").toLocalIterator())
+    first = sorted(bytes(r.key) for r in starts.select("key").toLocalIterator())
+    hot, at = {}, len(first) + 1
+    for r in pairs.filter(F.col("f") > budget).select("key", "f").orderBy("key").toLocalIterator():
+        hot[bytes(r.key)] = at, -(-r.f // budget)
+        at += -(-r.f // budget)
+    return first, hot
 
 
 def _nodes(batches: Iterator[pa.RecordBatch], min_count: int) -> Iterator[pa.RecordBatch]:
-    """Nodes of two words or more of the subtrees, from suffixes in order; a node is done when the path leaves it."""
+    """Nodes of three words or more of the subtrees, from suffixes in order; a node is done when the path leaves it."""
     path: list[bytes] = []
     totals: list[int] = []
     out: list[tuple[str, str, int, int]] = []
@@ -222,7 +232,7 @@ def _nodes(batches: Iterator[pa.RecordBatch], min_count: int) -> Iterator[pa.Rec
     def leave(depth: int) -> None:
         while len(path) > depth:
             total = totals.pop()
-            if len(path) > 2 and total >= min_count:
+            if len(path) > 3 and total >= min_count:
                 lang, *found = map(_plain, path)
                 out.append((lang.decode(), b" ".join(found).decode(), len(found), total))
             path.pop()
@@ -259,24 +269,31 @@ def phrase_counts(docs: DataFrame, words: DataFrame, min_count: int = MIN_COUNT,
                   text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """(lang, phrase, k, f) of every phrase of two to four words that occurs ``min_count`` times or more; ``words`` as from ``word_counts``."""
     own = _own(docs, text_col, lang_col)
-    # a phrase is no more frequent than its words
-    often = stored(words.filter(F.col("f") >= min_count), "words")
-    frequent = _Frequent(often)
-    total = often.agg(F.sum("f")).first()[0] or 0
-    starts = _group_starts(own, often, frequent, total, budget)
+    frequent = _Frequent(words.filter(F.col("f") >= min_count), _word_code("phrase"))
+    pairs = stored(pair_counts(own, frequent, min_count), "pairs")
+    often = _Frequent(pairs, _pair_code())
+    budget = max(budget, (pairs.agg(F.sum("f")).first()[0] or 0) // MAX_GROUPS)
+    starts, hot = _groups(pairs, budget)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for found in _suffix_stream(batches, frequent, DEPTH):
-            rows = list(found)
-            for at in range(0, len(rows), 1 << 16):
-                keys, counts = zip(*rows[at:at + (1 << 16)], strict=True)
-                groups = [bisect_right(starts, k) for k in keys]
+        for words, tokens in _by_language(batches, frequent):
+            keys, groups, counts, last = [], [], [], None
+            for pair, rest, n in words.suffixes(tokens, often):
+                if pair != last:
+                    last, group, split = pair, bisect_right(starts, pair), hot.get(pair)
+                keys.append(b"%b\x00%b" % (pair, rest))
+                groups.append(split[0] + zlib.crc32(rest.partition(b"\x00")[0]) % split[1] if split else group)
+                counts.append(n)
+            for at in range(0, len(keys), 1 << 16):
+                part = slice(at, at + (1 << 16))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(groups, pa.int32()), pa.array(keys, pa.binary()), pa.array(counts, pa.int64())], ["group", "key", "n"])
+                    [pa.array(groups[part], pa.int32()), pa.array(keys[part], pa.binary()), pa.array(counts[part], pa.int64())],
+                    ["group", "key", "n"])
 
     suffixes = own.mapInArrow(run, "group int, key binary, n long")
     ordered = suffixes.repartition("group").sortWithinPartitions("key").select("key", "n")
-    return ordered.mapInArrow(lambda batches: _nodes(batches, min_count), "lang string, phrase string, k int, f long")
+    nodes = ordered.mapInArrow(lambda batches: _nodes(batches, min_count), "lang string, phrase string, k int, f long")
+    return pairs.select("lang", "phrase", F.lit(2).alias("k"), "f").unionByName(nodes)
 
 
 def collocations(docs: DataFrame, min_count: int = MIN_COUNT, top: int = TOP, budget: int = BUDGET,

@@ -2,6 +2,8 @@ import random
 import re
 from collections import Counter, defaultdict
 
+import numpy as np
+
 from shelfwise.llm import collocations as co
 
 NAMES = ("lang", "rank", "phrase", "a", "l", "r", "n", "score")
@@ -62,36 +64,40 @@ def test_tiny_budgets_split_hot_prefixes(make_docs, monkeypatch):
 
 def test_chunks_do_not_cut_phrases(make_docs, monkeypatch):
     rows = some_docs(3, 60, 400)
-    monkeypatch.setattr(co, "_CHUNK_WORDS", 7)
     monkeypatch.setattr(co, "_CHUNK_BYTES", 300)
     monkeypatch.setattr(co, "_KNOWN", 20)
     assert found(co.collocations(make_docs(rows))) == brute(rows)
 
 
-def test_groups_hold_whole_prefixes(make_docs):
-    rows = some_docs(4, 300, 60)
-    docs = make_docs(rows)
-    words = co.word_counts(docs).filter("f >= 30").cache()
-    own = co._own(docs, "text", "lang")
-    frequent = co._Frequent(words)
-    starts = co._group_starts(own, words, frequent, 10_000, 200)
-    assert len(starts) > 10 and starts == sorted(starts)
-    hot = {bytes(r.key) for r in words.filter("f > 200").select(co._key("lang", "phrase").alias("key")).collect()}
-    for key in (s for s in starts if s.count(b"\x00") > 1):
-        assert b"\x00".join(key.split(b"\x00")[:2]) in hot
-
-
-def test_filter_knows_every_frequent_word(make_docs):
-    words = co.word_counts(make_docs(some_docs(5, 100)))
-    frequent = co._Frequent(words)
-    for r in words.collect():
+def test_groups_keep_to_the_budget(make_docs):
+    docs = co._own(make_docs(some_docs(4, 400, 60)), "text", "lang")
+    words = co.word_counts(docs).cache()
+    pairs = co.pair_counts(docs, co._Frequent(words, co._word_code("phrase")), 1).cache()
+    starts, hot = co._groups(pairs, 12)
+    assert len(starts) > 10 and len(hot) > 3
+    sizes = Counter()
+    for r in pairs.collect():
+        if bytes(r.key) not in hot:
+            sizes[co.bisect_right(starts, bytes(r.key))] += r.f
+    assert max(sizes.values()) <= 24 and min(sizes) == 1 and max(sizes) == len(starts)
+
+
+def test_filters_know_every_frequent_word_and_pair(make_docs):
+    docs = co._own(make_docs(some_docs(5, 200)), "text", "lang")
+    words = co.word_counts(docs).cache()
+    frequent = co._Frequent(words, co._word_code("phrase"))
+    pairs = co.pair_counts(docs, frequent, 1).cache()
+    often = co._Frequent(pairs, co._pair_code())
+    for r in pairs.collect():
         w = co._Words(r.lang, frequent)
-        assert w.number([r.phrase.encode()]).tolist() == [1]
+        assert (w.numbers([x.encode() for x in r.phrase.split(" ")]) > 0).all()
+        first, second = w.codes[w.numbers([x.encode() for x in r.phrase.split(" ")])]
+        assert often.may_have(co._pair_codes(np.array([first]), np.array([second]))).all()
 
 
-def test_all_words_pass_a_full_filter(make_docs, monkeypatch):
+def test_full_filters_change_nothing(make_docs, monkeypatch):
     rows = some_docs(6, 200)
-    monkeypatch.setattr(co._Frequent, "may_have", lambda self, seed, word: True)
+    monkeypatch.setattr(co._Frequent, "may_have", lambda self, codes: np.ones(len(codes), bool))
     assert found(co.collocations(make_docs(rows))) == brute(rows)
 
 
