@@ -138,6 +138,25 @@ BLOCK_SQL: dict[str, str] = {
     "layout_cluster": f"SELECT location_key, {N} AS row_count, sum(on_hand)::BIGINT AS on_hand_qty FROM f_snap GROUP BY ALL",
     "incremental_refresh": f"""SELECT (date_key // 100)::INTEGER AS snapshot_month, {N} AS row_count,
         sum(CASE WHEN date_key // 100 >= (SELECT strftime(max(day) - INTERVAL 2 MONTH, '%Y%m')::INTEGER FROM f_snap) THEN 0 ELSE on_order END)::BIGINT AS on_order_qty FROM f_snap GROUP BY ALL""",
+    "atomic_refresh": f"""
+        WITH edge AS (SELECT strftime(max(day) - INTERVAL 2 MONTH, '%Y%m')::INTEGER AS edge FROM f_snap),
+        stages AS (SELECT unnest(['1 before', '2 failed', '3 done']) AS stage),
+        sold AS (SELECT (date_key // 100)::INTEGER AS month, sum(units_sold_qty)::BIGINT AS u FROM f_sales GROUP BY ALL),
+        stock AS (SELECT (date_key // 100)::INTEGER AS month, {N} AS row_count, sum(on_order)::BIGINT AS q FROM f_snap GROUP BY ALL)
+        SELECT stage, month, row_count, CASE WHEN stage = '3 done' AND month >= edge THEN 0 ELSE q END AS on_order_qty,
+               CASE WHEN stage = '3 done' AND month >= edge THEN 2 * u ELSE u END AS units
+        FROM stages, edge, stock LEFT JOIN sold USING (month)""",
+    "ledger_resume": """SELECT product_key, location_key, strftime(day, '%Y%m%d')::INTEGER AS date_key, receipts::BIGINT AS receipts, demand::BIGINT AS demand,
+        on_hand::BIGINT AS on_hand, (demand - unmet)::BIGINT AS sold, unmet::BIGINT AS unmet FROM ledger""",
+    "mv_incremental": f"""
+        WITH ms AS (SELECT DISTINCT date_key // 100 AS m FROM f_sales),
+        chosen AS (SELECT m FROM ms ORDER BY m LIMIT 1 OFFSET (SELECT count(*) // 2 FROM ms)),
+        s AS (SELECT * FROM f_sales WHERE date_key // 100 <> (SELECT m FROM chosen) OR product_key % 2 = 1),
+        sl AS (SELECT product_key, max(day) AS last_sold_date FROM s GROUP BY product_key)
+        SELECT (SELECT {usd('net_c')} FROM s) AS total_revenue, (SELECT {usd('margin_c')} FROM s) AS total_gross_margin,
+               (SELECT {usd('value_c')} FROM snap_now) AS current_inventory_value, (SELECT {N} FROM snap_now WHERE is_out) AS current_stockouts,
+               (SELECT count(DISTINCT product_key)::BIGINT FROM snap_now LEFT JOIN sl USING (product_key), snap_day
+                WHERE on_hand > 0 AND (last_sold_date IS NULL OR last_sold_date < anchor - 180)) AS dead_stock_skus, 2 AS months_read""",
     "retention_compact": f"""
         SELECT strftime(day, '%Y%m')::INTEGER AS snapshot_month, count(DISTINCT day)::BIGINT AS days, {N} AS row_count, sum(on_hand)::BIGINT AS on_hand
         FROM ledger WHERE day >= (SELECT max(day) FROM ledger) - INTERVAL 18 MONTH

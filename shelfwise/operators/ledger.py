@@ -44,6 +44,42 @@ def ledger_rollforward(receipts: DataFrame, demand: DataFrame, opening: DataFram
     )
 
 
+def ledger_state(ledger: DataFrame, opening: DataFrame | None, keys: list[str], date_col: str) -> DataFrame:
+    """Where every key stands: ``on_hand`` and ``last_day`` (NULL for keys that have an opening stock and no movement yet).
+
+    Stock at hand is all a later day needs: with X the uncapped balance and M its running minimum below zero, rolling on from X - M with a new
+    minimum of zero gives the same stock as going on with X and M.
+    """
+    last = ledger.groupBy(*keys).agg(F.max_by("on_hand", date_col).alias("on_hand"), F.max(date_col).alias("last_day"))
+    if opening is None:
+        return last
+    return opening.join(last, keys, "full_outer").select(
+        *keys, F.coalesce("on_hand", F.col("opening_qty").cast("bigint"), F.lit(0)).alias("on_hand"), "last_day")
+
+
+def late_keys(state: DataFrame, receipts: DataFrame, demand: DataFrame, keys: list[str], date_col: str) -> DataFrame:
+    """Keys with a movement on or before the last day they were rolled to, and the first such day as ``from_day``."""
+    first = receipts.select(*keys, date_col).unionByName(demand.select(*keys, date_col)).groupBy(*keys).agg(F.min(date_col).alias("from_day"))
+    return first.join(state, keys).filter(F.col("from_day") <= F.col("last_day")).select(*keys, "from_day")
+
+
+def resume_ledger(stored: DataFrame, state: DataFrame, late: DataFrame, receipts: DataFrame, demand: DataFrame, keys: list[str],
+                  date_col: str) -> DataFrame:
+    """Ledger rows that new movements add, or put in the place of stored ones, rolled on from ``state``.
+
+    Keys in ``late`` are opened again at their first late day: stock before it follows from the stored row there, and stored movements
+    from it on are rolled once more with the new ones. No other key's history is read. ``stored`` needs to hold the days from the earliest
+    ``from_day`` on only.
+    """
+    again = stored.join(late, keys).filter(F.col(date_col) >= F.col("from_day"))
+    before = again.groupBy(*keys).agg(F.min_by(F.col("on_hand") - F.col("receipts") + F.col("sold"), date_col).alias("opening_qty"))
+    opening = before.unionByName(state.join(late, keys, "left_anti").select(*keys, F.col("on_hand").alias("opening_qty")))
+    columns = [*keys, date_col, "qty"]
+    return ledger_rollforward(
+        receipts.select(*columns).unionByName(again.select(*keys, date_col, F.col("receipts").alias("qty"))),
+        demand.select(*columns).unionByName(again.select(*keys, date_col, F.col("demand").alias("qty"))), opening, keys, date_col)
+
+
 def as_of_fill(rows: DataFrame, keys: list[str], date_col: str, dates: DataFrame, calendar: DataFrame,
                values: list[str]) -> DataFrame:
     """For every key and every date in ``dates``: the values of the last row at or before that date.

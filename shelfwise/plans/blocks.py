@@ -5,11 +5,12 @@ from __future__ import annotations
 import uuid
 from functools import reduce
 
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfwise.functions.columns import (
-    double, from_date_key, mean, month_of_key, safe_ratio, stale, supply_band, total,
+    double, from_date_key, mean, month_of_key, safe_ratio, stale, supply_band, to_date_key, total,
 )
 from shelfwise.operators import anchors
 from shelfwise.operators.clean import (
@@ -24,6 +25,7 @@ from shelfwise.operators.quality import (
     CONSTRAINT_RULES, CORE_RULES, Reference, Row, Unique, dq_report, gate_verdict, run_checks,
 )
 from shelfwise.plans import network, sales, store_product, supplier
+from shelfwise.plans.incremental import kpis_from_parts, load_ledger, refresh_kpis
 from shelfwise.plans.inventory import days_of_supply, fanout_totals, month_end_value
 from shelfwise.plans.load import gated_load
 from shelfwise.schema import PRIMARY_KEY, REFERENCES, REQUIRED, TABLES
@@ -34,6 +36,7 @@ from shelfwise.sources.sinks import (
     sink_table,
 )
 from shelfwise.sources.star import Star, from_csv, from_parquet
+from shelfwise.sources.versions import publish, read_table, read_version
 
 PAIR = ["product_key", "location_key"]
 
@@ -162,6 +165,73 @@ def load_through_gate(star, built):
     return checksums(from_parquet(star.spark, f"{folder}/warehouse"))
 
 
+def refused_load(star, built):
+    """A second extract whose sales point to no product meets a shut gate; the warehouse still shows the first."""
+    folder = scratch(star.spark)
+    raw = raw_star(star, built)
+    gated_load(raw, f"{folder}/staging", f"{folder}/warehouse")
+    orphans = raw.replaced(fact_sales=raw.sales.withColumn("product_key", -F.col("product_key") - 1))
+    if gated_load(orphans, f"{folder}/second", f"{folder}/warehouse"):
+        raise AssertionError("orphans passed the gate")
+    return checksums(from_parquet(star.spark, f"{folder}/warehouse"))
+
+
+def atomic_refresh(star, built):
+    """Snapshot by month before a refresh, after one that fails halfway, and after one that succeeds.
+
+    Both facts arrive again for the last three months, sales with doubled units and stock with nothing on order; the failing load has written the
+    sales when it breaks off in the snapshot.
+    """
+    spark, folder = star.spark, scratch(star.spark)
+    recent = sorted(publish(spark, folder, {"fact_sales": star.sales, "fact_inventory_snapshot": star.snapshot})
+                    .tables["fact_inventory_snapshot"].months, key=int)[-3:]
+    new_sales = star.sales.filter(F.col("sale_month") >= int(recent[0])).withColumn("units_sold_qty", F.col("units_sold_qty") * 2)
+    new_stock = star.snapshot.filter(F.col("snapshot_month") >= int(recent[0])).withColumn("on_order_qty", F.lit(0))
+    broken = new_stock.withColumn("on_order_qty", F.when(
+        F.col("snapshot_month") == int(recent[-1]), F.raise_error(F.lit("the extract ends here")).cast("int")).otherwise(F.col("on_order_qty")))
+
+    def seen(stage: str) -> DataFrame:
+        now = from_parquet(spark, folder)
+        sold = now.sales.groupBy(F.col("sale_month").alias("month")).agg(F.sum("units_sold_qty").alias("units"))
+        stock = now.snapshot.groupBy(F.col("snapshot_month").alias("month")).agg(
+            F.count(F.lit(1)).alias("row_count"), F.sum("on_order_qty").alias("on_order_qty"))
+        return stock.join(sold, "month", "left").select(F.lit(stage).alias("stage"), "month", "row_count", "on_order_qty", "units")
+
+    before = seen("1 before")
+    try:
+        publish(spark, folder, {"fact_sales": new_sales, "fact_inventory_snapshot": broken}, whole=False, threads=1)
+        raise AssertionError("the broken extract was published")
+    except PySparkException:
+        failed = seen("2 failed")
+    publish(spark, folder, {"fact_sales": new_sales, "fact_inventory_snapshot": new_stock}, whole=False)
+    return before.unionByName(failed).unionByName(seen("3 done"))
+
+
+def ledger_resume(star, built):
+    """The ledger in two loads: movements up to a day ten months before the end, some of which come late, then the others and the late ones."""
+    spark, folder = star.spark, scratch(star.spark)
+    receipts, demand, opening = built.movements()
+    last = star.dates.agg(F.max("full_date")).scalar()
+    early = F.col("date_key") <= to_date_key(F.date_sub(last, 300))
+    late = (F.col("product_key") % 7 == 3) & (F.col("date_key") >= to_date_key(F.date_sub(last, 340)))
+    first = early & ~late
+    for part in (first, ~first):
+        load_ledger(spark, folder, receipts.filter(part), demand.filter(part), opening, PAIR, "date_key")
+    return read_table(spark, folder, read_version(spark, folder), "ledger").drop("ledger_month")
+
+
+def mv_incremental(star, built):
+    """The stored summary after one month of sales has been corrected (products with even keys taken out of it), and the months read for that."""
+    spark, folder = star.spark, scratch(star.spark)
+    months = publish(spark, folder, {"fact_sales": star.sales, "fact_inventory_snapshot": star.snapshot}).tables["fact_sales"].months
+    refresh_kpis(spark, folder, f"{folder}/kpis")
+    month = sorted(months, key=int)[len(months) // 2]
+    corrected = star.sales.filter((F.col("sale_month") == int(month)) & (F.col("product_key") % 2 == 1))
+    publish(spark, folder, {"fact_sales": corrected}, whole=False)
+    read = refresh_kpis(spark, folder, f"{folder}/kpis")
+    return kpis_from_parts(spark, f"{folder}/kpis", star.dates, star.product).withColumn("months_read", F.lit(sum(map(len, read.values()))))
+
+
 # -- filters and projections -------------------------------------------------------------------------------------------
 
 SNAP_COLUMNS = [*PAIR, "snapshot_date_key", "on_hand_qty", "on_hand_value", "on_order_qty", "reorder_point"]
@@ -618,7 +688,8 @@ BLOCKS = {
     "src_csv_star": src_csv_star, "src_parquet_star": src_parquet_star, "sink_processed": sink_processed,
     "sink_sample": sink_sample, "layout_partition": layout_partition, "layout_cluster": layout_cluster,
     "incremental_refresh": incremental, "retention_compact": retention, "refresh_stats": statistics,
-    "gated_load": load_through_gate, "etl_pipeline": load_through_gate, "sink_sample_all": sink_sample_all,
+    "gated_load": refused_load, "etl_pipeline": load_through_gate, "atomic_refresh": atomic_refresh,
+    "ledger_resume": ledger_resume, "mv_incremental": mv_incremental, "sink_sample_all": sink_sample_all,
     "latest_snapshot": latest_snapshot, "as_of_snapshot": as_of_snapshot, "as_of_calendar": as_of_calendar,
     "trailing_window": trailing_window, "flag_filter": flag_filter, "band_case": band_case,
     "row_policy": row_policy_scopes, "drillthrough": drillthrough, "drillthrough_lead_times": drillthrough_lead_times,

@@ -83,7 +83,14 @@ def from_csv(spark: SparkSession, folder: str, suffix: str = ".csv") -> Star:
 
 
 def from_parquet(spark: SparkSession, folder: str, partitioned: bool = True) -> Star:
-    """Stored star; ``partitioned=False`` reads tables that lack the month folders."""
+    """Stored star; ``partitioned=False`` reads tables that lack the month folders.
+
+    Where versions have been published (``sources.versions``) it is the newest one, and stays that one.
+    """
+    from shelfwise.sources.versions import is_published, read_star
+
+    if partitioned and is_published(spark, folder):
+        return read_star(spark, folder)
 
     def read(name: str) -> DataFrame:
         if partitioned:
