@@ -13,6 +13,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from operator import eq
 
 import numpy as np
 import pyarrow as pa
@@ -36,10 +37,10 @@ TRUST = 0.9
 RIDGE = 2e-4
 _WORD = re.compile(r"[^\W\d_]+")
 _SHOUT = re.compile(r"\b[A-Z]{4,}\b")
-_MASKED = re.compile(r"\w[*#@$%]{2,}\w?")
-_STUTTER = re.compile(r"\b(\w+)(?:\W+\1\b){4,}")
-_SYMBOLS = re.compile(r"[#*$%&|<>]")
-_LONG = re.compile(r"([^\W\d_])\1{3,}")
+_LOUD = re.compile(r"[A-Z]{4}")
+_MASKED = re.compile(r"[*#@$%]{2}")
+_LONG = re.compile(r"(.)\1{3}")
+SYMBOLS = "#*$%&|<>"
 #: Words of address in the languages most common in web text.
 ADDRESS = frozenset("you your du dich dein tu toi vous ton tú usted eres".split())
 _CACHE = 1 << 18
@@ -55,41 +56,42 @@ def _terms(word: str) -> list[str]:
 
 
 class _Hits:
-    """Numbers of the terms of texts; what a word hits is remembered."""
+    """Terms of texts. Words that hit nothing are remembered, so that most of a text is set aside at once."""
 
     def __init__(self, terms: list[str]):
         self.number = {t: i for i, t in enumerate(terms)}
-        self.seen: dict[str, tuple[int, ...]] = {}
-
-    def of(self, word: str) -> tuple[int, ...]:
-        found = self.seen.get(word)
-        if found is None:
-            if len(self.seen) > _CACHE:
-                self.seen.clear()
-            found = self.seen[word] = tuple(self.number[t] for t in _terms(word) if t in self.number)
+        self.none: set[str] = set()
+        self.some: dict[str, tuple[int, ...]] = {}
+
+    def _look_up(self, words: set[str]) -> dict[str, tuple[int, ...]]:
+        if len(self.none) + len(self.some) > _CACHE:
+            self.none, self.some = set(), {}
+        found = {}
+        for word in words - self.none:
+            if word not in self.some:
+                hits = tuple(self.number[t] for t in _terms(word) if t in self.number)
+                if not hits and word not in ADDRESS and not _LONG.search(word):
+                    self.none.add(word)
+                    continue
+                self.some[word] = hits
+            found[word] = self.some[word]
         return found
 
     def read(self, text: str) -> tuple[list[int], int]:
         """Distinct terms of a whole text, and its votes as a mask: lexicon voters from the lowest bit on, then the patterns."""
         order = _WORD.findall(text.lower())
-        hits: set[int] = set()
-        places = []
-        near, address = False, -10
-        for i, word in enumerate(order):
-            if word in ADDRESS:
-                address = i
-            if found := self.of(word):
-                hits.update(found)
-                if min(found) < VOTERS:
-                    places.append(i)
-                    near |= i - address <= 3
+        odd = self._look_up(set(order))
+        hits = {h for found in odd.values() for h in found}
+        lexicon = {w for w, found in odd.items() if found and min(found) < VOTERS}
+        places = [i for i, w in enumerate(order) if w in lexicon] if lexicon else []
+        near = bool(places) and not ADDRESS.isdisjoint(odd) and any(not ADDRESS.isdisjoint(order[max(0, i - 3):i]) for i in places)
         mask = sum(1 << t for t in hits if t < VOTERS)
-        lexicon = mask.bit_count()
+        symbols = sum(map(text.count, SYMBOLS))
         patterns = (
-            lexicon >= 2, len(places) >= 3, near and lexicon > 0, any(b - a <= 2 for a, b in zip(places, places[1:], strict=False)),
-            len(_SHOUT.findall(text)) >= 3, bool(_MASKED.search(text)), "!!" in text, bool(_LONG.search(text)),
-            not hits, len(order) >= 150 and not places, len(order) < 20, bool(places) and len(places) * 500 < len(order),
-            bool(_STUTTER.search(text)), len(_SYMBOLS.findall(text)) * 40 > len(text) + 40,
+            mask.bit_count() >= 2, len(places) >= 3, near, any(b - a <= 2 for a, b in zip(places, places[1:], strict=False)),
+            bool(_LOUD.search(text)) and len(_SHOUT.findall(text)) >= 3, bool(_MASKED.search(text)), "!!" in text,
+            any(_LONG.search(w) for w in odd), not hits, len(order) >= 150 and not places, len(order) < 20,
+            bool(places) and len(places) * 500 < len(order), sum(map(eq, order, order[1:])) >= 5, symbols * 40 > len(text) + 40,
         )
         return sorted(hits), mask | sum(1 << (VOTERS + i) for i, on in enumerate(patterns) if on)
 
