@@ -142,12 +142,31 @@ BLOCK_SQL: dict[str, str] = {
         WITH edge AS (SELECT strftime(max(day) - INTERVAL 2 MONTH, '%Y%m')::INTEGER AS edge FROM f_snap),
         stages AS (SELECT unnest(['1 before', '2 failed', '3 done']) AS stage),
         sold AS (SELECT (date_key // 100)::INTEGER AS month, sum(units_sold_qty)::BIGINT AS u FROM f_sales GROUP BY ALL),
-        stock AS (SELECT (date_key // 100)::INTEGER AS month, {N} AS row_count, sum(on_order)::BIGINT AS q FROM f_snap GROUP BY ALL)
+        held AS (SELECT (date_key // 100)::INTEGER AS month, {N} AS row_count, sum(on_order)::BIGINT AS q FROM f_snap GROUP BY ALL)
         SELECT stage, month, row_count, CASE WHEN stage = '3 done' AND month >= edge THEN 0 ELSE q END AS on_order_qty,
                CASE WHEN stage = '3 done' AND month >= edge THEN 2 * u ELSE u END AS units
-        FROM stages, edge, stock LEFT JOIN sold USING (month)""",
+        FROM stages, edge, held LEFT JOIN sold USING (month)""",
     "ledger_resume": """SELECT product_key, location_key, strftime(day, '%Y%m%d')::INTEGER AS date_key, receipts::BIGINT AS receipts, demand::BIGINT AS demand,
         on_hand::BIGINT AS on_hand, (demand - unmet)::BIGINT AS sold, unmet::BIGINT AS unmet FROM ledger""",
+    "measure_matrix": f"""
+        WITH s AS (SELECT region, category, cogs_c, net_c, order_id FROM f_sales JOIN d_location USING (location_key) JOIN d_product USING (product_key)),
+        n AS (SELECT region, category, date_key, value_c FROM f_snap JOIN d_location USING (location_key) JOIN d_product USING (product_key)),
+        sold AS (SELECT grouping(region, category) AS g, region, category, {usd('net_c')} AS revenue, {usd('cogs_c')} AS cogs, count(DISTINCT order_id) AS orders
+                 FROM s GROUP BY GROUPING SETS ((region, category), (region), (category), ())),
+        daily AS (SELECT grouping(region, category) AS g, region, category, date_key, sum(value_c) AS v
+                  FROM n GROUP BY GROUPING SETS ((region, category, date_key), (region, date_key), (category, date_key), (date_key))),
+        held AS (SELECT g, region, category, (max_by(v, date_key) / 100e0) AS closing, sum(v::DOUBLE) / 100e0 / count(*) AS avg_value
+                 FROM daily GROUP BY ALL)
+        SELECT ['region, category', 'region', 'category', 'total'][coalesce(sold.g, held.g)::INTEGER + 1] AS level,
+               coalesce(sold.region, held.region) AS region, coalesce(sold.category, held.category) AS category, revenue AS total_revenue,
+               closing AS inventory_value, {ratio('cogs', 'avg_value')} AS turnover, {ratio('revenue', 'orders')} AS avg_basket_value
+        FROM sold FULL JOIN held ON sold.g = held.g AND sold.region IS NOT DISTINCT FROM held.region AND sold.category IS NOT DISTINCT FROM held.category""",
+    "distinct_rollup": f"""
+        SELECT ['year, region', 'year', 'region', 'total'][g::INTEGER + 1] AS level, year, region, customers, products, orders
+        FROM (SELECT grouping(year, region) AS g, year, region, count(DISTINCT customer_key)::BIGINT AS customers, count(DISTINCT product_key)::BIGINT AS products,
+                     count(DISTINCT order_id)::BIGINT AS orders
+              FROM (SELECT *, year(day)::INTEGER AS year FROM f_sales) JOIN d_location USING (location_key)
+              GROUP BY GROUPING SETS ((year, region), (region), ()))""",
     "mv_incremental": f"""
         WITH ms AS (SELECT DISTINCT date_key // 100 AS m FROM f_sales),
         chosen AS (SELECT m FROM ms ORDER BY m LIMIT 1 OFFSET (SELECT count(*) // 2 FROM ms)),

@@ -18,6 +18,7 @@ from shelfwise.operators.clean import (
 )
 from shelfwise.operators.calendar import dim_date_build
 from shelfwise.operators.classify import abc_classify, xyz_classify
+from shelfwise.operators.distinct import distinct_bitmaps, distinct_counts, numbered
 from shelfwise.operators.grouping import exact_quantile, rollup, share_of_total, topk
 from shelfwise.operators.ledger import ledger_rollforward, open_orders, po_lifecycle, snapshot_flags
 from shelfwise.operators.policy import affected_products, lead_time_history, row_policy, supplier_lines
@@ -28,6 +29,7 @@ from shelfwise.plans import network, sales, store_product, supplier
 from shelfwise.plans.incremental import kpis_from_parts, load_ledger, refresh_kpis
 from shelfwise.plans.inventory import days_of_supply, fanout_totals, month_end_value
 from shelfwise.plans.load import gated_load
+from shelfwise.plans.matrix import level_name, matrix
 from shelfwise.schema import PRIMARY_KEY, REFERENCES, REQUIRED, TABLES
 from shelfwise.session import shared_folder
 from shelfwise.sources.derived import DerivedTables
@@ -232,6 +234,24 @@ def mv_incremental(star, built):
     return kpis_from_parts(spark, f"{folder}/kpis", star.dates, star.product).withColumn("months_read", F.lit(sum(map(len, read.values()))))
 
 
+def measure_matrix(star, built):
+    """Additive, semi-additive, ratio and distinct measures over region and category with both subtotals and the total."""
+    return matrix(star, ["total_revenue", "inventory_value", "turnover", "avg_basket_value"],
+                  [("region", "category"), ("region",), ("category",), ()])
+
+
+def distinct_rollup(star, built):
+    """Customers, products and orders counted at three grains from one stored table of bitmaps by year and location."""
+    path = f"{scratch(star.spark)}/bitmaps"
+    orders = numbered(star.sales, "order_id")
+    sold = star.sales.join(orders, "order_id").withColumn("year", F.expr("sale_month div 100").cast("int"))
+    distinct_bitmaps(sold, ["year", "location_key"], customers="customer_key", products="product_key", orders="number").write.parquet(path)
+    bitmaps = star.spark.read.parquet(path).join(star.location.select("location_key", "region"), "location_key")
+    kinds = ("customers", "products", "orders")
+    parts = [distinct_counts(bitmaps, by, kinds).withColumn("level", F.lit(level_name(by))) for by in (["year", "region"], ["region"], [])]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts).select("level", "year", "region", *kinds)
+
+
 # -- filters and projections -------------------------------------------------------------------------------------------
 
 SNAP_COLUMNS = [*PAIR, "snapshot_date_key", "on_hand_qty", "on_hand_value", "on_order_qty", "reorder_point"]
@@ -689,7 +709,8 @@ BLOCKS = {
     "sink_sample": sink_sample, "layout_partition": layout_partition, "layout_cluster": layout_cluster,
     "incremental_refresh": incremental, "retention_compact": retention, "refresh_stats": statistics,
     "gated_load": refused_load, "etl_pipeline": load_through_gate, "atomic_refresh": atomic_refresh,
-    "ledger_resume": ledger_resume, "mv_incremental": mv_incremental, "sink_sample_all": sink_sample_all,
+    "ledger_resume": ledger_resume, "mv_incremental": mv_incremental,
+    "measure_matrix": measure_matrix, "distinct_rollup": distinct_rollup, "sink_sample_all": sink_sample_all,
     "latest_snapshot": latest_snapshot, "as_of_snapshot": as_of_snapshot, "as_of_calendar": as_of_calendar,
     "trailing_window": trailing_window, "flag_filter": flag_filter, "band_case": band_case,
     "row_policy": row_policy_scopes, "drillthrough": drillthrough, "drillthrough_lead_times": drillthrough_lead_times,
