@@ -10,12 +10,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise.llm import bm25_packing, centroid_lang, line_align, near_copies, simhash, temperature_mix
+from shelfwise.llm import bm25_packing, centroid_lang, line_align, simhash, temperature_mix
 from shelfwise.llm.common import stored
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
-#: No document is repeated: the mixture goes as far towards even shares as one pass over every source allows.
-MIXTURE = temperature_mix.Target(budget=0.9, entropy=0.95, repeats=1.0)
+#: Every source is drawn whole at least once; smaller ones are repeated, twice at most, as far as the weights ask for it.
+MIXTURE = temperature_mix.Target(budget=None, entropy=0.95, repeats=2.0)
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -34,28 +34,19 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of op1's own rule (three words, two bits), that with the smallest id. No stage: see ``drop_near_copies``."""
-    return _first_of_each(docs, simhash.near_duplicate_groups)
-
-
-def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group linked by 0.8 or more of common five-word shingles, that with the smallest id.
+    """One document of each group that SimHash links (three words, two bits), that with the smallest id.
 
     Rows repeated with their id count as copies. A document without id can't be told from others by one and stays.
     """
-    return _first_of_each(docs, near_copies.near_copy_groups)
-
-
-def _first_of_each(docs: DataFrame, grouped: Callable[[DataFrame], DataFrame]) -> DataFrame:
     named = docs.filter("doc_id IS NOT NULL")
-    groups = grouped(named)
+    groups = simhash.near_duplicate_groups(named, max_bits=2, shingle_words=3)
     first = groups.filter(F.col("doc_id") == F.col("component_id")).select("doc_id")
     kept = named.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"])
     return kept.unionByName(docs.filter("doc_id IS NULL")).select(*COLUMNS)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents drawn to the mixture's weights."""
+    """Documents drawn to the mixture's weights: each at least once, those of small sources up to twice."""
     rows = docs.withColumn("_doc", F.struct(*COLUMNS))
     return temperature_mix.mix(rows, MIXTURE, keep=("_doc",)).select("_doc.*")
 
@@ -66,7 +57,7 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES: list[tuple[str, Stage]] = [
-    ("language_id", identify_language), ("line_dedup", drop_repeated_lines), ("simhash_dedup", drop_near_copies),
+    ("language_id", identify_language), ("line_dedup", drop_repeated_lines), ("simhash_dedup", drop_near_duplicates),
     ("mix_sources", mix_sources), ("packing", pack),
 ]
 
