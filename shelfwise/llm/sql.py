@@ -73,7 +73,7 @@ placed AS (
     SELECT d.*, (block_start + sum(d.tokens) OVER (
         PARTITION BY key, pass, block ORDER BY d.turn, mark ROWS UNBOUNDED PRECEDING) - d.tokens)::BIGINT AS start
     FROM drawn d JOIN starts USING (key, pass, block))
-SELECT doc_id, source, pass, block, start, tokens::BIGINT AS n_tokens FROM placed WHERE pass < passes OR start + tokens <= rest"""
+SELECT doc_id, source, pass, block, start, tokens::BIGINT AS n_tokens FROM placed WHERE pass < passes OR 2 * start + tokens <= 2 * rest"""
 
 
 def op4() -> str:

@@ -25,9 +25,10 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 @dataclass(frozen=True)
 class Target:
-    """budget: tokens as a share of all there are. entropy: wanted, as a share of the highest. repeats: most passes over a source."""
+    """budget: tokens as a share of all there are; None: as many as give every source one whole pass. entropy: wanted, as a share of the highest.
+    repeats: most passes over a source."""
 
-    budget: float = 1.0
+    budget: float | None = 1.0
     entropy: float = 0.95
     repeats: float = 2.0
 
@@ -52,10 +53,14 @@ def exponent(sources: DataFrame, target: Target) -> float:
     The largest that reaches the target entropy; raised, if need be, to the smallest that keeps every source within the repeats.
     At 1 the shares stay as they are; if even that repeats more than allowed, it is 1. No sources: 1.
     """
-    sums = sources.agg(F.count(F.lit(1)), F.min("p")).first()
+    sums = sources.agg(F.count(F.lit(1)), F.min("p"), F.max("p")).first()
     if not sums[0]:
         return 1.0
-    highest, least = math.log(sums[0]), sums[1]
+    highest, least, most = math.log(sums[0]), sums[1], sums[2]
+
+    def passes(a: float, z: float) -> float:
+        """Over the rarest source, where the budget is given or the largest has one pass."""
+        return (most / least) ** (1 - a) if target.budget is None else target.budget * least ** (a - 1) / z
 
     def search(meets) -> float:
         """Largest point of [0, 1] up to which ``meets`` holds, on ever finer grids; 0 if it holds nowhere."""
@@ -74,7 +79,7 @@ def exponent(sources: DataFrame, target: Target) -> float:
 
     # entropy of the mixture is log z - a s / z, the rarest source repeats most
     to_entropy = search(lambda a, z, s: math.log(z) - a * s / z >= target.entropy * highest)
-    to_repeats = search(lambda a, z, s: target.budget * least ** (a - 1) / z > target.repeats)
+    to_repeats = search(lambda a, z, s: passes(a, z) > target.repeats)
     return round(max(to_entropy, to_repeats), 6)
 
 
@@ -84,8 +89,13 @@ def mixture(rows: DataFrame, target: Target) -> DataFrame:
     total = totals.agg(F.coalesce(F.sum("tokens"), F.lit(0))).first()[0]
     shares = totals.filter("tokens > 0").withColumn("p", F.col("tokens") / F.lit(float(max(total, 1))))
     alpha = exponent(shares, target)
-    z = shares.agg(F.sum(F.pow("p", F.lit(alpha)))).first()[0] or 1.0
-    quota = F.floor(F.pow("p", F.lit(alpha)) / F.lit(z) * F.lit(target.budget * total) + F.lit(1e-6)).cast("long")
+    sums = shares.agg(F.sum(F.pow("p", F.lit(alpha))), F.max(F.pow("p", F.lit(1 - alpha)))).first()
+    z = sums[0] or 1.0
+    # the largest source has the most tokens for its weight
+    budget = (sums[1] or 1.0) * z if target.budget is None else target.budget
+    quota = F.floor(F.pow("p", F.lit(alpha)) / F.lit(z) * F.lit(budget * total) + F.lit(1e-6)).cast("long")
+    if target.budget is None:
+        quota = F.greatest(quota, F.col("tokens"))
     return (
         shares.withColumn("weight", F.pow("p", F.lit(alpha)) / F.lit(z)).withColumn("quota", quota)
         .withColumn("passes", F.expr("quota div tokens")).withColumn("rest", F.expr("quota % tokens"))
@@ -98,8 +108,8 @@ def mix(docs: DataFrame, target: Target = Target(), id_col: str = "doc_id", text
     """One row per drawn document and pass: id, source, pass, block, start (tokens drawn before it in its pass), n_tokens, ``keep``.
 
     Tokens are words. A null source is a source of its own; a null or word-free text has no tokens and is drawn in every whole pass
-    of its source. A source without tokens isn't drawn. Of a partial pass the documents that end within its rest are drawn, so a budget is
-    never exceeded. Repeated rows are drawn each for itself and tie-break by content. Any number of sources and a source of any size is split
+    of its source. A source without tokens isn't drawn. Of a partial pass the documents are drawn that end within its rest, and the one across its end
+    if at least half of it lies within: a source gets its quota up to half a document. Repeated rows are drawn each for itself and tie-break by content. Any number of sources and a source of any size is split
     into blocks; only sums per block are put in order.
     """
     own = docs.select(
@@ -130,7 +140,7 @@ def mix(docs: DataFrame, target: Target = Target(), id_col: str = "doc_id", text
     return (
         drawn.withColumn("through", F.sum("tokens").over(inside)).join(starts, ["key", "pass", "block"])
         .withColumn("start", F.col("block_start") + F.col("through") - F.col("tokens"))
-        .filter((F.col("pass") < F.col("passes")) | (F.col("start") + F.col("tokens") <= F.col("rest")))
+        .filter((F.col("pass") < F.col("passes")) | (2 * F.col("start") + F.col("tokens") <= 2 * F.col("rest")))
         .select(F.col("id").alias(id_col), F.col("source").alias(source_col), "pass", "block", "start", F.col("tokens").alias("n_tokens"),
                 *[F.col(f"_keep_{c}").alias(c) for c in keep])
     )

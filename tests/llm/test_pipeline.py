@@ -46,7 +46,7 @@ def test_each_stage_decides_and_keeps_the_columns(spark, sf_dir, rows):
     assert set(range(60)) <= kept.keys() and once.columns == list(pipeline.COLUMNS)
     mixed = pipeline.mix_sources(spark, once, sf_dir)
     drawn = [r.doc_id for r in mixed.collect()]
-    assert len(drawn) == len(set(drawn)) and set(drawn) <= kept.keys() and mixed.columns == list(pipeline.COLUMNS)
+    assert set(drawn) == kept.keys() and max(map(drawn.count, drawn)) <= 2 and mixed.columns == list(pipeline.COLUMNS)
 
 
 def test_near_duplicates_keep_one_of_each_group(spark, sf_dir):
@@ -62,7 +62,7 @@ def test_near_duplicates_keep_one_of_each_group(spark, sf_dir):
 
 def test_run_and_empty_table(spark, sf_dir, tmp_path):
     found = pipeline.run(spark, sf_dir).collect()
-    assert found and len({(r.doc_id, r.start) for r in found}) == len(found)
+    assert found and len({(r.sequence_id, r.offset) for r in found}) == len(found)
     frame(spark, []).write.parquet(str(tmp_path / "documents.parquet"))
     assert pipeline.run(spark, str(tmp_path)).collect() == []
 
@@ -76,6 +76,6 @@ def test_sql(spark, sf_dir, name):
 def test_registered_names(spark):
     from __spark_entry__ import oracle_sql, queries
 
-    assert {int(n[2:].split("_")[0]) for n in queries() if n.startswith("op")} == set(range(1, 11))
+    assert {int(n[2:].split("_")[0]) for n in queries() if n.startswith("op")} == set(range(1, 14))
     assert "pipeline" in queries() and set(oracle_sql()) <= set(queries())
     assert np.all([callable(q) for q in queries().values()])
