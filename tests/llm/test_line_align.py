@@ -106,6 +106,63 @@ def test_common_lines_lose_no_repeat(make_docs):
     assert all(len(t.split("\n")) == 2 for _, t in sorted(found)[1:])
 
 
+def spread(rng, passages, docs, own=3):
+    """Documents with most of some passages of a few lines each, in any order, own lines between them."""
+    out = []
+    for i in range(docs):
+        parts = rng.sample(passages, rng.randint(1, len(passages)))
+        lines_ = [x for p in parts for x in (*p, *(sentence(rng, rng.randint(1, 7)) for _ in range(rng.randint(0, own))))]
+        out.append((i, "\n".join(lines_)))
+    return out
+
+
+def test_common_passages_in_any_order_match_brute_force(make_docs):
+    for seed, (docs, many) in enumerate([(12, 2), (30, 3), (60, 4), (45, 9)]):
+        rng = random.Random(20 + seed)
+        passages = [[sentence(rng, rng.randint(1, 6)) for _ in range(rng.randint(1, 4))] for _ in range(many)]
+        rows = spread(rng, passages, docs)
+        assert result(lines.dedup_lines(make_docs(rows))) == brute(rows)
+
+
+def test_two_orders_of_two_passages(make_docs):
+    rng = random.Random(6)
+    one, two = sentence(rng, 60), sentence(rng, 60)
+    rows = [(1, f"{two}\n{one}")] + [(i, "\n".join([sentence(rng, 9), one, sentence(rng, 9), two])) for i in range(2, 21)]
+    found = result(lines.dedup_lines(make_docs(rows)))
+    assert found == brute(rows) and sum(one in t for _, t in found) + sum(two in t for _, t in found) == 3
+
+
+def test_block_of_short_common_lines(make_docs):
+    rng = random.Random(7)
+    a, b = sentence(rng, 3), sentence(rng, 3)
+    rows = [(1, f"{a}\n{sentence(rng, 9)}"), (2, f"{b}\n{sentence(rng, 9)}")] + [
+        (i, f"{sentence(rng, 9)}\n{a}\n\n{b}\n{sentence(rng, 9)}") for i in range(3, 21)]
+    found = result(lines.dedup_lines(make_docs(rows)))
+    assert found == brute(rows) and sum(a in t and b in t for _, t in found) == 1
+
+
+def test_windows_cover_every_run():
+    rng = random.Random(8)
+    for _ in range(300):
+        n = rng.randint(1, 12)
+        hashes = [rng.choice([0, *range(1, 30)]) for _ in range(n)]
+        words = [rng.randint(1, 6) if h else 0 for h in hashes]
+        kept = [i for i, h in enumerate(hashes) if h]
+        cuts = [tuple(p) for spans in lines.windows(hashes, words, 5).values() for p in spans]
+        for i in range(len(kept)):
+            for j in range(i + 1, len(kept) + 1):
+                run = kept[i:j]
+                if sum(words[x] for x in run) >= 5:
+                    assert {x for c in cuts if set(c) <= set(run) for x in c} == set(run)
+
+
+def test_names_that_clash_are_kept(spark):
+    rows = [(i, "one two three four five six" if i else "one two three four five six\nlast line here", "x", "y", "z", i) for i in range(4)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _content string, _first string, __mask string, _copy int")
+    found = lines.dedup_lines(docs).orderBy("doc_id").collect()
+    assert [(r._content, r._first, r["__mask"], r._copy) for r in found] == [("x", "y", "z", i) for i in range(4)]
+
+
 def test_clean_documents_and_other_columns_stay(make_docs):
     rng = random.Random(4)
     rows = [(i, "\n".join(sentence(rng, 8) for _ in range(3)) + " \r\n") for i in range(20)]
