@@ -135,7 +135,13 @@ BLOCK_SQL: dict[str, str] = {
     "sink_sample": """SELECT customer_key, printf('CUST-%07d', customer_key) AS customer_id, loyalty_tier,
                       loyalty_tier <> 'None' AS is_loyalty_member, region FROM d_customer ORDER BY customer_key LIMIT 500""",
     "layout_partition": f"SELECT (date_key // 100)::INTEGER AS snapshot_month, {N} AS row_count, sum(on_hand)::BIGINT AS on_hand_qty FROM f_snap GROUP BY ALL",
-    "layout_cluster": f"SELECT location_key, {N} AS row_count, sum(on_hand)::BIGINT AS on_hand_qty FROM f_snap GROUP BY ALL",
+    "layout_cluster": f"""
+        WITH e AS (SELECT max(product_key) AS p, max(date_key) AS d FROM f_snap)
+        SELECT 'location_key' AS path, {N} AS row_count, sum(on_hand)::BIGINT AS on_hand_qty, true AS under_half FROM f_snap WHERE location_key = 7
+        UNION ALL SELECT 'product_key', {N}, sum(on_hand)::BIGINT, true FROM f_snap, e WHERE product_key BETWEEN p // 3 AND p // 3 + p // 20
+        UNION ALL SELECT 'snapshot_date_key', {N}, sum(on_hand)::BIGINT, true FROM f_snap, e WHERE date_key >= d // 100 * 100""",
+    "dedupe_history": f"""SELECT (date_key // 100)::INTEGER AS sale_month, {N} AS row_count, sum(units_sold_qty)::BIGINT AS units
+        FROM (SELECT DISTINCT * FROM raw_sales) GROUP BY ALL""",
     "incremental_refresh": f"""SELECT (date_key // 100)::INTEGER AS snapshot_month, {N} AS row_count,
         sum(CASE WHEN date_key // 100 >= (SELECT strftime(max(day) - INTERVAL 2 MONTH, '%Y%m')::INTEGER FROM f_snap) THEN 0 ELSE on_order END)::BIGINT AS on_order_qty FROM f_snap GROUP BY ALL""",
     "atomic_refresh": f"""
@@ -268,7 +274,8 @@ BLOCK_SQL: dict[str, str] = {
         FROM ({STORE_REVENUE}) WINDOW p AS (PARTITION BY region)""".replace("OVER p::DOUBLE", "OVER p / 1e0"),
     "win_dup_flag": f"""SELECT n > 1 AS is_duplicate, price_c IS NULL AS is_price_missing, sum(n)::BIGINT AS row_count, sum(n * units_sold_qty)::BIGINT AS units
         FROM (SELECT {DUP}, count(*) AS n FROM raw_sales GROUP BY ALL) GROUP BY ALL""",
-    "sort_multi": "SELECT region, location_name, sum(units_sold_qty)::BIGINT AS units FROM f_sales JOIN d_location USING (location_key) GROUP BY ALL",
+    "sort_multi": """SELECT *, row_number() OVER (ORDER BY region, units % 1000 DESC, location_name) AS position
+        FROM (SELECT region, location_name, sum(units_sold_qty)::BIGINT AS units FROM f_sales JOIN d_location USING (location_key) GROUP BY ALL)""",
     "sort_nulls_last": f"""SELECT product_key, location_key, {ratio('on_hand', 'adr', 3)} AS days_of_supply
         FROM snap_now LEFT JOIN {NEED.format(anchor='snap_day')} USING (product_key, location_key)
         ORDER BY days_of_supply ASC NULLS LAST, product_key, location_key LIMIT 500""",

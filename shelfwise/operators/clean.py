@@ -8,7 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from shelfwise.operators.grouping import fits_broadcast
 from shelfwise.schema import MONEY, SCHEMAS, TABLES
+from shelfwise.session import shared_folder
 from shelfwise.sources.star import Star, with_month
 
 NUMERIC_KEYS = ("units_sold_qty", "product_key", "location_key", "date_key")
@@ -97,25 +99,33 @@ def clean_all(star: Star) -> tuple[Star, DataFrame]:
     return star.replaced(**tables), reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), logs)
 
 
-def duplicate_flags(df: DataFrame, key: str = "sales_key", salts: int = 16) -> DataFrame:
+def duplicate_flags(df: DataFrame, key: str = "sales_key", rows_per_slot: int = 1 << 17) -> DataFrame:
     """Every row with two marks: does another row equal it in all columns but ``key``, and does it miss a price.
 
-    Counts come from a grouped aggregation. Only repeated combinations are joined back, each copied to ``salts`` slots, so a
-    combination holding a large part of all rows is spread over that many tasks.
+    Counts come from a grouped aggregation, and only repeated combinations are joined back. A combination is copied to as many slots as hold
+    ``rows_per_slot`` of its rows each, so one holding a large part of all rows is spread over tasks in proportion, and the many small ones
+    are not copied at all.
     """
+    shared_folder(df.sparkSession)
     natural = natural_columns(df, key)
     digest = F.xxhash64(*natural)
     repeated = df.groupBy(*natural).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select(
-        *[F.col(c).alias(f"_{c}") for c in natural], digest.alias("_digest")
-    )
-    spread = repeated.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    salted = df.withColumn("_row_digest", digest).withColumn(
-        "_row_salt", F.pmod(F.xxhash64(key), F.lit(salts)).cast("int")
-    )
-    match = (F.col("_row_digest") == F.col("_digest")) & (F.col("_row_salt") == F.col("_salt"))
+        *[F.col(c).alias(f"_{c}") for c in natural], digest.alias("_digest"), F.expr(f"(_n - 1) div {rows_per_slot} + 1").alias("_slots")
+    ).checkpoint()
+    spread = repeated.withColumn("_slot", F.explode(F.sequence(F.lit(1).cast("bigint"), "_slots")))
+    # at most one in rows_per_slot rows; where digests meet, the wider spread holds for both
+    wide = repeated.filter("_slots > 1").groupBy(F.col("_digest").alias("_row_digest")).agg(F.max("_slots").alias("_row_slots"))
+    if wide.isEmpty():
+        slotted = df.withColumn("_row_digest", digest).withColumn("_row_slot", F.lit(1).cast("bigint"))
+    else:
+        spread = repeated.join(wide, F.col("_digest") == F.col("_row_digest"), "left").withColumn(
+            "_slot", F.explode(F.sequence(F.lit(1).cast("bigint"), F.coalesce("_row_slots", F.lit(1).cast("bigint"))))).drop("_row_digest", "_row_slots")
+        known = df.withColumn("_row_digest", digest).join(F.broadcast(wide) if fits_broadcast(wide) else wide, "_row_digest", "left")
+        slotted = known.withColumn("_row_slot", F.pmod(F.xxhash64(key), F.coalesce("_row_slots", F.lit(1).cast("bigint"))) + 1)
+    match = (F.col("_row_digest") == F.col("_digest")) & (F.col("_row_slot") == F.col("_slot"))
     for c in natural:
         match = match & F.col(c).eqNullSafe(F.col(f"_{c}"))
-    return salted.join(spread, match, "left").select(
+    return slotted.join(spread, match, "left").select(
         *df.columns, F.col("_digest").isNotNull().alias("is_duplicate"),
         F.col("unit_price").isNull().alias("is_price_missing"),
     )

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from dataclasses import dataclass
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -46,6 +50,77 @@ def row_policy(star: Star, principal: str | None = None, mapping: DataFrame | No
     return star.replaced(dim_location=allowed, **tables)
 
 
+@dataclass(frozen=True)
+class Scope:
+    """What one user sees, as the arguments of ``row_policy``."""
+
+    name: str
+    principal: str | None = None
+    warehouse_only: bool = False
+    transfer_scope: str = "both"
+
+    @property
+    def everything(self) -> bool:
+        return self.principal is None and not self.warehouse_only
+
+
+def _bits(scopes: Sequence[Scope], chosen) -> int:
+    return sum(1 << i for i, s in enumerate(scopes) if chosen(s))
+
+
+def location_masks(star: Star, scopes: Sequence[Scope], mapping: DataFrame | None = None) -> DataFrame:
+    """(location_key, mask): bit i is set where scope i allows the location. At most 62 scopes."""
+    if len(scopes) > 62:
+        raise ValueError("too many scopes for one mask")
+    users = _bits(scopes, lambda s: s.principal is not None)
+    if users and mapping is None:
+        raise ValueError("a principal needs a mapping of users to regions")
+    masks = star.location.select("location_key", "region", "location_type")
+    if users:
+        own = reduce(lambda c, p: c.when(F.col("email") == p, F.lit(_bits(scopes, lambda s: s.principal == p)).cast("bigint")),
+                     {s.principal for s in scopes if s.principal is not None}, F.when(F.lit(False), F.lit(0).cast("bigint")))
+        regions = mapping.select("region", own.alias("_own")).groupBy("region").agg(F.bit_or("_own").alias("_own"))
+        masks = masks.join(regions, "region", "left")
+    else:
+        masks = masks.withColumn("_own", F.lit(None).cast("bigint"))
+    mine = F.coalesce("_own", F.lit(0).cast("bigint")).bitwiseOR(F.lit(_bits(scopes, lambda s: s.principal is None)).cast("bigint"))
+    open_here = F.lit(_bits(scopes, lambda s: not s.warehouse_only)).cast("bigint")
+    here = F.when(F.col("location_type") == "WAREHOUSE", F.lit(_bits(scopes, lambda s: True)).cast("bigint")).otherwise(open_here)
+    return masks.select("location_key", mine.bitwiseAND(here).alias("mask"))
+
+
+def with_scopes(star: Star, table: str, scopes: Sequence[Scope], mapping: DataFrame | None = None) -> DataFrame:
+    """A fact with ``scope_mask``: bit i is set where scope i shows the row. All scopes are told by one pass over the fact."""
+    masks = location_masks(star, scopes, mapping)
+    fact = star.table(table)
+    whole = F.lit(_bits(scopes, lambda s: s.everything)).cast("bigint")
+
+    def at(df: DataFrame, key: str, name: str) -> DataFrame:
+        side = masks.select(F.col("location_key").alias(key), F.col("mask").alias(name))
+        return df.join(side, key, "left").withColumn(name, F.coalesce(name, F.lit(0).cast("bigint")))
+
+    if table in LOCATION_KEY:
+        return at(fact, LOCATION_KEY[table], "_mask").select(*fact.columns, F.col("_mask").bitwiseOR(whole).alias("scope_mask"))
+    ends = at(at(fact, "source_location_key", "_source"), "dest_location_key", "_dest")
+    both = F.lit(_bits(scopes, lambda s: s.transfer_scope == "both")).cast("bigint")
+    either = F.lit(_bits(scopes, lambda s: s.transfer_scope != "both")).cast("bigint")
+    seen = F.col("_source").bitwiseAND(F.col("_dest")).bitwiseAND(both).bitwiseOR(F.col("_source").bitwiseOR(F.col("_dest")).bitwiseAND(either))
+    return ends.select(*fact.columns, seen.bitwiseOR(whole).alias("scope_mask"))
+
+
+def scope_counts(star: Star, scopes: Sequence[Scope], mapping: DataFrame | None = None) -> DataFrame:
+    """(scope, table_name, row_count) of every fact, each fact read once."""
+    parts = []
+    for table in [*LOCATION_KEY, "fact_stock_transfer"]:
+        # masks are few, so a fact shrinks to a handful of rows in every task
+        masks = with_scopes(star, table, scopes, mapping).groupBy("scope_mask").agg(F.count(F.lit(1)).alias("n"))
+        sums = [F.coalesce(F.sum(F.when(F.col("scope_mask").bitwiseAND(F.lit(1 << i).cast("bigint")) != 0, F.col("n"))), F.lit(0)) for i in range(len(scopes))]
+        found = F.array(*[F.struct(F.lit(s.name).alias("scope"), v.alias("row_count")) for s, v in zip(scopes, sums, strict=True)])
+        parts.append(masks.agg(found.alias("f")).select(F.explode("f").alias("f")).select(
+            "f.scope", F.lit(table).alias("table_name"), "f.row_count"))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def supplier_lines(star, **where) -> DataFrame:
     """Order lines of the suppliers matching ``where`` (attribute = value), with product and dates."""
     chosen = star.supplier

@@ -19,25 +19,25 @@ from shelfwise.operators.clean import (
 from shelfwise.operators.calendar import dim_date_build
 from shelfwise.operators.classify import abc_classify, xyz_classify
 from shelfwise.operators.distinct import distinct_bitmaps, distinct_counts, numbered
-from shelfwise.operators.grouping import exact_quantile, rollup, share_of_total, topk
+from shelfwise.operators.grouping import exact_quantile, prefix_sums, rollup, share_of_total, topk
 from shelfwise.operators.ledger import ledger_rollforward, open_orders, po_lifecycle, snapshot_flags
-from shelfwise.operators.policy import affected_products, lead_time_history, row_policy, supplier_lines
+from shelfwise.operators.policy import Scope, affected_products, lead_time_history, scope_counts, supplier_lines
 from shelfwise.operators.quality import (
     CONSTRAINT_RULES, CORE_RULES, Reference, Row, Unique, dq_report, gate_verdict, run_checks,
 )
 from shelfwise.plans import network, sales, store_product, supplier
-from shelfwise.plans.incremental import kpis_from_parts, load_ledger, refresh_kpis
+from shelfwise.plans.incremental import kpis_from_parts, load_ledger, load_new_sales, refresh_kpis
 from shelfwise.plans.inventory import days_of_supply, fanout_totals, month_end_value
 from shelfwise.plans.load import gated_load
 from shelfwise.plans.matrix import level_name, matrix
 from shelfwise.schema import PRIMARY_KEY, REFERENCES, REQUIRED, TABLES
-from shelfwise.session import shared_folder
+from shelfwise.session import scratch_folder
 from shelfwise.sources.derived import DerivedTables
 from shelfwise.sources.sinks import (
-    cluster_write, incremental_refresh, refresh_stats, register_tables, retention_compact, sample_rows, sink_star,
+    curve_write, files_met, incremental_refresh, refresh_stats, register_tables, retention_compact, sample_rows, sink_star,
     sink_table,
 )
-from shelfwise.sources.star import Star, from_csv, from_parquet
+from shelfwise.sources.star import Star, from_csv, from_parquet, with_month
 from shelfwise.sources.versions import publish, read_table, read_version
 
 PAIR = ["product_key", "location_key"]
@@ -51,8 +51,7 @@ CHECKSUM = {
 }
 
 
-def scratch(spark) -> str:
-    return f"{shared_folder(spark)}/scratch-{uuid.uuid4().hex}"
+scratch = scratch_folder
 
 
 def checksums(star: Star, tables=tuple(TABLES)) -> DataFrame:
@@ -118,11 +117,32 @@ def layout_partition(star, built):
 
 
 def layout_cluster(star, built):
-    path = f"{scratch(star.spark)}/clustered"
-    cluster_write(star.snapshot, path, ["location_key", "product_key", "snapshot_date_key"])
-    return star.spark.read.schema(star.snapshot.schema).parquet(path).groupBy("location_key").agg(
-        F.count(F.lit(1)).alias("row_count"), F.sum("on_hand_qty").alias("on_hand_qty")
-    )
+    """Stock laid out along a curve through location, product and date: rows behind a filter on each, and whether under half of the files meet it.
+
+    The filters take one location, a twentieth of the products and the last month.
+    """
+    path, keys = f"{scratch(star.spark)}/clustered", ["location_key", "product_key", "snapshot_date_key"]
+    curve_write(star.snapshot, path, keys, files=64)
+    ends = star.snapshot.agg(F.max("product_key").alias("p"), F.max("snapshot_date_key").alias("d")).first()
+    wanted = {"location_key": (7, 7), "product_key": (ends.p // 3, ends.p // 3 + ends.p // 20),
+              "snapshot_date_key": (ends.d // 100 * 100, ends.d)}
+    met = files_met(star.spark, path, star.snapshot.schema, **wanted).select("path", (F.col("met") * 2 < F.col("files")).alias("under_half"))
+    stored = star.spark.read.schema(star.snapshot.schema).parquet(path)
+    counts = reduce(DataFrame.unionByName, [
+        stored.filter(F.col(c).between(low, high)).agg(
+            F.lit(c).alias("path"), F.count(F.lit(1)).alias("row_count"), F.sum("on_hand_qty").alias("on_hand_qty")) for c, (low, high) in wanted.items()])
+    return counts.join(met, "path")
+
+
+def dedupe_history(star, built):
+    """Raw sales in two extracts that overlap by two months and repeat rows within themselves; what is stored in the end, by month."""
+    spark, folder = star.spark, scratch(star.spark)
+    raw = with_month(built.get("raw_sales"), "fact_sales")
+    months = sorted(r[0] for r in star.dates.select(month_of_key("date_key")).distinct().toLocalIterator())
+    for extract in (raw.filter(F.col("sale_month") <= months[-6]), raw.filter(F.col("sale_month") >= months[-7])):
+        load_new_sales(spark, folder, extract)
+    return read_table(spark, folder, read_version(spark, folder), "fact_sales").groupBy("sale_month").agg(
+        F.count(F.lit(1)).alias("row_count"), F.sum("units_sold_qty").alias("units"))
 
 
 def incremental(star, built):
@@ -294,17 +314,9 @@ def row_policy_scopes(star, built):
     """Rows per fact and scope: everything, one user's region, warehouses, one end of a transfer enough."""
     users = star.location.select(
         F.concat(F.lower("region"), F.lit("@example.com")).alias("email"), "region").distinct()
-    scopes = {
-        "executive": row_policy(star),
-        "asia": row_policy(star, "asia@example.com", users),
-        "warehouse": row_policy(star, warehouse_only=True),
-        "asia_either_end": row_policy(star, "asia@example.com", users, transfer_scope="either"),
-        "unknown_user": row_policy(star, "nobody@example.com", users),
-    }
-    return reduce(DataFrame.unionByName, [
-        seen.table(t).agg(F.lit(scope).alias("scope"), F.lit(t).alias("table_name"), F.count(F.lit(1)).alias("row_count"))
-        for scope, seen in scopes.items() for t in TABLES if t.startswith("fact_")
-    ])
+    return scope_counts(star, [
+        Scope("executive"), Scope("asia", "asia@example.com"), Scope("warehouse", warehouse_only=True),
+        Scope("asia_either_end", "asia@example.com", transfer_scope="either"), Scope("unknown_user", "nobody@example.com")], users)
 
 
 def drillthrough(star, built):
@@ -513,10 +525,11 @@ def win_dup_flag(star, built):
 
 
 def sort_multi(star, built):
-    """Full order on three keys; the first of each region shows that the order held."""
+    """Full order on three keys, with each row's place in it."""
     totals = rollup(star.sales, star.location, ("location_key", "location_key"), ["region", "location_name"],
-                    units=("sum", "units_sold_qty"))
-    return totals.orderBy(F.asc("region"), F.desc(F.col("units") % 1000), F.asc("location_name"))
+                    units=("sum", "units_sold_qty")).withColumn("_one", F.lit(1))
+    order = [F.asc("region"), F.desc(F.col("units") % 1000), F.asc("location_name")]
+    return prefix_sums(totals, order, "_one").select("region", "location_name", "units", F.col("position").cast("bigint").alias("position")).orderBy(*order)
 
 
 def sort_nulls_last(star, built):
@@ -710,7 +723,7 @@ BLOCKS = {
     "incremental_refresh": incremental, "retention_compact": retention, "refresh_stats": statistics,
     "gated_load": refused_load, "etl_pipeline": load_through_gate, "atomic_refresh": atomic_refresh,
     "ledger_resume": ledger_resume, "mv_incremental": mv_incremental,
-    "measure_matrix": measure_matrix, "distinct_rollup": distinct_rollup, "sink_sample_all": sink_sample_all,
+    "dedupe_history": dedupe_history, "measure_matrix": measure_matrix, "distinct_rollup": distinct_rollup, "sink_sample_all": sink_sample_all,
     "latest_snapshot": latest_snapshot, "as_of_snapshot": as_of_snapshot, "as_of_calendar": as_of_calendar,
     "trailing_window": trailing_window, "flag_filter": flag_filter, "band_case": band_case,
     "row_policy": row_policy_scopes, "drillthrough": drillthrough, "drillthrough_lead_times": drillthrough_lead_times,

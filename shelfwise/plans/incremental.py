@@ -10,7 +10,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfwise.functions.columns import double, from_date_key, month_of_key, stale
+from shelfwise.operators.clean import dedupe_natural
 from shelfwise.operators.ledger import late_keys, ledger_rollforward, ledger_state, resume_ledger
+from shelfwise.schema import SCHEMAS, stored_schema
+from shelfwise.sources.star import with_month
 from shelfwise.sources.versions import Table, Version, changed_months, publish, read_table, read_version
 
 LEDGER, STATE, LEDGER_MONTH = "ledger", "ledger_state", "ledger_month"
@@ -49,6 +52,47 @@ def load_ledger(spark: SparkSession, folder: str, receipts: DataFrame, demand: D
     return publish(spark, folder, {LEDGER: kept.unionByName(rows), STATE: then}, months, version, whole=False)
 
 
+# -- repeats of rows that earlier extracts brought -----------------------------------------------------------------------
+
+DIGESTS = "fact_sales_digests"
+
+
+def load_new_sales(spark: SparkSession, folder: str, extract: DataFrame) -> Version:
+    """Add to the published sales the rows of an extract that are new: equal in all columns but the surrogate key to none before, once each.
+
+    Equal rows are of one month, and every month has a table of row digests beside it. A digest that isn't known proves a row new; of
+    the others the stored rows of their months alone are read and compared column by column. Months without new rows keep their files.
+    """
+    version = read_version(spark, folder)
+    natural = [f.name for f in SCHEMAS["fact_sales"].fields if f.name != "sales_key"]
+    columns, digest = [f.name for f in stored_schema("fact_sales").fields], F.xxhash64(*natural).alias("digest")
+    once = with_month(dedupe_natural(extract.select("sales_key", *natural)), "fact_sales").select(*columns, digest).checkpoint()
+    months = {DIGESTS: "sale_month"}
+    if "fact_sales" not in version.tables:
+        return publish(spark, folder, {"fact_sales": once.drop("digest"), DIGESTS: once.select("digest", "sale_month")}, months, version)
+    held = version.tables[DIGESTS].months
+
+    def among(df: DataFrame) -> list[str]:
+        # at most as many as there are months
+        return [str(r[0]) for r in df.select("sale_month").distinct().toLocalIterator() if str(r[0]) in held]
+
+    known = read_table(spark, folder, version, DIGESTS, among(once)).distinct()
+    keys = ["sale_month", "digest"]
+    hits = once.join(known, keys, "left_semi").checkpoint()
+    stored = read_table(spark, folder, version, "fact_sales", among(hits)).select(
+        *[F.col(c).alias(f"_{c}") for c in natural], F.col("sale_month").alias("_month"), digest.alias("_digest"))
+    same = (F.col("digest") == F.col("_digest")) & (F.col("sale_month") == F.col("_month"))
+    for c in natural:
+        same = same & F.col(c).eqNullSafe(F.col(f"_{c}"))
+    new = once.join(known, keys, "left_anti").select(*columns, "digest").unionByName(
+        hits.join(stored, same, "left_anti").select(*columns, "digest")).checkpoint()
+    touched = among(new)
+    before = read_table(spark, folder, version, "fact_sales", touched)
+    marks = read_table(spark, folder, version, DIGESTS, touched)
+    return publish(spark, folder, {"fact_sales": before.unionByName(new.drop("digest")), DIGESTS: marks.unionByName(new.select("digest", "sale_month"))},
+                   months, version, whole=False)
+
+
 # -- the executive summary from monthly parts --------------------------------------------------------------------------
 
 

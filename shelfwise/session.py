@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -43,3 +45,24 @@ def shared_folder(spark: SparkSession) -> str:
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="shelfwise-"))
     return context.getCheckpointDir()
+
+
+_SCRATCH: list[tuple[SparkSession, str]] = []
+
+
+def scratch_folder(spark: SparkSession, label: str = "scratch") -> str:
+    """A new folder name below the shared folder; it is removed when the application ends."""
+    path = f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    if not _SCRATCH:
+        atexit.register(_remove_scratch)
+    _SCRATCH.append((spark, path))
+    return path
+
+
+def _remove_scratch() -> None:
+    for spark, path in _SCRATCH:
+        try:
+            target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+        except Exception:  # the session has already ended
+            return

@@ -5,7 +5,7 @@ from __future__ import annotations
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from shelfwise.functions.columns import from_date_key, to_date_key
@@ -54,6 +54,55 @@ def cluster_write(df: DataFrame, path: str, keys: list[str]) -> None:
     df.repartitionByRange(*keys).sortWithinPartitions(*keys).write.mode("overwrite").parquet(path)
 
 
+def curve_value(df: DataFrame, keys: list[str], bits: int = 6) -> tuple[DataFrame, str]:
+    """``df`` with a place on a curve that fills the space of ``keys``: the bits of their ranks, interleaved.
+
+    A rank is the number of quantiles below the value, of which there are ``2 ** bits - 1`` a key whatever its number of values, so ranks are
+    evenly filled under skew as well. Returns the frame and the name of the added column.
+    """
+    shares = [i / (1 << bits) for i in range(1, 1 << bits)]
+    # one row of bounded size
+    cuts = df.agg(*[F.struct(F.percentile_approx(k, shares, 1_000).alias("at"), F.max(k).alias("top")).alias(k) for k in keys]).first()
+
+    def spread(rank: int, at: int) -> Column:
+        """The bits of a rank at their places, one of each key in turn from the highest down."""
+        return F.lit(sum((rank >> bit & 1) << (bit * len(keys) + len(keys) - 1 - at) for bit in range(bits))).cast("bigint")
+
+    def place_of(k: str, at: int) -> Column:
+        edges = sorted(set(cuts[k].at or ()) - {cuts[k].top})
+
+        def within(low: int, high: int) -> Column:
+            """A tree of comparisons over the ranks from ``low`` to ``high``; few values are stretched over all ranks."""
+            if low == high:
+                return spread((low << bits) // (len(edges) + 1), at)
+            middle = (low + high) // 2
+            return F.when(F.col(k) <= F.lit(edges[middle]), within(low, middle)).otherwise(within(middle + 1, high))
+
+        return within(0, len(edges))
+
+    place = reduce(lambda a, b: a + b, [place_of(k, at) for at, k in enumerate(keys)])
+    return df.withColumn("_place", place), "_place"
+
+
+def curve_write(df: DataFrame, path: str, keys: list[str], files: int | None = None, bits: int = 6) -> None:
+    """Lay rows out along a space-filling curve of ``keys``, so that files have narrow bounds in each of them and not only in the first."""
+    placed, column = curve_value(df, keys, bits)
+    order = [column, *keys]
+    dealt = placed.repartitionByRange(files, *order) if files else placed.repartitionByRange(*order)
+    dealt.sortWithinPartitions(*order).drop(column).write.mode("overwrite").parquet(path)
+
+
+def files_met(spark: SparkSession, path: str, schema, **wanted: tuple[object, object]) -> DataFrame:
+    """Per column, how many of the stored files have bounds that meet a range, and how many there are: what a filter on it would open."""
+    names = list(wanted)
+    rows = spark.read.schema(schema).parquet(path).select("_metadata.file_path", *names)
+    bounds = rows.groupBy("file_path").agg(*[f(c).alias(f"{n}_{c}") for c in names for n, f in (("low", F.min), ("high", F.max))])
+    met = [F.count_if((F.col(f"low_{c}") <= F.lit(high)) & (F.col(f"high_{c}") >= F.lit(low))).alias(c) for c, (low, high) in wanted.items()]
+    counts = bounds.agg(F.count(F.lit(1)).alias("files"), *met)
+    return counts.select("files", F.explode(F.array(*[F.struct(F.lit(c).alias("path"), F.col(c).alias("met")) for c in names])).alias("m")).select(
+        "m.path", "m.met", "files")
+
+
 def retention_compact(snap: DataFrame, daily_months: int = 18) -> DataFrame:
     """Keep daily rows of the last ``daily_months`` months (cutoff included) and month-end rows before.
 

@@ -12,7 +12,7 @@ from shelfwise.operators import anchors
 from shelfwise.operators.classify import abc_classify, xyz_classify
 from shelfwise.operators.clean import clean_all, clean_sales, coerce_numeric, duplicate_flags
 from shelfwise.operators.ledger import as_of_fill, ledger_rollforward, open_orders, po_lifecycle
-from shelfwise.operators.policy import row_policy
+from shelfwise.operators.policy import Scope, row_policy, scope_counts
 from shelfwise.operators.quality import CORE_RULES, Reference, check_references, gate, gate_verdict, run_checks
 from shelfwise.plans import executive, inventory, sales, store_product
 from shelfwise.plans.measures import FUNCTIONS, measure
@@ -241,9 +241,10 @@ def test_cleaning(spark):
         (3, Decimal("7.00"), Decimal("14.00"), Decimal("14.00"), Decimal("12.00")),
         (5, None, None, None, None)]
     assert rows(log) == [("fact_sales", 5, 2, 2, 1, 3)]
-    flagged = duplicate_flags(s.sales.drop("sale_month"), salts=3)
-    assert rows(flagged, "sales_key", "is_duplicate", "is_price_missing") == [
-        (1, True, False), (2, True, False), (3, True, True), (4, True, True), (5, False, True)]
+    for rows_per_slot in (1, 100):
+        flagged = duplicate_flags(s.sales.drop("sale_month"), rows_per_slot=rows_per_slot)
+        assert rows(flagged, "sales_key", "is_duplicate", "is_price_missing") == [
+            (1, True, False), (2, True, False), (3, True, True), (4, True, True), (5, False, True)]
 
 
 def test_text_survives_cleaning(spark):
@@ -328,6 +329,17 @@ def test_row_policy(spark):
     assert counts(row_policy(s, "ann@x", users, transfer_scope="either")) == [2, 2, 2, 1, 1, 2]
     assert counts(row_policy(s, warehouse_only=True)) == [2, 1, 2, 1, 1, 0]
     assert counts(row_policy(s, "who@x", users)) == [0, 0, 0, 0, 0, 0]
+    scopes = [Scope("all"), Scope("ann", "ann@x"), Scope("ann either", "ann@x", transfer_scope="either"), Scope("warehouses", warehouse_only=True),
+              Scope("bo's warehouses", "bo@x", True), Scope("nobody", "who@x")]
+    found = {}
+    for r in scope_counts(s, scopes, users).collect():
+        found.setdefault(r.scope, {})[r.table_name] = r.row_count
+    order = ["fact_sales", "fact_inventory_snapshot", "fact_purchase_order", "fact_returns", "fact_stock_transfer"]
+    for scope in scopes:
+        seen = row_policy(s, scope.principal, users, scope.warehouse_only, scope.transfer_scope)
+        assert [found[scope.name][t] for t in order] == counts(seen)[1:]
+    plan = scope_counts(s, scopes, users)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("scope_mask") >= 5
 
 
 def test_retention(spark):
