@@ -318,6 +318,10 @@ BLOCK_SQL: dict[str, str] = {
     "dq_gate": _verdict(CORE, "raw") + " UNION ALL " + _verdict(CLEAN_CHECKS, "cleaned"),
     "dq_report": f"""SELECT check_name, is_critical, violations, total, round(1e0 - violations::DOUBLE / total::DOUBLE, 6) AS pass_rate, NULL::VARCHAR AS sample,
         CASE WHEN violations = 0 THEN 'PASS' ELSE 'FAIL' END AS result FROM ({CORE})""",
+    "dq_incremental": f"""SELECT check_name, is_critical, violations, total, round(1e0 - violations::DOUBLE / total::DOUBLE, 6) AS pass_rate, NULL::VARCHAR AS sample,
+        CASE WHEN violations = 0 THEN 'PASS' ELSE 'FAIL' END AS result
+        FROM (SELECT check_name, is_critical, violations, total FROM ({CORE}) UNION ALL
+              SELECT 'fact_sales.customer_key+product_key unique', false, (count(*) - count(DISTINCT (customer_key, product_key)))::BIGINT, {N} FROM raw_sales)""",
     "dim_date_build": "SELECT date_key, full_date, day_of_week, day_name, is_weekend, week_of_year, month_number, month_name, quarter, year, fiscal_year, fiscal_quarter, season, holiday_name IS NOT NULL AS is_holiday, holiday_name FROM d_date",
     "abc_classify": "SELECT product_key, coalesce(abc_class, 'C') AS abc_class FROM d_product LEFT JOIN abc USING (product_key)",
     "xyz_classify": "SELECT product_key, cv AS demand_cv, xyz_class FROM xyz",

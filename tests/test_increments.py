@@ -1,14 +1,16 @@
-"""Layout along a curve, repeats of earlier extracts."""
+"""Layout along a curve, repeats of earlier extracts, checks that merge."""
 
 import random
 
 import pytest
 from pyspark.sql import functions as F
 
+from shelfwise.operators.quality import Reference, Row, Unique, run_checks
 from shelfwise.plans import incremental
+from shelfwise.plans.check_state import checks_from_state, refresh_checks
 from shelfwise.plans.incremental import load_new_sales
 from shelfwise.sources.sinks import curve_value, curve_write, files_met
-from shelfwise.sources.versions import changed_months, read_table, read_version
+from shelfwise.sources.versions import changed_months, publish, read_star, read_table, read_version
 from tests.tiny import rows, star
 
 
@@ -83,3 +85,31 @@ def test_equal_digests_are_not_enough(spark, tmp_path, monkeypatch):
     load_new_sales(spark, folder, facts(spark, [(1, 20240105, 1)]))
     load_new_sales(spark, folder, facts(spark, [(1, 20240105, 1), (2, 20240105, 2)]))
     assert stored(spark, folder) == [(20240105, 1), (20240105, 2)]
+
+
+RULES = [Row("fact_sales", "units", "units_sold_qty <= 0"), Reference("fact_sales", "product_key", "dim_product"),
+         Unique("fact_sales", ("order_id",)), Unique("dim_product", ("sku",))]
+
+
+def test_check_state_equals_a_full_run(spark, tmp_path):
+    rng = random.Random(6)
+    folder, state = str(tmp_path / "w"), str(tmp_path / "s")
+
+    def tables(months, products):
+        s = star(spark, dim_product=[{"product_key": p, "sku": f"s{p % 3}"} for p in products], fact_sales=[
+            {"sales_key": i, "date_key": 20240100 + 100 * rng.choice(months) + 3, "order_id": f"o{rng.randint(0, 9)}", "location_key": 1,
+             "product_key": rng.choice([None, 1, 2, 3, 9]), "units_sold_qty": rng.choice([0, 1, None])} for i in range(20)])
+        return {"fact_sales": s.sales, "dim_product": s.product}
+
+    first = tables([0, 1], [1, 2])
+    publish(spark, folder, first)
+    assert refresh_checks(spark, folder, state, RULES)["fact_sales"] == ["202401", "202402"]
+    for change in ({"fact_sales": tables([1, 2], [1])["fact_sales"]}, {"dim_product": tables([0], [1, 2, 3])["dim_product"]}):
+        publish(spark, folder, change, whole=False)
+        read = refresh_checks(spark, folder, state, RULES)
+        assert read == {"fact_sales": ["202402", "202403"] if "fact_sales" in change else [], "dim_product": ["all"] if "dim_product" in change else []}
+        assert rows(checks_from_state(spark, folder, state, RULES)) == rows(run_checks(read_star(spark, folder), RULES))
+    assert refresh_checks(spark, folder, state, RULES) == {"fact_sales": [], "dim_product": []}
+    publish(spark, folder, {"fact_sales": first["fact_sales"].filter("sale_month = 202401")})
+    refresh_checks(spark, folder, state, RULES[:3])
+    assert rows(checks_from_state(spark, folder, state, RULES[:3])) == rows(run_checks(read_star(spark, folder), RULES[:3]))
