@@ -116,10 +116,17 @@ def deleted_lines(a: Sequence[int], b: Sequence[int], words: Sequence[int], min_
     return out
 
 
+def _slices(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
+    """Record batches a few rows at a time, as their lists take many times the room."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def _lines(docs: DataFrame) -> DataFrame:
     """(id, content, hashes, words) of rows that have a word; one hash and word count per line, 0 for lines without words."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _slices(batches):
             keep, hashes, words = [], [], []
             for k, x in enumerate(batch.column(2)):
                 found = [line.split() for line in (x.as_py() or "").encode().split(b"\n")]
@@ -168,7 +175,7 @@ def windows(hashes: Sequence[int], words: Sequence[int], min_words: int) -> dict
 def _holders(texts: DataFrame, min_words: int) -> DataFrame:
     """(h, doc, places): each text's windows; ``doc`` orders texts, earlier ones first."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _slices(batches):
             rows, hashes, places = [], [], []
             for k, (h, w) in enumerate(zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)):
                 for one, spans in windows(h, w, min_words).items():
@@ -222,7 +229,7 @@ def _next_pairs(shared: DataFrame, left: DataFrame, tried: int, upto: int) -> Da
 def _aligned(pairs: DataFrame, texts: DataFrame, min_words: int) -> DataFrame:
     """(content, found): the lines one pair deletes from the later text, where it deletes any."""
     def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _slices(batches):
             ours, theirs, words = (batch.column(i).to_pylist() for i in (1, 2, 3))
             found = [deleted_lines(x, y, w, min_words) for x, y, w in zip(ours, theirs, words, strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.list_(pa.int32()))], ["content", "found"])

@@ -112,20 +112,20 @@ def mix(docs: DataFrame, target: Target = Target(), id_col: str = "doc_id", text
     if at least half of it lies within: a source gets its quota up to half a document. Repeated rows are drawn each for itself and tie-break by content. Any number of sources and a source of any size is split
     into blocks; only sums per block are put in order.
     """
+    mark = _hash(F.coalesce(F.col(id_col).cast("string"), F.lit("null")), F.md5(F.coalesce(text_col, F.lit(""))))
+    # rows of one name are equal in every column kept
+    row = _hash(mark, F.xxhash64(*keep)) if keep else mark
     own = docs.select(
         F.col(id_col).alias("id"), F.col(source_col).alias("source"), words_in(F.col(text_col)).alias("tokens"),
-        F.coalesce(F.concat(F.lit("="), F.col(source_col)), F.lit("null")).alias("key"),
-        _hash(F.coalesce(F.col(id_col).cast("string"), F.lit("null")), F.md5(F.coalesce(text_col, F.lit("")))).alias("mark"),
-        *[F.col(c).alias(f"_keep_{c}") for c in keep])
+        F.coalesce(F.concat(F.lit("="), F.col(source_col)), F.lit("null")).alias("key"), mark.alias("mark"), row.alias("row"))
     slim = own.select("key", "tokens")
     sources = stored(mixture(slim, target), "mixture")
-    mark = F.col("mark")
     drawn = (
         own.join(sources.select("key", "passes", "rest", "blocks"), "key")
         .withColumn("pass", F.explode(F.sequence(F.lit(0).cast("long"), F.col("passes"))))
         .filter((F.col("pass") < F.col("passes")) | (F.col("rest") > 0))
-        .withColumn("block", _number(mark, F.col("blocks")))
-        .withColumn("turn", _hash(F.lit(seed), F.col("pass"), mark))
+        .withColumn("block", _number(F.col("mark"), F.col("blocks")))
+        .withColumn("turn", _hash(F.lit(seed), F.col("pass"), F.col("mark")))
     )
     drawn = stored(drawn, "drawn")
     sums = drawn.groupBy("key", "pass", "block").agg(F.sum("tokens").alias("tokens"))
@@ -137,10 +137,15 @@ def mix(docs: DataFrame, target: Target = Target(), id_col: str = "doc_id", text
     first = placed.groupBy("key", "pass").agg(F.min("before").alias("base"))
     starts = placed.join(first, ["key", "pass"]).select("key", "pass", "block", (F.col("before") - F.col("base")).alias("block_start"))
     inside = Window.partitionBy("key", "pass", "block").orderBy("turn", "mark").rowsBetween(Window.unboundedPreceding, 0)
-    return (
+    result = (
         drawn.withColumn("through", F.sum("tokens").over(inside)).join(starts, ["key", "pass", "block"])
         .withColumn("start", F.col("block_start") + F.col("through") - F.col("tokens"))
         .filter((F.col("pass") < F.col("passes")) | (2 * F.col("start") + F.col("tokens") <= 2 * F.col("rest")))
-        .select(F.col("id").alias(id_col), F.col("source").alias(source_col), "pass", "block", "start", F.col("tokens").alias("n_tokens"),
-                *[F.col(f"_keep_{c}").alias(c) for c in keep])
+        .select(F.col("id").alias(id_col), F.col("source").alias(source_col), "pass", "block", "start", F.col("tokens").alias("n_tokens"), "row")
     )
+    if not keep:
+        return result.drop("row")
+    # what is kept joins at the end, so that texts are moved once
+    kept = docs.select(row.alias("row"), F.struct(*keep).alias("kept")).groupBy("row").agg(F.first("kept").alias("kept"))
+    names = [c for c in result.columns if c != "row" and c not in keep]
+    return result.join(kept, "row").select(*names, *[F.col(f"kept.{c}").alias(c) for c in keep])
