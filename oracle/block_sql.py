@@ -188,6 +188,13 @@ BLOCK_SQL: dict[str, str] = {
            OR day IN (SELECT max(day) FROM ledger GROUP BY date_trunc('month', day)) GROUP BY ALL""",
     "refresh_stats": " UNION ALL ".join(
         f"SELECT '{t}' AS table_name, {N} AS row_count FROM {RELATIONS[t][0]}" for t in ("fact_sales", "fact_inventory_snapshot", "fact_purchase_order")),
+    "column_statistics": " UNION ALL ".join(
+        f"SELECT '{t}' AS table_name, '{name}' AS column_name, min({c})::BIGINT AS low, max({c})::BIGINT AS high, (count(*) - count({c}))::BIGINT AS nulls, "
+        f"true AS distinct_within_tenth, true AS has_histogram FROM {r}"
+        for t, r, name, c in (
+            ("fact_sales", "f_sales", "date_key", "date_key"), ("fact_sales", "f_sales", "product_key", "product_key"),
+            ("fact_sales", "f_sales", "units_sold_qty", "units_sold_qty"), ("fact_sales", "f_sales", "promotion_key", "promotion_key"),
+            ("fact_purchase_order", "f_po", "received_date_key", "received_key"), ("fact_purchase_order", "f_po", "ordered_qty", "ordered_qty"))),
     "latest_snapshot": f"SELECT {SNAP} FROM snap_now",
     "as_of_snapshot": "SELECT anchor AS as_of_date FROM snap_day",
     "as_of_calendar": "SELECT anchor AS as_of_date FROM cal_day",

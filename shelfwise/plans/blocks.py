@@ -35,7 +35,7 @@ from shelfwise.schema import PRIMARY_KEY, REFERENCES, REQUIRED, TABLES
 from shelfwise.session import scratch_folder
 from shelfwise.sources.derived import DerivedTables
 from shelfwise.sources.sinks import (
-    curve_write, files_met, incremental_refresh, refresh_stats, register_tables, retention_compact, sample_rows, sink_star,
+    column_stats, curve_write, files_met, incremental_refresh, refresh_stats, register_tables, retention_compact, sample_rows, sink_star,
     sink_table,
 )
 from shelfwise.sources.star import Star, from_csv, from_parquet, with_month
@@ -181,6 +181,23 @@ def statistics(star, built):
     return refresh_stats(star.spark, tables, database)
 
 
+def column_statistics(star, built):
+    """What the optimiser knows of some columns after a load with histograms: bounds, nulls, and whether distinct values are told within a tenth."""
+    folder, database = scratch(star.spark), f"stats_{uuid.uuid4().hex}"
+    columns = {"fact_sales": ["date_key", "product_key", "units_sold_qty", "promotion_key"], "fact_purchase_order": ["received_date_key", "ordered_qty"]}
+    sink_star(star, folder, list(columns))
+    register_tables(star.spark, folder, list(columns), database)
+    refresh_stats(star.spark, list(columns), database, columns)
+    known = column_stats(star.spark, columns, database)
+    exact = reduce(DataFrame.unionByName, [
+        star.table(t).agg(F.array(*[F.struct(F.lit(c).alias("column_name"), F.count_distinct(c).alias("n")) for c in names]).alias("d"))
+        .select(F.lit(t).alias("table_name"), F.inline("d")) for t, names in columns.items()])
+    close = (F.abs(F.col("distinct") - F.col("n")) * 10 <= F.col("n")).alias("distinct_within_tenth")
+    return known.join(exact, ["table_name", "column_name"]).select(
+        "table_name", "column_name", F.col("low").cast("bigint").alias("low"), F.col("high").cast("bigint").alias("high"), "nulls", close,
+        (F.col("bins") > 1).alias("has_histogram"))
+
+
 def load_through_gate(star, built):
     """Raw extract to warehouse; what the warehouse holds afterwards."""
     folder = scratch(star.spark)
@@ -739,7 +756,7 @@ def pareto_share_by_class(star, built):
 BLOCKS = {
     "src_csv_star": src_csv_star, "src_parquet_star": src_parquet_star, "sink_processed": sink_processed,
     "sink_sample": sink_sample, "layout_partition": layout_partition, "layout_cluster": layout_cluster,
-    "incremental_refresh": incremental, "retention_compact": retention, "refresh_stats": statistics,
+    "incremental_refresh": incremental, "retention_compact": retention, "refresh_stats": statistics, "column_statistics": column_statistics,
     "gated_load": refused_load, "etl_pipeline": load_through_gate, "atomic_refresh": atomic_refresh,
     "ledger_resume": ledger_resume, "mv_incremental": mv_incremental,
     "dedupe_history": dedupe_history, "measure_matrix": measure_matrix, "distinct_rollup": distinct_rollup, "sink_sample_all": sink_sample_all,

@@ -20,6 +20,7 @@ from shelfwise.functions.columns import (
 from shelfwise.operators.anchors import semi_closing
 from shelfwise.operators.grouping import FIRST, MERGE, fits_broadcast, global_rank
 from shelfwise.schema import PRIMARY_KEY, SCHEMAS
+from shelfwise.session import scratch_folder
 
 Filters = Mapping[str, Any] | None
 
@@ -183,10 +184,28 @@ def calendar_columns(fact: str, columns) -> list[str]:
     return [c for c in columns if c not in SCHEMAS[fact].fieldNames() and owner(fact, c) == "dim_date"]
 
 
+def _closing_stock(star, group_cols, grain, filters) -> DataFrame:
+    """``v``, the stock value at the last day of each (grain, product).
+
+    The last days come first, a small table of one row each; where it can be broadcast, only rows of those days are summed, and months that hold none
+    are not opened. Else all days are summed and the last is taken.
+    """
+    path = scratch_folder(star.spark, "closing")
+    grouped(star, SNAPSHOT, grain, filters, _closing=("max", "snapshot_date_key")).write.parquet(path)
+    closing = star.spark.read.parquet(path)
+    if not fits_broadcast(closing):
+        return _at_last_day(_daily_stock(star, grain, filters, v=("sum", "on_hand_value")), grain, "v")
+    side = F.broadcast(closing.withColumn("_month", F.expr("_closing div 100").cast("int")).withColumnsRenamed({c: f"_of_{c}" for c in grain}))
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in grain])
+    at_close = (F.col("snapshot_month") == F.col("_month")) & (F.col("snapshot_date_key") == F.col("_closing"))
+    rows = context(star, SNAPSHOT, group_cols, filters).join(side, at_close & same, "left_semi")
+    return rows.groupBy(*grain).agg(F.sum("on_hand_value").alias("v"))
+
+
 def _dead_value(star, group_cols, filters, days: int = 180):
     """Stock of products not sold for ``days`` before the last day of the period that grain and filters leave."""
     grain = list(dict.fromkeys([*group_cols, "product_key"]))
-    stock = _at_last_day(_daily_stock(star, grain, filters, v=("sum", "on_hand_value")), grain, "v")
+    stock = _closing_stock(star, group_cols, grain, filters)
     sold = grouped(star, "fact_sales", grain, filters, _last=("max", "date_key"))
     periods, limits = calendar_columns(SNAPSHOT, group_cols), star.dates
     for attr in calendar_columns(SNAPSHOT, filters or {}):

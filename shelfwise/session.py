@@ -21,6 +21,8 @@ def build_session(master: str | None = None, app: str = "shelfwise", **conf: str
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.sources.partitionOverwriteMode": "dynamic",
         "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+        # months are taken from the partition listing; no writer here leaves a partition without rows
+        "spark.sql.optimizer.metadataOnly": "true",
         "spark.ui.enabled": "false",
     }
     settings.update(conf)

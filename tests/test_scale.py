@@ -90,6 +90,8 @@ def test_latest_snapshot_prunes_partitions_and_columns(derived_star):
     partition = re.search(r"PartitionFilters: \[([^\]]*\])", plan).group(1)
     assert "snapshot_month" in partition and "ubquery" in partition
     read = [{c.split(":")[0] for c in found.split(",")} for found in re.findall(r"ReadSchema: struct<([^>]*)>", plan)]
+    # the last month comes from the partition listing
+    assert "LocalTableScan [snapshot_month" in plan
     # the scan itself reads three columns, the subqueries read the date key or nothing
     assert max(read, key=len) == {"snapshot_date_key", "product_key", "on_hand_qty"}
 

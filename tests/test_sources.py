@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from shelfwise.plans.load import gated_load, materialize
 from shelfwise.plans.views import register_views
 from shelfwise.schema import SCHEMAS, stored_schema
-from shelfwise.sources.sinks import incremental_refresh, refresh_stats, register_tables, sample_rows, sink_star, sink_table
+from shelfwise.sources.sinks import COST_BASED, incremental_refresh, refresh_stats, register_tables, sample_rows, sink_star, sink_table
 from shelfwise.sources.star import from_csv, from_parquet
 from tests.tiny import location, product, rows, sale, star, stock
 
@@ -102,3 +102,34 @@ def test_sql_users_find_tables_and_views(spark, tmp_path):
     assert rows(got) == [("c", 4), ("d", 4)]
     assert spark.sql("SELECT count(*) FROM vw_current_inventory").first()[0] == 1
     assert materialize(s, str(tmp_path)).count() == 1
+
+
+def test_histograms_change_the_order_of_joins(spark, tmp_path):
+    """Nearly all of ``x`` lies at the low end: only a histogram tells that ``x > 5`` keeps little, so that its table should be met first."""
+    tables = {
+        "f": spark.range(20_000).selectExpr("id % 1000 AS k1", "id % 997 AS k2", "id AS v"),
+        "d1": spark.range(1000).selectExpr("id AS k1", "CASE WHEN id < 995 THEN id % 3 ELSE id END AS x", "id AS w1"),
+        "d2": spark.range(997).selectExpr("id AS k2", "id AS y", "id AS w2"),
+    }
+    for name, df in tables.items():
+        df.write.parquet(str(tmp_path / name))
+    spark.sql(f"CREATE DATABASE orders_test LOCATION '{tmp_path}/_catalog'")
+    for name in tables:
+        spark.catalog.createTable(f"orders_test.{name}", path=str(tmp_path / name), source="parquet")
+    query = """SELECT v, w1, w2 FROM orders_test.f JOIN orders_test.d2 ON f.k2 = d2.k2 JOIN orders_test.d1 ON f.k1 = d1.k1
+               WHERE x > 5 AND y < 300"""
+    before = {k: spark.conf.get(k) for k in COST_BASED}
+    order = {}
+    try:
+        for k, v in COST_BASED.items():
+            spark.conf.set(k, v)
+        for histograms in (False, True):
+            refresh_stats(spark, list(tables), "orders_test", {"d1": ["x"], "d2": ["y"]} if histograms else None)
+            plan = spark.sql(query)._jdf.queryExecution().optimizedPlan().toString()
+            relations = [line for line in plan.splitlines() if "Relation" in line]
+            depth = {name: next(line.index("Relation") for line in relations if column in line) for name, column in (("d1", "x#"), ("d2", "y#"))}
+            order[histograms] = max(depth, key=depth.get)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert order == {False: "d2", True: "d1"}
