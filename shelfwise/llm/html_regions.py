@@ -27,22 +27,47 @@ SKIP = frozenset(
 REGION = frozenset("article main section div td body html".split())
 WHOLE = frozenset("article main".split())
 #: Words in class, id or role that mark menus, notices, adverts, comments and the like.
-MARKS = re.compile(
-    r"(?:^|[\s_-])(?:ad|ads|advert\w*|adsense|sponsor\w*|promo\w*|banner|nav\w*|menu\w*|breadcrumbs?|sidebar|side|footer|masthead|"
+MARK = re.compile(
+    r"ads?|advert\w*|adsense|sponsor\w*|promo\w*|banner|nav(?:bar|igation|links?|list|menu|s)?|menu(?:bar|items?|list|s)?|breadcrumbs?|sidebar|side|footer|masthead|"
     r"(?:site|page|top)[_-]?header|cookies?|consent|gdpr|notices?|alerts?|comments?|replies|disqus|respond|share|sharing|social|related|recommend\w*|popup|"
     r"modal|overlay|newsletter|subscribe|signup|login|search|widget|toolbar|pagination|pager|skip|copyright|legal|complementary|"
-    r"contentinfo|navigation|hidden)(?:$|[\s_-])", re.I)
+    r"contentinfo|hidden", re.I)
+#: Last words of a name that stand for a box: with a mark before them the box is one of that kind.
+BOXES = frozenset(
+    "area bar block body box column container content form group header inner item items links list main menu panel posts row section text thread "
+    "widget wrap wrapper".split())
+_PARTS = re.compile(r"[_-]+")
+#: Characters a tag beyond which a line is text however long it is.
+DENSE = 60
+
+
+def marked(name: str) -> int:
+    """2 if a name from class, id or role marks its box for certain, 1 if it may say something about it only (``share-enabled``), else 0."""
+    if MARK.fullmatch(name):
+        return 2
+    parts = [x for x in _PARTS.split(name) if x]
+    if len(parts) < 2 or not MARK.fullmatch(parts[0]) and not MARK.fullmatch("-".join(parts[:2])):
+        return 0
+    last = parts[-1].lower()
+    return 2 if last in BOXES or MARK.fullmatch(last) and last != parts[0].lower() else 1
+
+
 CHUNK = 1 << 16
 
 
 class Lines(HTMLParser):
-    """Collects (text, tags, region, skipped) per line. A region is the innermost article, main or box around it."""
+    """Collects (text, tags, region, doubts) per line. A region is the innermost article, main or box around it.
+
+    Doubts are the boxes around a line, outermost first, that go only if they turn out to hold neither an article nor most of the page.
+    """
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.lines: list[tuple[str, int, int]] = []
+        self.lines: list[tuple[str, int, int, tuple[int, ...]]] = []
+        self.certain: list[bool] = []  # of each doubtful box: whether only an article or main in it saves it
+        self.saved: set[int] = set()
         self.parents: list[tuple[int, str]] = [(-1, "html")]  # of each region: the region around it, its tag
-        self._open: list[tuple[str, bool, int]] = []  # tag, skipped from here, region
+        self._open: list[tuple[str, bool, int, tuple[int, ...]]] = []  # tag, skipped from here, region, doubts
         self._text: list[str] = []
         self._tags = 0
 
@@ -52,10 +77,13 @@ class Lines(HTMLParser):
     def _region(self) -> int:
         return self._open[-1][2] if self._open else 0
 
+    def _doubts(self) -> tuple[int, ...]:
+        return self._open[-1][3] if self._open else ()
+
     def end_line(self) -> None:
         text = " ".join("".join(self._text).split())
         if text:
-            self.lines.append((text, self._tags, self._region()))
+            self.lines.append((text, self._tags, self._region(), self._doubts()))
         self._text, self._tags = [], 0
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
@@ -68,16 +96,23 @@ class Lines(HTMLParser):
             self._open.pop()
         region = self._region()
         skipped = self._skipped() or tag in SKIP
+        doubts = self._doubts()
+        if tag in WHOLE:
+            self.saved.update(doubts)
         if not skipped and tag not in ("html", "body", "article", "main"):
-            skipped = any(v and k in ("class", "id", "role") and MARKS.search(v) for k, v in attrs) or any(
+            skipped = any(
                 k == "hidden" or (k == "aria-hidden" and v == "true") or (k == "style" and v and "display:none" in v.replace(" ", ""))
                 for k, v in attrs)
             # a header belongs to the page unless it stands in an article
             skipped = skipped or tag == "header" and not self._inside_whole(region)
+            sure = max((marked(name) for k, v in attrs if v and k in ("class", "id", "role") for name in v.split()), default=0)
+            if sure and not skipped:
+                self.certain.append(sure == 2)
+                doubts = (*doubts, len(self.certain) - 1)
         if tag in REGION and not skipped:
             self.parents.append((region, tag))
             region = len(self.parents) - 1
-        self._open.append((tag, skipped, region))
+        self._open.append((tag, skipped, region, doubts))
 
     def _inside_whole(self, region: int) -> bool:
         while region >= 0:
@@ -123,6 +158,18 @@ def threshold(values: np.ndarray) -> float:
     return cut
 
 
+def _without_marked(parser: Lines) -> list[tuple[str, int, int]]:
+    """Lines outside marked boxes. A box with an article or main stays, and one marked in passing that holds most of the text outside boxes marked for certain."""
+    held, whole = [0] * len(parser.certain), 0
+    for text, _, _, doubts in parser.lines:
+        if all(box in parser.saved or not parser.certain[box] for box in doubts):
+            whole += len(text)
+            for box in doubts:
+                held[box] += len(text)
+    stays = {box for box, sure in enumerate(parser.certain) if box in parser.saved or not sure and 2 * held[box] > whole}
+    return [(text, tags, region) for text, tags, region, doubts in parser.lines if stays.issuperset(doubts)]
+
+
 def main_text(html: str | None, sigma: float = 1.0) -> str:
     """Main text of one whole page; empty for null, empty and text-free pages."""
     parser = Lines()
@@ -131,9 +178,11 @@ def main_text(html: str | None, sigma: float = 1.0) -> str:
         parser.feed(page[start:start + CHUNK])
     parser.close()
     parser.end_line()
-    if not parser.lines:
+    lines = _without_marked(parser)
+    if not lines:
         return ""
-    ratio = smooth(np.array([len(text) / (1 + tags) for text, tags, _ in parser.lines]), sigma)
+    # a line of any length counts as dense, and no more than that
+    ratio = smooth(np.log1p(np.array([min(len(text) / (1 + tags), DENSE) for text, tags, _ in lines])), sigma)
     chosen = ratio >= threshold(ratio)
 
     def around(region: int) -> int:
@@ -145,9 +194,9 @@ def main_text(html: str | None, sigma: float = 1.0) -> str:
             at = parser.parents[at][0]
         return found
 
-    homes = {region: around(region) for _, _, region in parser.lines}
+    homes = {region: around(region) for _, _, region in lines}
     chars: dict[int, list[int]] = {}
-    for (text, _, region), yes in zip(parser.lines, chosen, strict=True):
+    for (text, _, region), yes in zip(lines, chosen, strict=True):
         sums = chars.setdefault(homes[region], [0, 0])
         sums[0] += len(text)
         sums[1] += len(text) * bool(yes)
@@ -157,7 +206,7 @@ def main_text(html: str | None, sigma: float = 1.0) -> str:
         content |= {home for home, (_, dense) in chars.items() if dense and parser.parents[home][1] in WHOLE}
     if any(parser.parents[home][1] in WHOLE for home in content):  # what lies outside the articles is not the main text
         content = {home for home in content if parser.parents[home][1] in WHOLE}
-    return " ".join(text for text, _, region in parser.lines if homes[region] in content)
+    return " ".join(text for text, _, region in lines if homes[region] in content)
 
 
 def extract(pages: DataFrame, html_col: str = "html", keep: tuple[str, ...] = ("page_id", "url"), sigma: float = 1.0) -> DataFrame:

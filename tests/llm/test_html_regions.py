@@ -33,6 +33,33 @@ def test_without_article_the_dense_box_is_taken():
     assert regions.main_text(page) == f"{BODY.strip()} {BODY.strip()} Ok."
 
 
+@pytest.mark.parametrize("around", ["content has-sidebar", "post with-comments", "entry share-enabled", "side-by-side", "navy", "modal-open", "plain"])
+@pytest.mark.parametrize("inside", ["{}", "<main>{}</main>"])
+def test_names_that_only_mention_a_mark_keep_the_article(around, inside):
+    comments = '<div id="comments" class="comment-list"><p>' + "A reader says something rather long here. " * 60 + "</p></div>"
+    page = f'<body><div class="site-nav"><a>Home</a></div>{inside.format(f"""<div class="{around}"><p>{BODY}</p><p>{BODY}</p></div>""")}{comments}</body>'
+    assert regions.main_text(page.replace(comments, "")) == f"{BODY.strip()} {BODY.strip()}"
+    assert regions.main_text(page) == f"{BODY.strip()} {BODY.strip()}"
+
+
+@pytest.mark.parametrize("name", ["cookie-notice", "comments", "comments-area", "related-posts", "site-header", "ad", "newsletter_signup", "nav-menu"])
+def test_marked_boxes_go(name):
+    page = f'<body><div><p>{BODY}</p></div><div class="x {name}"><p>{"Words that are no part of the article. " * 3}</p></div></body>'
+    assert regions.main_text(page) == BODY.strip()
+
+
+def test_box_around_an_article_stays():
+    page = f'<body><div class="sidebar"><article><p>{BODY}</p></article></div><div class="sidebar"><p>Away.</p></div></body>'
+    assert regions.main_text(page) == BODY.strip()
+
+
+def test_one_huge_paragraph_leaves_the_others():
+    links = "".join(f'<li><a href="/{i}">Link {i}</a></li>' for i in range(30))
+    for menu in ("", f"<div><ul>{links}</ul></div>"):
+        page = f'<body>{menu}<div><p>{BODY}</p></div><div><p>{"long " * 20_000}</p></div><div><p>{BODY}</p></div></body>'
+        assert regions.main_text(page) == f'{BODY.strip()} {("long " * 20_000).strip()} {BODY.strip()}'
+
+
 def test_chunks_do_not_change_the_text(monkeypatch):
     monkeypatch.setattr(regions, "CHUNK", 7)
     assert regions.main_text(PAGE) == WANT
