@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfwise.llm.common import stored
+from shelfwise.llm.common import stored, tidy
 from shelfwise.operators.grouping import prefix_sums
 
 DEPTH = 4
@@ -38,12 +38,13 @@ _BUCKET = 1 << 15
 _CHUNK_BYTES = 1 << 23
 _KNOWN = 1 << 19
 _SEPARATORS = bytes.maketrans(b".,;:!?\x0a\x0b\x0c\x0d\x09", b"\n" * 10 + b" ")
+#: Stands where a piece ends; no UTF-8 text holds this byte.
+_END = b"\xff"
 
 
 def _tokens(texts: list[bytes]) -> list[bytes]:
-    """Words of all texts with a line feed wherever a piece ends."""
-    data = b"\n".join(texts).lower().translate(_SEPARATORS).replace(b"\n", b" \n ")
-    return [w for w in data.split(b" ") if w]
+    """Words of all texts with a mark wherever a piece ends."""
+    return b"\n".join(texts).lower().translate(_SEPARATORS).replace(b"\n", b" \xff ").split()
 
 
 def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, list[bytes]]]:
@@ -51,9 +52,9 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, list[bytes]
     now: dict[str, list[bytes]] = {}
     size = 0
     for batch in batches:
-        for lang, text in zip(batch.column(0), batch.column(1), strict=True):
+        for lang, text in zip(batch.column(0), batch.column(1).cast(pa.binary()), strict=True):
             if text.is_valid:
-                data = text.as_py().encode()
+                data = text.as_py()
                 now.setdefault(lang.as_py(), []).append(data)
                 size += len(data)
                 if size >= _CHUNK_BYTES:
@@ -81,12 +82,12 @@ def word_counts(docs: DataFrame, text_col: str = "text", lang_col: str = "lang")
 
     def out(counts: dict[str, Counter]) -> Iterator[pa.RecordBatch]:
         for lang, found in counts.items():
-            found.pop(b"\n", None)
+            found.pop(_END, None)
             yield pa.RecordBatch.from_arrays(
                 [pa.array([lang] * len(found), pa.string()), pa.array(list(found), pa.binary()).cast(pa.string()),
                  pa.array(list(found.values()), pa.int64())], ["lang", "phrase", "f"])
 
-    partial = _own(docs, text_col, lang_col).mapInArrow(run, "lang string, phrase string, f long")
+    partial = _own(docs, text_col, lang_col).mapInArrow(tidy(run), "lang string, phrase string, f long")
     return partial.groupBy("lang", "phrase").agg(F.sum("f").alias("f"))
 
 
@@ -103,10 +104,16 @@ class _Frequent:
             start = (r.bucket - 1) * _BUCKET // 8
             self.table[start:start + _BUCKET // 8] = np.frombuffer(r.map, np.uint8)
 
+        self.bytes = self.table.tobytes()
+
     def may_have(self, codes: np.ndarray) -> np.ndarray:
         at = codes & np.uint64(self.bits - 1)
         return (self.table[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
 
+    def may_have_one(self, code: int) -> bool:
+        at = code & self.bits - 1
+        return bool(self.bytes[at >> 3] >> (at & 7) & 1)
+
 
 def _word_code(word: str) -> Column:
     return F.xxhash64(F.col("lang"), F.expr(word))
@@ -131,24 +138,38 @@ def _plain(word: bytes) -> bytes:
     return re.sub(rb"\x01([\x01\x02])", lambda m: b"\x00" if m[1] == b"\x01" else b"\x01", word, flags=re.DOTALL) if b"\x01" in word else word
 
 
+class _Numbers(dict):
+    """Numbers of a language's words, given when a word is first met."""
+
+    def __init__(self, seed: int, frequent: _Frequent):
+        self.seed, self.frequent, self.names, self.codes = seed, frequent, [b""], [0]
+        self[_END] = 0
+
+    def __missing__(self, word: bytes) -> int:
+        code = xxhash.xxh64_intdigest(word, self.seed)
+        if not self.frequent.may_have_one(code):
+            self[word] = 0
+            return 0
+        self[word] = number = len(self.names)
+        self.names.append(_escaped(word))
+        self.codes.append(code)
+        return number
+
+
 class _Words:
     """Numbers of a language's frequent words from one on; a rare word, like the end of a piece, ends a suffix and is zero."""
 
     def __init__(self, lang: str, frequent: _Frequent):
         name = lang.encode()
-        self.seed, self.frequent = xxhash.xxh64_intdigest(name, 42), frequent
         self.lang = _escaped(name)
-        self.known = {b"\n": 0}
-        self.names, self.codes = [b""], np.zeros(1, np.uint64)
+        self.known = _Numbers(xxhash.xxh64_intdigest(name, 42), frequent)
+        self.names = self.known.names
+
+    @property
+    def codes(self) -> np.ndarray:
+        return np.array(self.known.codes, np.uint64)
 
     def numbers(self, tokens: list[bytes]) -> np.ndarray:
-        if new := list(set(tokens) - self.known.keys()):
-            codes = np.fromiter((xxhash.xxh64_intdigest(w, self.seed) for w in new), np.uint64, len(new))
-            use = self.frequent.may_have(codes)
-            ids = np.where(use, np.cumsum(use) + len(self.names) - 1, 0)
-            self.known.update(zip(new, ids.tolist(), strict=True))
-            self.names += [_escaped(w) for w, u in zip(new, use, strict=True) if u]
-            self.codes = np.concatenate([self.codes, codes[use]])
         return np.fromiter(map(self.known.__getitem__, tokens), np.int64, len(tokens))
 
     def pairs(self, tokens: list[bytes]) -> tuple[pa.Array, pa.Array]:
@@ -290,7 +311,7 @@ def phrase_counts(docs: DataFrame, words: DataFrame, min_count: int = MIN_COUNT,
                     [pa.array(groups[part], pa.int32()), pa.array(keys[part], pa.binary()), pa.array(counts[part], pa.int64())],
                     ["group", "key", "n"])
 
-    suffixes = own.mapInArrow(run, "group int, key binary, n long")
+    suffixes = own.mapInArrow(tidy(run), "group int, key binary, n long")
     ordered = suffixes.repartition("group").sortWithinPartitions("key").select("key", "n")
     nodes = ordered.mapInArrow(lambda batches: _nodes(batches, min_count), "lang string, phrase string, k int, f long")
     return pairs.select("lang", "phrase", F.lit(2).alias("k"), "f").unionByName(nodes)

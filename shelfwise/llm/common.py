@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
+import gc
 import uuid
 from collections.abc import Callable, Iterable, Iterator
 
@@ -57,6 +59,31 @@ def words(text: str | None) -> list[bytes]:
     return text.encode().lower().split() if text else []
 
 
+Batches = Iterator[pa.RecordBatch]
+
+
+def _libc() -> ctypes.CDLL | None:
+    try:
+        found = ctypes.CDLL(None)
+        return found if hasattr(found, "malloc_trim") else None
+    except (OSError, TypeError):  # another platform
+        return None
+
+
+def tidy(function: Callable[[Batches], Iterable[pa.RecordBatch]]) -> Callable[[Batches], Batches]:
+    """``function`` over record batches that gives freed memory back when a partition is done: Spark keeps its Python workers for later stages."""
+    def run(batches: Batches) -> Batches:
+        try:
+            yield from function(batches)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            if libc := _libc():
+                libc.malloc_trim(0)
+
+    return run
+
+
 def map_rows(df: DataFrame, function: Callable[[Iterator[dict[str, list]]], Iterable[dict[str, list]]], schema: str) -> DataFrame:
     """``mapInArrow`` over dicts of Python lists, one per record batch."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
