@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfwise.llm.common import stored
+from shelfwise.llm.common import stored, tidy
 
 WINDOW = 4096
 END_ID = 2
@@ -156,7 +156,7 @@ def tokenise(docs: DataFrame, tokenizer_json: str, id_col: str = "doc_id", text_
                      pa.array([len(a) for a in arrays], pa.int64()), pa.array(ids, pa.binary())], ["id", "sig", "n", "ids"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(run, f"id {kind}, sig long, n long, ids binary")
+    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(tidy(run), f"id {kind}, sig long, n long, ids binary")
 
 
 def _document_frequency(tokens: DataFrame, width: int, vocabulary: int) -> np.ndarray:
@@ -170,7 +170,7 @@ def _document_frequency(tokens: DataFrame, width: int, vocabulary: int) -> np.nd
         yield pa.RecordBatch.from_arrays([pa.array(there), pa.array(total[there])], ["term", "n"])
 
     out = np.zeros(vocabulary, dtype=np.int64)
-    for row in tokens.select("ids").mapInArrow(run, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).collect():
+    for row in tokens.select("ids").mapInArrow(tidy(run), "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).collect():
         out[row.term] = row.n
     return out
 
@@ -317,6 +317,6 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window
     parts = max(1, min(-(-total // shard_tokens), int(spark.conf.get("spark.sql.shuffle.partitions"))))
     placed = (
         tokens.repartitionByRange(parts, "sig", "id").sortWithinPartitions("sig", "id").select("id", "ids")
-        .mapInArrow(run, f"id {kind_sql}, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long")
+        .mapInArrow(tidy(run), f"id {kind_sql}, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long")
     )
     return placed.withColumnRenamed("id", id_col)

@@ -13,9 +13,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from shelfwise.llm.common import tidy
+
 BITS = 11
 DIMS = 1 << BITS
 #: Rows per language the centroids are clustered from, at most.
@@ -77,7 +79,7 @@ def _document_frequency(train: DataFrame) -> tuple[int, np.ndarray]:
                     total[DIMS] += 1
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(DIMS + 1)), pa.array(total)], ["dim", "n"])
 
-    rows = train.select("text").mapInArrow(run, "dim long, n long").groupBy("dim").agg(F.sum("n").alias("n")).collect()
+    rows = train.select("text").mapInArrow(tidy(run), "dim long, n long").groupBy("dim").agg(F.sum("n").alias("n")).collect()
     total = np.zeros(DIMS + 1, dtype=np.int64)
     for row in rows:
         total[row.dim] = row.n
@@ -99,17 +101,18 @@ def _cluster(vectors: np.ndarray, k: int) -> np.ndarray:
 
 
 def _sample(train: DataFrame, id_col: str, per_language: int) -> DataFrame:
-    """(lang, text, place): up to ``per_language`` rows of each language, those with the smallest hash of their id.
+    """(lang, text, place): up to ``per_language`` rows of each language, those with the smallest hash of their id, or of the text without one.
 
     Rows are thinned by hash before they are ranked, so that a ranking sees a small multiple of the bound.
     """
-    sizes = train.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
-    place = F.xxhash64(id_col)
+    place = F.when(F.col(id_col).isNull(), F.xxhash64("text")).otherwise(F.xxhash64(id_col))
+    # equal rows have one place, so it is places that are thinned
+    sizes = train.groupBy("lang").agg(F.approx_count_distinct(place).alias("n"))
     share = F.pmod(place, F.lit(1 << 20)) / F.lit(float(1 << 20))
-    thin = train.join(F.broadcast(sizes), "lang").filter(share * F.col("n") < 2.0 * per_language).withColumn("place", place)
-    ranked = thin.groupBy("lang").agg(F.sort_array(F.collect_list("place")).alias("places")).select(
-        "lang", F.element_at("places", F.least(F.size("places"), F.lit(per_language))).alias("last"))
-    return thin.join(F.broadcast(ranked), "lang").filter("place <= last").select("lang", "text", "place")
+    # one row per language value; equal rows beyond the bound are cut in every task
+    thin = train.join(F.broadcast(sizes), "lang").filter(share * F.col("n") < 2.0 * per_language).select("lang", "text", place.alias("place"))
+    order = Window.partitionBy("lang").orderBy("place", F.xxhash64("text"))
+    return thin.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= per_language).drop("rank")
 
 
 def _low_cosines(train: DataFrame, idf: np.ndarray, centroids: np.ndarray, languages: list[str]) -> dict[str, float]:
@@ -128,7 +131,7 @@ def _low_cosines(train: DataFrame, idf: np.ndarray, centroids: np.ndarray, langu
                     [pa.array([names[i] for i in keep], pa.string()), pa.array(short[keep]), pa.array(bins, pa.int64())], ["lang", "short", "bin"])
 
     found: dict[tuple[str, bool], list[tuple[int, int]]] = {}
-    for r in (train.select("text", "lang").mapInArrow(run, "lang string, short boolean, bin long")
+    for r in (train.select("text", "lang").mapInArrow(tidy(run), "lang string, short boolean, bin long")
               .groupBy("lang", "short", "bin").agg(F.count(F.lit(1)).alias("n")).collect()):
         found.setdefault((r.lang, r.short), []).append((r.bin, r.n))
     out = {}
@@ -174,7 +177,7 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text", keep: tuple[s
         for batch in batches:
             for start in range(0, batch.num_rows, _SLICE):
                 part = batch.slice(start, _SLICE)
-                texts = part.column(0).to_pylist()
+                texts = part.column(at).to_pylist()
                 names, scores, far = ["und"] * len(texts), np.zeros(len(texts)), np.ones(len(texts), bool)
                 if model.languages:
                     vectors, short = _vectors(texts, model.idf)
@@ -186,12 +189,14 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text", keep: tuple[s
                     scores = np.where(seen, np.clip(top, 0, 1), 0.0)
                     far = ~seen | (top < model.floors[best] * np.where(short, SHORT_PART, 1.0))
                 yield pa.RecordBatch.from_arrays(
-                    [*part.columns[1:], pa.array(names, pa.string()), pa.array(scores), pa.array(far)],
-                    [*part.schema.names[1:], "lang_pred", "score", "rejected"])
+                    [*part.columns[:len(keep)], pa.array(names, pa.string()), pa.array(scores), pa.array(far)],
+                    [*keep, "lang_pred", "score", "rejected"])
 
-    own = docs.select(F.col(text_col).alias("_text"), *keep)
+    # a text that is kept is sent once
+    own = docs.select(*keep) if text_col in keep else docs.select(*keep, F.col(text_col).alias("_text_of_row"))
+    at = keep.index(text_col) if text_col in keep else len(keep)
     schema = ", ".join(f"`{c}` {own.schema[c].dataType.simpleString()}" for c in keep)
-    return own.mapInArrow(run, f"{schema}, lang_pred string, score double, rejected boolean")
+    return own.mapInArrow(tidy(run), f"{schema}, lang_pred string, score double, rejected boolean")
 
 
 def held_out(id_col: str = "doc_id", folds: int = 5, fold: int = 0) -> Column:

@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfwise.llm.common import stored
+from shelfwise.llm.common import stored, tidy
 
 #: A window in at most so many different texts is rare. It decides how pairs are found, not what is deleted.
 RARE = 8
@@ -141,7 +141,7 @@ def _lines(docs: DataFrame) -> DataFrame:
 
     kind = docs.schema["id"].dataType.simpleString()
     return docs.select("id", "content", "text").mapInArrow(
-        run, f"id {kind}, content string, hashes array<bigint>, words array<int>")
+        tidy(run), f"id {kind}, content string, hashes array<bigint>, words array<int>")
 
 
 def windows(hashes: Sequence[int], words: Sequence[int], min_words: int) -> dict[int, list[list[int]]]:
@@ -187,7 +187,7 @@ def _holders(texts: DataFrame, min_words: int) -> DataFrame:
                 [pa.array(hashes, pa.int64()), doc, pa.array(places, pa.list_(pa.list_(pa.int32())))], ["h", "doc", "places"])
 
     own = texts.select(F.struct("first.missing", "first.id", "content").alias("doc"), "hashes", "words")
-    return own.mapInArrow(run, f"h bigint, doc {own.schema['doc'].dataType.simpleString()}, places array<array<int>>")
+    return own.mapInArrow(tidy(run), f"h bigint, doc {own.schema['doc'].dataType.simpleString()}, places array<array<int>>")
 
 
 def _shared(texts: DataFrame, min_words: int) -> DataFrame:
@@ -237,7 +237,7 @@ def _aligned(pairs: DataFrame, texts: DataFrame, min_words: int) -> DataFrame:
     ours = texts.select(F.col("content").alias("a"), F.col("hashes").alias("ours"))
     theirs = texts.select(F.col("content").alias("b"), F.col("hashes").alias("theirs"), "words")
     both = pairs.join(ours, "a").join(theirs, "b").select("b", "ours", "theirs", "words")
-    lines = both.mapInArrow(align, "content string, found array<int>").select("content", F.explode("found").alias("line"))
+    lines = both.mapInArrow(tidy(align), "content string, found array<int>").select("content", F.explode("found").alias("line"))
     return lines.groupBy("content").agg(F.collect_set("line").alias("found"))
 
 
@@ -261,7 +261,7 @@ def _deleted(texts: DataFrame, rare: int, min_words: int) -> DataFrame:
             break
         more = stored(_aligned(_next_pairs(shared, left, tried, tried * WIDEN), texts, min_words), "deleted")
         found, tried = found.unionByName(more), tried * WIDEN
-    return found.groupBy("content").agg(F.flatten(F.collect_list("found")).alias("found")).mapInArrow(masks, "content string, mask array<boolean>")
+    return found.groupBy("content").agg(F.flatten(F.collect_list("found")).alias("found")).mapInArrow(tidy(masks), "content string, mask array<boolean>")
 
 
 def _unused(docs: DataFrame, name: str) -> str:

@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfwise.llm.common import components, stored, words
+from shelfwise.llm.common import components, stored, tidy, words
 
 BITS = 64
 _CHUNK = 1 << 16
@@ -44,7 +44,7 @@ def fingerprints(docs: DataFrame, id_col: str, text_col: str, shingle_words: int
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(values, pa.int64())], ["id", "fp"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(run, f"id {kind}, fp long")
+    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(tidy(run), f"id {kind}, fp long")
 
 
 def _signed(value: int) -> int:

@@ -4,6 +4,7 @@ import string
 import pytest
 
 from shelfwise.llm import centroid_lang as lang
+from tests.llm.conftest import sentence
 
 
 def test_held_out_accuracy(spark, sf_dir):
@@ -55,3 +56,20 @@ def test_unknown_latin_languages_and_gibberish_are_rejected(spark, make_docs, sf
     texts = [(n, " ".join("".join(rng.choices(string.ascii_lowercase, k=rng.randint(2, 9))) for _ in range(n))) for n in (5, 20, 60, 200, 800)]
     texts += [(1000, "def f(x):\n    return [i for i in range(x) if i % 2 == 0]\nfor k, v in os.environ.items(): print(k, v)")]
     assert all(r.rejected for r in lang.predict(make_docs(texts), model).collect())
+
+
+def test_rows_without_id_keep_the_sample_bounded(make_docs):
+    rng = random.Random(12)
+    rows = [(None, sentence(rng, 20), "en", "s") for _ in range(3000)] + [(None, "same text again", "fr", "s")] * 2000
+    docs = make_docs(rows).selectExpr("doc_id AS id", "text", "lang")
+    found = lang._sample(docs, "id", 50).groupBy("lang").count().collect()
+    assert {r["lang"] for r in found} == {"en", "fr"} and all(r["count"] <= 50 for r in found)
+
+
+def test_kept_text_is_passed_on(make_docs):
+    rng = random.Random(13)
+    docs = make_docs([(i, sentence(rng, 30), "en", "s") for i in range(20)])
+    model = lang.fit(docs)
+    both = [lang.predict(docs, model, keep=k).collect() for k in (("doc_id", "text"), ("doc_id",))]
+    assert {r.doc_id: r.text for r in both[0]} == {r.doc_id: r.text for r in docs.collect()}
+    assert {(r.doc_id, r.lang_pred, r.score) for r in both[0]} == {(r.doc_id, r.lang_pred, r.score) for r in both[1]}
