@@ -13,7 +13,7 @@ from __spark_entry__ import queries
 from shelfwise.operators.anchors import latest_snapshot, trailing_window
 from shelfwise.operators.clean import dedupe_natural
 from shelfwise.operators.grouping import broadcast_limit, exact_quantile, fits_broadcast, global_rank, prefix_sums, rollup
-from shelfwise.operators.ledger import ledger_rollforward
+from shelfwise.operators.ledger import as_of_fill, ledger_rollforward, open_orders, stock_runs
 from tests.tiny import rows
 
 
@@ -133,3 +133,35 @@ def test_one_key_with_a_third_of_all_rows(spark, no_broadcast):
     assert demanded == fact.agg(F.sum("qty")).first()[0] == got + missed
     ranked = global_rank(fact.select("qty"), "qty", "r").groupBy("qty", "r").agg(F.count(F.lit(1)))
     assert rows(ranked) == [(q, (5 - q) * (n // 5) + 1, n // 5) for q in range(1, 6)]
+
+
+def test_snapshot_days_and_sales_amounts_meet_no_shuffle(derived_star):
+    """Stretches of stock and narrow sale lines are shuffled; a row per day, or amounts, only exist after that."""
+    _, built = derived_star
+    for table, column in (("fact_inventory_snapshot", "snapshot_date_key"), ("fact_sales", "gross_sales_amount")):
+        after, *before = re.split(r"Exchange hashpartitioning\(\w+_month", plan_of(getattr(built, table)()))
+        assert len(before) == 1 and column in after and "Exchange" not in after
+        assert "as_of_key" not in before[0] and "gross_sales_amount" not in before[0]
+
+
+def test_stretches_of_stock_equal_filled_days(spark):
+    """Also with unknown quantities, orders without a date or a place, and positions that were on order before they had stock."""
+    days = [20240100 + d for d in range(1, 32)] + [20240200 + d for d in range(1, 11)]
+    calendar = spark.createDataFrame([(d,) for d in days], "date_key int")
+    dates = calendar.filter("date_key in (20240131, 20240203, 20240204, 20240210)")
+    ledger = spark.createDataFrame(
+        [(1, 1, 20240102, 5), (1, 1, 20240103, 7), (1, 1, 20240204, None), (2, 1, 20240203, 0), (2, None, 20240105, 3), (3, 2, 20240210, 9)],
+        "product_key bigint, location_key int, date_key int, on_hand bigint")
+    po = spark.createDataFrame(
+        [(1, 1, 20240101, 20240203, 4), (1, 1, None, None, 2), (2, 1, 20240101, None, 6), (2, None, 20240101, None, 8), (3, 2, None, None, 1),
+         (3, 2, 20240204, 20240210, None), (4, 1, 20240101, None, 3)],
+        "product_key bigint, dest_location_key int, order_date_key int, received_date_key int, ordered_qty int")
+    pair = ["product_key", "location_key"]
+    want = as_of_fill(ledger, pair, "date_key", dates, calendar, ["on_hand"]).join(
+        open_orders(po, dates, calendar), [*pair, "as_of_key"], "left").select(*pair, "as_of_key", "on_hand", F.coalesce("on_order_qty", F.lit(0)))
+    runs, at = stock_runs(ledger, po, dates, calendar)
+    got = runs.join(at, F.col("_at").between(F.col("_slot"), F.col("_until"))).select(*pair, "date_key", "on_hand", "on_order_qty")
+    assert sorted(map(str, got.collect())) == sorted(str(r).replace("as_of_key", "date_key").replace("coalesce(on_order_qty, 0)", "on_order_qty")
+                                                     for r in want.collect())
+    months = runs.agg(F.min("_month"), F.max("_until_month")).first()
+    assert tuple(months) == (2024 * 12, 2024 * 12 + 1)
