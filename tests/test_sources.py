@@ -10,6 +10,7 @@ from shelfwise.plans.views import register_views
 from shelfwise.schema import SCHEMAS, stored_schema
 from shelfwise.sources.sinks import COST_BASED, incremental_refresh, refresh_stats, register_tables, sample_rows, sink_star, sink_table
 from shelfwise.sources.star import from_csv, from_parquet
+from shelfwise.sources.versions import publish
 from tests.tiny import location, product, rows, sale, star, stock
 
 DAY = date(2024, 1, 31)
@@ -133,3 +134,23 @@ def test_histograms_change_the_order_of_joins(spark, tmp_path):
         for k, v in before.items():
             spark.conf.set(k, v)
     assert order == {False: "d2", True: "d1"}
+
+
+def test_stored_months_are_written_again_as_they_come(spark, tmp_path):
+    setting = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(setting)
+    days = [date(2024, m, d) for m in (1, 2) for d in (3, 1, 2)]
+    s = star(spark, fact_inventory_snapshot=[stock(q, day, qty=q) for q, day in enumerate(days)])
+    # by product, not by day
+    first = sink_table(s.snapshot.coalesce(1).sortWithinPartitions("snapshot_month", "on_hand_qty"), str(tmp_path / "a"), "fact_inventory_snapshot", in_order=True)
+    stored = from_parquet(spark, str(tmp_path / "a")).snapshot
+    again = sink_table(stored, str(tmp_path / "b"), "fact_inventory_snapshot", by_month=True)
+    published = publish(spark, str(tmp_path / "c"), {"fact_inventory_snapshot": stored}, by_month=["fact_inventory_snapshot"])
+    incremental_refresh(stored, str(tmp_path / "a"), "fact_inventory_snapshot", 202402, by_month=True)
+    folders = [again, first, *(f"{tmp_path}/c/fact_inventory_snapshot/load={load}" for load in set(published.tables["fact_inventory_snapshot"].months.values()))]
+    for folder in folders:
+        for month, held in ((202401, [0, 1, 2]), (202402, [3, 4, 5])):
+            files = spark.read.parquet(f"{folder}/snapshot_month={month}")
+            assert len(files.inputFiles()) == 1
+            assert [r[0] for r in files.select("on_hand_qty").collect()] == held
+    assert spark.conf.get(setting) == before
