@@ -5,6 +5,7 @@ from decimal import Decimal
 
 from pyspark.sql import functions as F
 
+from shelfwise.plans.incremental import _closing_part
 from shelfwise.plans.load import gated_load, materialize
 from shelfwise.plans.views import register_views
 from shelfwise.schema import SCHEMAS, stored_schema
@@ -154,3 +155,11 @@ def test_stored_months_are_written_again_as_they_come(spark, tmp_path):
             assert len(files.inputFiles()) == 1
             assert [r[0] for r in files.select("on_hand_qty").collect()] == held
     assert spark.conf.get(setting) == before
+
+
+def test_closings_are_grouped_after_other_days_have_gone(spark):
+    s = star(spark, fact_inventory_snapshot=[stock(d, date(2024, 1, d)) for d in (1, 2, 3)] + [stock(9, date(2024, 1, 2), 2)])
+    closing = _closing_part(s.snapshot)
+    assert rows(closing, "snapshot_date_key", "product_key", "held") == [(20240103, 1, 1)]
+    plan = closing._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Aggregate [snapshot_month") < plan.index("Join Inner")
