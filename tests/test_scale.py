@@ -144,6 +144,21 @@ def test_snapshot_days_and_sales_amounts_meet_no_shuffle(derived_star):
         assert "as_of_key" not in before[0] and "gross_sales_amount" not in before[0]
 
 
+def test_ledger_takes_its_opening_without_a_join(spark, derived_star):
+    """The derived ledger meets no list of positions, and only keys, day and the two sums are dealt to its windows; unknown keys open with nothing."""
+    _, built = derived_star
+    plan = plan_of(built.ledger())
+    assert "Join" not in plan and plan.count("Exchange hashpartitioning") == 2
+    keys, schema = ["product_key", "location_key"], "product_key bigint, location_key int, date_key int, qty int"
+    receipts = spark.createDataFrame([(20, 1, 20240102, 3), (20, None, 20240101, None), (None, 2, 20240101, 2), (23, 4, 20240103, None)], schema)
+    demand = spark.createDataFrame([(23, 4, 20240101, 8), (20, None, 20240103, 1), (None, 2, 20240102, 5), (23, 4, 20240101, 20), (39, 1, 20240101, None)], schema)
+    pairs = demand.select(*keys).unionByName(receipts.select(*keys)).distinct().withColumn("opening_qty", built.opening_qty())
+    joined = ledger_rollforward(receipts, demand, pairs, keys, "date_key")
+    direct = ledger_rollforward(receipts, demand, built.opening_qty(), keys, "date_key")
+    assert rows(direct) == rows(joined)
+    assert rows(direct.filter("product_key = 23"), "date_key", "on_hand", "sold", "unmet") == [(20240101, 0, 18, 10), (20240103, 0, 0, 0)]
+
+
 def test_stretches_of_stock_equal_filled_days(spark):
     """Also with unknown quantities, orders without a date or a place, and positions that were on order before they had stock."""
     days = [20240100 + d for d in range(1, 32)] + [20240200 + d for d in range(1, 11)]
