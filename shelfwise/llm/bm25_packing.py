@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfwise.llm.common import stored, tidy
+from shelfwise.llm.common import small_batches, stored, tidy
 
 WINDOW = 4096
 END_ID = 2
@@ -277,7 +277,8 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window
     tokenizer_json = tokenizer_json or default_tokenizer()
     encoder = Encoder(tokenizer_json)
     width, vocabulary = encoder.dtype.itemsize, encoder.tokenizer.get_vocab_size()
-    tokens = stored(tokenise(docs, tokenizer_json, id_col, text_col), "tokens")
+    with small_batches(spark):
+        tokens = stored(tokenise(docs, tokenizer_json, id_col, text_col), "tokens")
     rows, total = tokens.agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))).first()
     frequency = _document_frequency(tokens, width, vocabulary)
     idf = np.log1p((rows - frequency + 0.5) / (frequency + 0.5)).astype(np.float32)

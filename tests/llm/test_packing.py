@@ -5,6 +5,7 @@ import numpy as np
 import pytest
 
 from shelfwise.llm import bm25_packing as packing
+from shelfwise.llm.common import small_batches
 from tests.llm.conftest import sentence
 
 
@@ -104,3 +105,22 @@ def test_all_terms_of_the_seed_count():
 
 def test_empty_table(make_docs):
     assert packing.pack(make_docs([])).collect() == []
+
+
+def test_texts_reach_the_tokenizer_in_small_batches(spark, monkeypatch):
+    setting, seen = "spark.sql.execution.arrow.maxRecordsPerBatch", []
+    before = spark.conf.get(setting)
+    whole = packing.stored
+
+    def watched(df, label):
+        seen.append((label, spark.conf.get(setting)))
+        return whole(df, label)
+
+    monkeypatch.setattr(packing, "stored", watched)
+    packing.pack(spark.createDataFrame([(1, "a b"), (2, None)], "doc_id long, text string"))
+    assert seen == [("tokens", "1000")] and spark.conf.get(setting) == before
+    with small_batches(spark):
+        with small_batches(spark):
+            assert spark.conf.get(setting) == "1000"
+        assert spark.conf.get(setting) == "1000"
+    assert spark.conf.get(setting) == before
