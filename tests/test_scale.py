@@ -149,13 +149,18 @@ def test_ledger_takes_its_opening_without_a_join(spark, derived_star):
     _, built = derived_star
     plan = plan_of(built.ledger())
     assert "Join" not in plan and plan.count("Exchange hashpartitioning") == 2
+    dealt = re.search(r"Exchange hashpartitioning\(product_key\S*, location_key\S*, \d+\).*\n.*?(\w+)", plan)
+    assert dealt and dealt[1] == "HashAggregate"  # no column is worked out before it
     keys, schema = ["product_key", "location_key"], "product_key bigint, location_key int, date_key int, qty int"
-    receipts = spark.createDataFrame([(20, 1, 20240102, 3), (20, None, 20240101, None), (None, 2, 20240101, 2), (23, 4, 20240103, None)], schema)
-    demand = spark.createDataFrame([(23, 4, 20240101, 8), (20, None, 20240103, 1), (None, 2, 20240102, 5), (23, 4, 20240101, 20), (39, 1, 20240101, None)], schema)
+    receipts = spark.createDataFrame(
+        [(20, 1, 20240102, 3), (20, None, 20240101, None), (None, 2, 20240101, 2), (23, 4, 20240103, None), (41, 3, 20240104, None)], schema)
+    demand = spark.createDataFrame(
+        [(23, 4, 20240101, 8), (20, None, 20240103, 1), (None, 2, 20240102, 5), (23, 4, 20240101, 20), (39, 1, 20240101, None), (41, 3, 20240101, None)], schema)
     pairs = demand.select(*keys).unionByName(receipts.select(*keys)).distinct().withColumn("opening_qty", built.opening_qty())
     joined = ledger_rollforward(receipts, demand, pairs, keys, "date_key")
     direct = ledger_rollforward(receipts, demand, built.opening_qty(), keys, "date_key")
     assert rows(direct) == rows(joined)
+    assert rows(direct.filter("product_key = 41"), "on_hand") == [(None,), (None,)]  # no quantity is known yet
     assert rows(direct.filter("product_key = 23"), "date_key", "on_hand", "sold", "unmet") == [(20240101, 0, 18, 10), (20240103, 0, 0, 0)]
 
 
