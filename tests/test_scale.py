@@ -13,7 +13,7 @@ from __spark_entry__ import queries
 from shelfwise.operators.anchors import latest_snapshot, trailing_window
 from shelfwise.operators.clean import dedupe_natural
 from shelfwise.operators.grouping import broadcast_limit, exact_quantile, fits_broadcast, global_rank, prefix_sums, rollup
-from shelfwise.operators.ledger import as_of_fill, ledger_rollforward, open_orders, stock_runs
+from shelfwise.operators.ledger import as_of_fill, cut_at_blocks, ledger_rollforward, month_blocks, open_orders, stock_runs
 from tests.tiny import rows
 
 
@@ -144,6 +144,21 @@ def test_snapshot_days_and_sales_amounts_meet_no_shuffle(derived_star):
         assert "as_of_key" not in before[0] and "gross_sales_amount" not in before[0]
 
 
+def test_stretches_of_stock_are_dealt_to_blocks_of_months(spark, derived_star):
+    """A stretch is shuffled once for a block, not for every month in it."""
+    _, built = derived_star
+    plan = plan_of(built.fact_inventory_snapshot())
+    assert "Exchange hashpartitioning(_block_of_month" in plan
+    assert built.get("fact_inventory_snapshot").groupBy("snapshot_key").count().filter("count > 1").isEmpty()
+    # sixty months of one date, then two of thirty
+    days = spark.createDataFrame([(m, m) for m in range(60)] + [(60 + d, 60 + d // 30) for d in range(60)], "_at bigint, _month int")
+    blocks = month_blocks(days, 40)
+    assert rows(blocks.groupBy("_block_of_month").agg(F.min("_month"), F.max("_month"))) == [(0, 0, 39), (1, 40, 60), (2, 61, 61)]
+    runs = spark.createDataFrame([(1, 0, 61), (2, 3, 39), (3, 39, 40), (4, 61, 61)], "product_key bigint, _month int, _until_month int")
+    assert rows(cut_at_blocks(runs, blocks), "product_key", "_block_of_month", "_month", "_until_month") == [
+        (1, 0, 0, 39), (1, 1, 40, 60), (1, 2, 61, 61), (2, 0, 3, 39), (3, 0, 39, 39), (3, 1, 40, 40), (4, 2, 61, 61)]
+
+
 def test_ledger_takes_its_opening_without_a_join(spark, derived_star):
     """The derived ledger meets no list of positions, and only keys, day and the two sums are dealt to its windows; unknown keys open with nothing."""
     _, built = derived_star
