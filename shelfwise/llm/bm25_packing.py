@@ -29,7 +29,7 @@ END_ID = 2
 #: Tokens of one index shard; a shard is held in memory by one task.
 SHARD_TOKENS = 1 << 21
 K1, B = 1.2, 0.75
-#: Words whose ids a Python worker remembers for good; it remembers as many again for a while.
+#: Words and their pieces whose ids a Python worker remembers for good; it remembers as many again for a while.
 CACHE_WORDS = 200_000
 #: Byte-pair ids grow rarer with their number; those from here on make the min-hash.
 RARE_FROM = 2_000
@@ -61,8 +61,8 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
         self.dtype = np.dtype("<u2") if self.tokenizer.get_vocab_size() <= 1 << 16 else np.dtype("<u4")
+        # ids of words and of what words are put together from: a word of one piece has its ids, so one table holds both
         self.known: dict[bytes, bytes] = {}
-        self.pieces: dict[bytes, bytes] = {}
         # for words of lower-case letters in normal form neither normaliser nor splitting by character class changes anything
         plain = json.loads(tokenizer_json)
         suffix = plain["model"].get("end_of_word_suffix")
@@ -78,7 +78,7 @@ class Encoder:
 
     def _each(self, words: list[bytes]) -> None:
         encoded = self.tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)
-        self.pieces.update(zip(words, (self._bytes(e.ids) for e in encoded), strict=True))
+        self.known.update(zip(words, (self._bytes(e.ids) for e in encoded), strict=True))
 
     def _learn_pieces(self, words: list[bytes]) -> None:
         plain = [w for w in words if w.isalpha() or not w.isascii() and _lower_letters(w.decode())] if self.ends.any() else []
@@ -88,10 +88,10 @@ class Encoder:
             cuts = np.flatnonzero(self.ends[ids]) + 1
             if len(cuts) == len(part) and cuts[-1] == len(ids):
                 data, places = ids.tobytes(), [0, *(cuts * self.dtype.itemsize).tolist()]
-                self.pieces.update((w, data[i:j]) for w, i, j in zip(part, places, places[1:], strict=False))
+                self.known.update((w, data[i:j]) for w, i, j in zip(part, places, places[1:], strict=False))
             else:
                 self._each(part)
-        self._each([w for w in words if w not in self.pieces])
+        self._each([w for w in words if w not in self.known])
 
     def _learn(self, words: list[bytes]) -> None:
         parts = []
@@ -103,10 +103,10 @@ class Encoder:
             core = low.rstrip(PUNCTUATION)
             # behind anything but a letter or digit the punctuation may belong to a longer run
             parts.append((core, low[len(core):]) if core[-1:].isalnum() else (low, b""))
-        unseen = {x for pair in parts for x in pair if x}.difference(self.pieces)
+        unseen = {x for pair in parts for x in pair if x}.difference(self.known)
         self._learn_pieces(list(unseen))
-        self.pieces[b""] = b""
-        self.known.update((word, self.pieces[a] + self.pieces[b]) for word, (a, b) in zip(words, parts, strict=True))
+        self.known[b""] = b""
+        self.known.update((word, self.known[a] + self.known[b]) for word, (a, b) in zip(words, parts, strict=True))
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text as little-endian numbers of ``dtype``, the end id last; null counts as empty."""
@@ -120,8 +120,6 @@ class Encoder:
             if len(self.known) + len(unseen) > 2 * CACHE_WORDS:  # frequent words come early: what came late is forgotten
                 self.known = dict(islice(self.known.items(), CACHE_WORDS))
                 unseen = there.difference(self.known)
-            if len(self.pieces) > 2 * CACHE_WORDS:
-                self.pieces = dict(islice(self.pieces.items(), CACHE_WORDS))
             if unseen:
                 self._learn(list(unseen))
             out.extend(b"".join(map(self.known.__getitem__, found)) + end for found in group)
@@ -285,6 +283,7 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window
     mean_length = total / max(rows, 1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _encoder.cache_clear()  # Spark keeps its workers: all texts have their ids now
         packer = Packer(window, TaskContext.get().partitionId() << 40)
         shard: list[tuple] = []
         held = 0

@@ -124,3 +124,11 @@ def test_texts_reach_the_tokenizer_in_small_batches(spark, monkeypatch):
             assert spark.conf.get(setting) == "1000"
         assert spark.conf.get(setting) == "1000"
     assert spark.conf.get(setting) == before
+
+
+def test_a_word_of_one_piece_is_remembered_once():
+    encoder = packing.Encoder(packing.default_tokenizer())
+    apart = encoder.encode(["word", "Word,", ","])
+    assert set(encoder.known) == {b"", b"word", b"Word,", b","}
+    assert encoder.known[b"Word,"] == encoder.known[b"word"] + encoder.known[b","]
+    assert encoder.encode(["word", "Word,", ","]) == apart == [packing.Encoder(packing.default_tokenizer()).encode([x])[0] for x in ("word", "Word,", ",")]
