@@ -157,6 +157,21 @@ def test_stored_months_are_written_again_as_they_come(spark, tmp_path):
     assert spark.conf.get(setting) == before
 
 
+def test_a_load_writes_stored_months_as_they_come(spark, tmp_path):
+    """From the extract to staging if the caller says so, and from there to the warehouse always."""
+    days = [date(2024, m, d) for m in (1, 2) for d in (3, 1, 2)]
+    s = small(spark)
+    held = star(spark, fact_inventory_snapshot=[stock(q, day, qty=q) for q, day in enumerate(days)]).snapshot
+    sink_table(held.coalesce(1).sortWithinPartitions("snapshot_month", "on_hand_qty"), str(tmp_path / "a"), "fact_inventory_snapshot", in_order=True)
+    raw = s.replaced(fact_inventory_snapshot=from_parquet(spark, str(tmp_path / "a")).snapshot)
+    assert gated_load(raw, str(tmp_path / "staging"), str(tmp_path / "warehouse"), by_month=["fact_inventory_snapshot"])
+    [load] = [p.name for p in (tmp_path / "warehouse" / "fact_inventory_snapshot").iterdir() if p.name.startswith("load=")]
+    for folder in ("staging/fact_inventory_snapshot", f"warehouse/fact_inventory_snapshot/{load}"):
+        for month, want in ((202401, [0, 1, 2]), (202402, [3, 4, 5])):
+            files = spark.read.parquet(f"{tmp_path}/{folder}/snapshot_month={month}")
+            assert [r[0] for r in files.select("on_hand_qty").collect()] == want
+
+
 def test_closings_are_grouped_after_other_days_have_gone(spark):
     s = star(spark, fact_inventory_snapshot=[stock(d, date(2024, 1, d)) for d in (1, 2, 3)] + [stock(9, date(2024, 1, 2), 2)])
     closing = _closing_part(s.snapshot)
