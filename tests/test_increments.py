@@ -33,6 +33,21 @@ def test_few_values_use_the_whole_range(spark):
     assert curve_value(df.limit(0), ["a"])[0].count() == 0
 
 
+def test_places_are_found_in_few_rounds(spark):
+    """One comparison a key and round, not one for every rank; unknown keys come last."""
+    df = spark.createDataFrame([(i % 97, i, None if i % 10 == 0 else i % 3) for i in range(500)], "a int, b bigint, c int")
+    placed, name = curve_value(df, ["a", "b", "c"])
+    assert placed._jdf.queryExecution().optimizedPlan().toString().count("CASE WHEN") <= 3 * 7
+    seen = placed.collect()
+    for at, k in enumerate("abc"):
+        rank = {}
+        for r in seen:
+            rank.setdefault(r[k], set()).add(sum((r[name] >> (bit * 3 + 2 - at) & 1) << bit for bit in range(6)))
+        assert all(len(found) == 1 for found in rank.values())
+        in_order = [rank[v].pop() for v in sorted(rank, key=lambda v: (v is None, v))]
+        assert in_order == sorted(in_order) and in_order[0] == 0
+
+
 def test_every_path_meets_few_files(spark, tmp_path):
     df, path = cube(spark, 16), str(tmp_path / "t")
     curve_write(df, path, ["a", "b", "c"], files=64, bits=4)
