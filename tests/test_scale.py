@@ -14,7 +14,8 @@ from shelfwise.operators.anchors import latest_snapshot, trailing_window
 from shelfwise.operators.clean import dedupe_natural
 from shelfwise.operators.grouping import broadcast_limit, exact_quantile, fits_broadcast, global_rank, prefix_sums, rollup
 from shelfwise.operators.ledger import as_of_fill, cut_at_blocks, ledger_rollforward, month_blocks, open_orders, stock_runs
-from tests.tiny import rows
+from shelfwise.operators.quality import Reference, check_references
+from tests.tiny import product, rows, sale, star
 
 
 def plan_of(df):
@@ -159,6 +160,16 @@ def test_stretches_of_stock_are_dealt_to_blocks_of_months(spark, derived_star):
         (1, 0, 0, 39), (1, 1, 40, 60), (1, 2, 61, 61), (2, 0, 3, 39), (3, 0, 39, 39), (3, 1, 40, 40), (4, 2, 61, 61)]
 
 
+def test_references_meet_dimensions_without_a_join(spark):
+    """Only the one row a check is joined; the keys of a dimension are never gathered in the driver. Rows, unknown keys and repeated dimension rows count right."""
+    day = date(2024, 1, 5)
+    s = star(spark, dim_product=[product(1), product(2), product(2)], fact_sales=[sale(k, day, p=p) for k, p in enumerate((1, 1, 2, None, 9, 8, 9))])
+    rule = Reference("fact_sales", "product_key", "dim_product")
+    found = check_references(s, "fact_sales", [rule, Reference("fact_sales", "date_key", "dim_date")])
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("Join ") == 2
+    assert rows(found) == [("fact_sales.date_key -> dim_date", True, 0, 7, None), (rule.name, True, 3, 7, "8, 9")]
+
+
 def test_ledger_takes_its_opening_without_a_join(spark, derived_star):
     """The derived ledger meets no list of positions, and only keys, day and the two sums are dealt to its windows; unknown keys open with nothing."""
     _, built = derived_star
