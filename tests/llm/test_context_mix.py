@@ -75,6 +75,36 @@ def test_batches_and_order_do_not_matter():
     assert np.allclose(whole, split, rtol=1e-5) and np.allclose(whole, alone, rtol=1e-5)
 
 
+def test_starting_weights_come_from_all_training_texts(spark):
+    """Each decision is predicted without its own count, and tasks count by their decisions."""
+    counts = np.array([0, 1, 62, 63, 64, 1000, 10**6, 2**32])
+    back = mixing.decoded()[mixing.coded(counts)]
+    assert (back[:4] == counts[:4]).all() and (np.abs(back / np.maximum(counts, 1) - 1)[4:] < 0.06).all()
+    rng = random.Random(8)
+    texts = [sentence(rng, rng.randint(1, 30)) for _ in range(600)]
+    counted = Counter(t for x in texts for t in [*words(x), b""])
+    known = sorted(counted, key=lambda t: (-counted[t], t))
+    model = mixing.Model(known, [counted[t] for t in known], counted.total(), len(known), 0, np.zeros(mixing.BYTES, np.int64), len(known))
+    code = model.code()
+    every = mixing.decisions([words(t) for t in texts], code, BITS, fill=True)
+    numbers = np.zeros((mixing.CONTEXTS, 1 << BITS, 2), np.int64)
+    for k in range(mixing.CONTEXTS):
+        np.add.at(numbers[k], (every.slots[k][every.signs != 0], (every.signs[every.signs != 0] > 0).astype(int)), 1)
+    cells = mixing.coded(numbers[:, :, 1]) << 8 | mixing.coded(numbers[:, :, 0])
+    got = mixing.left_out([every], cells)
+    back = mixing.decoded()[mixing.coded(numbers)]
+    for k in range(mixing.CONTEXTS):
+        ones, zeros = (back[k, every.slots[k], bit] - (every.signs == sign) for bit, sign in ((1, 1), (0, -1)))
+        assert np.allclose(got[k], mixing.stretch(np.maximum(ones, 0), np.maximum(zeros, 0)), rtol=1e-5)
+    context = spark.sparkContext
+    docs = context.parallelize([(t,) for t in texts], 2).toDF("text string")
+    parts = [mixing.learn([words(t) for t in part], code, cells, BITS) for part in (texts[:300], texts[300:])]
+    assert sum(n for _, n in parts) == len(every.signs)
+    found = mixing._weights(docs, context.broadcast(model), context.broadcast(cells), BITS)
+    assert np.allclose(found, sum(w * n for w, n in parts) / sum(n for _, n in parts), atol=1e-5)
+    assert not any(np.allclose(found, w, atol=1e-3) for w, _ in parts)
+
+
 def brute_base(rows):
     counts, held = Counter(), {}
     for key, text in rows:
