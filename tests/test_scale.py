@@ -160,6 +160,18 @@ def test_stretches_of_stock_are_dealt_to_blocks_of_months(spark, derived_star):
         (1, 0, 0, 39), (1, 1, 40, 60), (1, 2, 61, 61), (2, 0, 3, 39), (3, 0, 39, 39), (3, 1, 40, 40), (4, 2, 61, 61)]
 
 
+def test_value_and_alarms_are_worked_out_before_days(derived_star):
+    """Once for a stretch and month, below the sort, not for every day the join makes of it."""
+    _, built = derived_star
+    plan = built.fact_inventory_snapshot()._jdf.queryExecution().optimizedPlan().toString()
+    days, below = plan.split("Sort [snapshot_month", 1)
+    assert "decimal" not in days and "decimal" in below.split("RepartitionByExpression", 1)[0]
+    rows_ = built.get("fact_inventory_snapshot").join(built.get("dim_product").select("product_key", "unit_cost"), "product_key")
+    right = (F.col("on_hand_value") == (F.col("on_hand_qty") * F.col("unit_cost")).cast("decimal(18,2)")) & (
+        F.col("is_below_reorder_flag") == (F.col("on_hand_qty") <= F.col("reorder_point"))) & (F.col("is_stockout_flag") == (F.col("on_hand_qty") == 0))
+    assert rows_.count() and rows_.filter(~right).isEmpty()
+
+
 def test_references_meet_dimensions_without_a_join(spark):
     """Only the one row a check is joined; the keys of a dimension are never gathered in the driver. Rows, unknown keys and repeated dimension rows count right."""
     day = date(2024, 1, 5)
